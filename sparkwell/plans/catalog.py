@@ -4,4 +4,8 @@ from sparkwell.plans import (  # noqa: F401
     projection,
     joins,
     subqueries,
+    aggregates,
+    windows,
+    scalars,
+    sets_sorts,
 )

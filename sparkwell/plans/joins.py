@@ -382,7 +382,7 @@ def join_interval_funnel(t: Tables):
 @query(
     "join_point_in_time",
     """WITH p AS (SELECT l_partkey AS part_key, CAST(l_shipdate AS DATE) AS valid_from,
-                         MAX(round(l_extendedprice / l_quantity, 2)) AS price FROM lineitem GROUP BY 1, 2),
+                         MAX(l_extendedprice / l_quantity) AS price FROM lineitem GROUP BY 1, 2),
             v AS (SELECT *, LEAD(valid_from) OVER (PARTITION BY part_key ORDER BY valid_from) AS next_from FROM p),
             f AS (SELECT l_partkey AS part_key, l_orderkey, l_linenumber, l_suppkey, CAST(o_orderdate AS DATE) AS order_day
                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
@@ -391,7 +391,7 @@ def join_interval_funnel(t: Tables):
 )
 def join_point_in_time(t: Tables):
     """Unit price of a part as of the order day, from the price history of its shipments."""
-    unit = F.round(col("l_extendedprice") / col("l_quantity"), 2)
+    unit = col("l_extendedprice") / col("l_quantity")
     history = t.lineitem.groupBy(col("l_partkey").alias("part_key"), day("l_shipdate").alias("valid_from")).agg(
         F.max(unit).alias("price")
     )

@@ -54,10 +54,15 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/sparkwell/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise once in the shared folder; loops and reused inputs build on it."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write once to the shared folder and read back.
+
+    Loops and reused inputs build on the written table: it outlives executors,
+    keeps column pruning and gives the planner a true size.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def plan_bytes(df: DataFrame) -> int:
