@@ -7,5 +7,6 @@ from sparkwell.plans import (  # noqa: F401
     aggregates,
     windows,
     scalars,
+    changes,
     sets_sorts,
 )
