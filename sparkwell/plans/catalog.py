@@ -2,6 +2,7 @@
 
 from sparkwell.plans import (  # noqa: F401
     projection,
+    ingest,
     joins,
     subqueries,
     aggregates,
