@@ -9,5 +9,6 @@ from sparkwell.plans import (  # noqa: F401
     windows,
     scalars,
     changes,
+    streams,
     sets_sorts,
 )

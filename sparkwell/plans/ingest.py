@@ -115,7 +115,7 @@ def hourly_feed(t: Tables):
     )
     hour = F.concat(F.date_format("ts", "yyyy-MM-dd"), lit("-"), F.hour("ts").cast("string"))
     feed = t.events.select(hour.alias("hour"), F.to_json(event).alias("value"))
-    feed.repartition("hour").write.partitionBy("hour").option("compression", "gzip").text(path)
+    spread_by(feed, "hour").write.partitionBy("hour").option("compression", "gzip").text(path)
     return path
 
 

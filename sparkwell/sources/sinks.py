@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread_by(df: DataFrame, key: str, pieces: int = 8) -> DataFrame:
-    """Shuffle by partition value plus a hash piece: a hot value is written by several tasks."""
-    return df.repartition(F.col(key), F.pmod(F.xxhash64(*df.columns), F.lit(pieces)))
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Range shuffle on the partition columns plus a row hash.
 
+    Few files per partition value, and a hot value is written by several tasks.
+    """
+    return df.repartitionByRange(*[F.col(k) for k in keys], F.xxhash64(*df.columns))
 
-def write_sorted_partitions(df: DataFrame, path: str, key: str, sort: Sequence[str], pieces: int = 8) -> None:
-    """One directory per ``key`` value; every file is sorted, no global sort is made."""
-    by_range = df.repartitionByRange(
-        max(pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key, *sort
-    )
+
+def write_sorted_partitions(df: DataFrame, path: str, key: str, sort: Sequence[str]) -> None:
+    """One directory per ``key`` value; every file is sorted, and a hot value has several files."""
+    by_range = df.repartitionByRange(key, *sort)
     by_range.sortWithinPartitions(key, *sort).write.partitionBy(key).parquet(path)
 
 
@@ -29,5 +30,5 @@ def append_missing_partitions(df: DataFrame, path: str, key: str, existing: Data
 
 def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     """Overwrite exactly the partitions present in ``df``; running it again changes nothing."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = spread_by(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
