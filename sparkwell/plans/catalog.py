@@ -10,5 +10,6 @@ from sparkwell.plans import (  # noqa: F401
     scalars,
     changes,
     streams,
+    graphs,
     sets_sorts,
 )

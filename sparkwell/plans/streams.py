@@ -468,7 +468,7 @@ def stream_topn(t: Tables):
 
     jobs.drain_each_batch(counts, jobs.batch_partition_writer(stage.sink, rank), stage.checkpoint, "append")
     schema = counts.schema.add("place", LongType())
-    return plain_times(t.spark.read.schema(schema).parquet(stage.sink))
+    return plain_times(t.spark.read.schema(schema).parquet(stage.sink)).drop("batch_id")
 
 
 @query("stream_dedup", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS page FROM events")
