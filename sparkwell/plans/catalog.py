@@ -11,5 +11,7 @@ from sparkwell.plans import (  # noqa: F401
     changes,
     streams,
     graphs,
+    nested,
+    keyvalue,
     sets_sorts,
 )
