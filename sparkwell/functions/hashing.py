@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 16384
@@ -32,20 +32,26 @@ def ring_positions(nodes: Sequence[str], virtual: int = VIRTUAL_NODES) -> list[t
     return sorted((hashlib.md5(f"{n}:{i}".encode()).hexdigest(), n) for n in nodes for i in range(virtual))
 
 
-def ring_node(key: Column, nodes: Sequence[str], virtual: int = VIRTUAL_NODES) -> Column:
-    """First node clockwise after the key.
+def ring_table(spark: SparkSession, nodes: Sequence[str], virtual: int = VIRTUAL_NODES) -> DataFrame:
+    """(bucket, entries): the ring cut into 256 buckets by the first byte of the position.
 
-    The ring is a parameter of ``virtual`` x ``nodes`` entries. It is cut into 256
-    buckets by the first byte; each lists its own positions and the first one
-    after it, so a row scans a few entries of one short array.
+    Each bucket lists its own positions and, last, the owner of what follows them.
+    The ring is a parameter of ``virtual`` x ``nodes`` entries, whatever the key count.
     """
     ring = ring_positions(nodes, virtual)
-    buckets = []
+    rows = []
     for b in range(256):
         prefix = f"{b:02x}"
-        own = [(p, n) for p, n in ring if p[:2] == prefix]
-        after = next(((p, n) for p, n in ring if p[:2] > prefix), ring[0])
-        buckets.append(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(n).alias("n")) for p, n in [*own, ("~", after[1])]]))
+        own = [e for e in ring if e[0][:2] == prefix]
+        after = next((n for p, n in ring if p[:2] > prefix), ring[0][1])
+        rows.append((prefix, [*own, ("~", after)]))
+    return spark.createDataFrame(rows, "bucket STRING, entries ARRAY<STRUCT<p: STRING, n: STRING>>")
+
+
+def with_ring_node(df: DataFrame, key: str, nodes: Sequence[str], name: str, virtual: int = VIRTUAL_NODES) -> DataFrame:
+    """Adds the first node clockwise after each key."""
+    ring = ring_table(df.sparkSession, nodes, virtual)
     position = F.md5(key)
-    bucket = F.get(F.array(*buckets), F.conv(F.substring(position, 1, 2), 16, 10).cast("int"))
-    return F.get(F.filter(bucket, lambda e: e["p"] > position), F.lit(0))["n"]
+    owner = F.filter("entries", lambda e: e["p"] > position)[0]["n"]
+    joined = df.withColumn("bucket", F.substring(position, 1, 2)).join(F.broadcast(ring), "bucket")
+    return joined.select(*df.columns, owner.alias(name))

@@ -13,5 +13,6 @@ from sparkwell.plans import (  # noqa: F401
     graphs,
     nested,
     keyvalue,
+    vectors_text,
     sets_sorts,
 )

@@ -1,6 +1,6 @@
 """Key-value patterns and sketches as table jobs."""
 
-from sparkwell.functions.hashing import hash_slot, ring_node, ring_positions, slot_key
+from sparkwell.functions.hashing import hash_slot, md5_bucket, with_ring_node
 from sparkwell.operators import sketches
 from sparkwell.operators.ordered import exact_percentiles, latest_per_key, top_per_group, with_group_stats, with_row_number
 from sparkwell.operators.stock import admit_orders
@@ -100,8 +100,6 @@ def event_log_range(t: Tables):
 )
 def feature_flag_table(t: Tables, rollout_pct: int = 20):
     """A flag is the text 'true'; the rollout share is a stable hash bucket."""
-    from sparkwell.functions.hashing import md5_bucket
-
     flag = when(col("c_acctbal") > 0, "true").otherwise("false")
     return t.customer.select(
         "c_custkey", (flag == "true").alias("plan_ok"),
@@ -135,9 +133,8 @@ def ring_sql(nodes, name):
 def consistent_hash_assign(t: Tables):
     """Owner of each key on a ring of three nodes, and after a fourth joins."""
     key = F.concat(lit("user:"), col("c_custkey").cast("string"))
-    placed = t.customer.select(
-        key.alias("key"), ring_node(key, NODES).alias("node"), ring_node(key, (*NODES, "node-d")).alias("node_after")
-    )
+    placed = with_ring_node(t.customer.select(key.alias("key")), "key", NODES, "node")
+    placed = with_ring_node(placed, "key", (*NODES, "node-d"), "node_after")
     return placed.withColumn("moved", col("node") != col("node_after"))
 
 
