@@ -14,5 +14,6 @@ from sparkwell.plans import (  # noqa: F401
     nested,
     keyvalue,
     vectors_text,
+    observe,
     sets_sorts,
 )
