@@ -15,5 +15,6 @@ from sparkwell.plans import (  # noqa: F401
     keyvalue,
     vectors_text,
     observe,
+    business,
     sets_sorts,
 )
