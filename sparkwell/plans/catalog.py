@@ -16,5 +16,6 @@ from sparkwell.plans import (  # noqa: F401
     vectors_text,
     observe,
     business,
+    quality,
     sets_sorts,
 )
