@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwell.operators.joins import checked_broadcast
 from sparkwell.session import cut_lineage
 
 
@@ -223,7 +224,7 @@ def copurchase_edges(lines: DataFrame, order: str, item: str, bulk: int = 100) -
 def bought_together(lines: DataFrame, order: str, item: str, seeds: DataFrame) -> DataFrame:
     """(seed, item, weight) for a short list of seeds: walk seed -> orders -> items, no pair table."""
     member = lines.select(F.col(order).alias("o"), F.col(item).alias("i")).distinct()
-    baskets = member.join(F.broadcast(seeds), F.col("i") == F.col("seed")).select("seed", "o")
+    baskets = member.join(checked_broadcast(seeds), F.col("i") == F.col("seed")).select("seed", "o")
     return member.join(baskets, "o").filter("i <> seed").groupBy("seed", F.col("i").alias("item")).agg(
         F.count(F.lit(1)).alias("weight")
     )

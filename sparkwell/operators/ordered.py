@@ -3,7 +3,7 @@
 A plain SQL window sends a whole group to one task. Each operator here first
 checks whether any group can exceed ``spark.sparkwell.window.maxGroupRows``:
 
-* inputs whose plan size is small cannot, so the plain window is used;
+* small inputs cannot, so the plain window is used;
 * otherwise one map-side combined count finds the oversized groups. Only their
   rows are range-partitioned on (keys, order), pinned by a checkpoint, scanned
   chunk by chunk, and shifted by the carried totals of the earlier chunks.
@@ -13,17 +13,18 @@ All results are exact. ``order`` must be total inside a group (add the row id).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwell.session import cut_lineage, plan_bytes
+from sparkwell.session import cut_lineage, input_bytes
 
 MAX_GROUP_CONF = "spark.sparkwell.window.maxGroupRows"
 DEFAULT_MAX_GROUP = 5_000_000
-SMALL_PLAN_BYTES = 32 * 1024 * 1024
+SMALL_INPUT_BYTES = 32 * 1024 * 1024
 
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc"), NULLs last
 
@@ -40,16 +41,20 @@ def max_group_rows(df: DataFrame) -> int:
 
 
 def small_input(df: DataFrame) -> bool:
-    """True when the whole plan is too small to hold an oversized group."""
+    """True when all inputs together are too small to hold an oversized group."""
     if max_group_rows(df) < DEFAULT_MAX_GROUP:
         return False
-    return plan_bytes(df) <= SMALL_PLAN_BYTES
+    return input_bytes(df) <= SMALL_INPUT_BYTES
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Write out an input that is read several times, unless it is a mere scan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return cut_lineage(df) if re.search(r"\b(Join|Aggregate|Window)\b", plan) else df
 
 
 def oversized_groups(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
     """Groups above the row limit with their counts, or None when there are none."""
-    if small_input(df):
-        return None
     limit = max_group_rows(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_group_rows"))
     big = counts.filter(F.col("_group_rows") > limit)
@@ -114,6 +119,9 @@ def running(
     def scan(frame: DataFrame, window) -> DataFrame:
         return frame.withColumns({n: _FOLD[f][0](c).over(window) for n, (f, c) in outputs.items()})
 
+    if small_input(df):
+        return scan(df, plain)
+    df = pinned(df)
     found = oversized_groups(df, keys)
     if found is None:
         return scan(df, plain)
@@ -159,8 +167,11 @@ def over_rows(
     Each expression gets the ordered window. Oversized groups are cut into
     blocks of row numbers; the rows a neighbour block needs are copied to it.
     """
-    found = oversized_groups(df, keys)
     plain = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    if small_input(df):
+        return df.withColumns({n: e(plain) for n, e in exprs.items()})
+    df = pinned(df)
+    found = oversized_groups(df, keys)
     if found is None:
         return df.withColumns({n: e(plain) for n, e in exprs.items()})
     big, _ = found
@@ -241,8 +252,15 @@ def exact_percentiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    scanned = running(combined, keys, [(value, "asc")], {"_upto": ("sum", F.col("_c"))})
-    sized = with_group_stats(scanned, keys, n=F.sum("_c"))
+    if small_input(df):
+        whole = Window.partitionBy(*keys)
+        upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sized = combined.withColumns({"_upto": F.sum("_c").over(upto), "n": F.sum("_c").over(whole)})
+    else:
+        combined = cut_lineage(combined)
+        scanned = running(combined, keys, [(value, "asc")], {"_upto": ("sum", F.col("_c"))})
+        totals = combined.groupBy(*keys).agg(F.sum("_c").alias("n"))
+        sized = join_back(scanned, totals, keys)
     aggs = [F.max("n").alias("n")]
     for name, p in points.items():
         place = F.lit(p) * (F.col("n") - 1)

@@ -1,10 +1,10 @@
 """Updates, deletes, merges, dimension history, layers and schema changes."""
 
 from sparkwell.operators.merge import (
-    delete_where, differs, merge, merged_rows, scd2, scd3, surrogate_keys, update_from, update_where,
+    delete_where, merge, merged_rows, scd2, scd3, surrogate_keys, update_from, update_where,
 )
-from sparkwell.operators.ordered import join_back, latest_per_key, with_group_stats
-from sparkwell.plans.common import F, Tables, big, col, day, lit, net, query, rows, when
+from sparkwell.operators.ordered import latest_per_key, with_group_stats
+from sparkwell.plans.common import F, Tables, big, col, lit, net, query, rows, when
 from sparkwell.session import shared_path
 from sparkwell.sources.sinks import spread_by
 from sparkwell.sources.versioned import VersionedTable

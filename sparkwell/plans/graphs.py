@@ -7,7 +7,8 @@ of order k + 1. Its status is the edge type, urgent orders are the critical edge
 from sparkwell.functions.hashing import md5_bucket
 from sparkwell.operators import graph
 from sparkwell.operators.ordered import top_per_group
-from sparkwell.plans.common import F, Tables, big, col, lit, query, rows, when
+from sparkwell.session import cut_lineage
+from sparkwell.plans.common import F, Tables, col, lit, query, rows
 
 EDGES_SQL = """edges AS MATERIALIZED (SELECT a.o_orderkey AS id, a.o_custkey AS src, b.o_custkey AS dst, a.o_orderstatus AS type, a.o_totalprice AS amount,
     a.o_orderpriority = '1-URGENT' AS critical FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_custkey <> b.o_custkey)"""
@@ -66,7 +67,8 @@ def best_sellers(t: Tables):
 )
 def recommend_products(t: Tables, limit: int = 5):
     """Top items bought together with the best seller of each brand."""
-    near = graph.bought_together(t.lineitem, "l_orderkey", "l_partkey", best_sellers(t))
+    seeds = cut_lineage(best_sellers(t))
+    near = graph.bought_together(t.lineitem, "l_orderkey", "l_partkey", seeds)
     return top_per_group(near, ["seed"], [("weight", "desc"), ("item", "asc")], limit, "place")
 
 

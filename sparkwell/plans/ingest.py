@@ -2,7 +2,6 @@
 
 import uuid
 
-from sparkwell.operators.ordered import latest_per_key, with_row_number
 from sparkwell.plans.common import F, Tables, big, col, day, lit, query, rows, when
 from sparkwell.session import shared_path
 from sparkwell.sources import archives, readers

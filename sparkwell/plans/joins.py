@@ -5,9 +5,10 @@ from sparkwell.operators.joins import (
 )
 from sparkwell.operators.ordered import over_rows, with_group_stats, with_peers
 from sparkwell.operators.sketches import bloom_prefilter_join
-from sparkwell.plans.common import F, Tables, big, col, day, lit, net, query, rows, when
+from sparkwell.plans.common import F, Tables, col, day, lit, net, query, rows, when
 
 EARLY = "o_orderdate < TIMESTAMP '1995-07-01'"
+EARLY_ROWS = EARLY.replace("TIMESTAMP", "TIMESTAMP_NTZ")  # the column's own type, so the filter reaches the scan
 
 
 @query(
@@ -38,7 +39,7 @@ def join_using(t: Tables):
         LEFT JOIN (SELECT * FROM orders WHERE {EARLY}) ON o_custkey = c_custkey GROUP BY c_custkey""",
 )
 def join_left(t: Tables):
-    counts = t.orders.filter(EARLY).groupBy("o_custkey").agg(F.count("o_orderkey").alias("orders"))
+    counts = t.orders.filter(EARLY_ROWS).groupBy("o_custkey").agg(F.count("o_orderkey").alias("orders"))
     joined = t.customer.join(counts, col("c_custkey") == col("o_custkey"), "left")
     return joined.select("c_custkey", F.coalesce("orders", lit(0)).alias("orders"))
 
@@ -49,7 +50,7 @@ def join_left(t: Tables):
         RIGHT JOIN customer ON o_custkey = c_custkey""",
 )
 def join_right(t: Tables):
-    early = t.orders.filter(EARLY)
+    early = t.orders.filter(EARLY_ROWS)
     return early.join(t.customer, col("o_custkey") == col("c_custkey"), "right").select("c_custkey", "o_orderkey")
 
 
@@ -86,7 +87,7 @@ def full_join_mismatch(t: Tables):
     f"SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {EARLY})",
 )
 def join_anti(t: Tables):
-    early = t.orders.filter(EARLY)
+    early = t.orders.filter(EARLY_ROWS)
     return t.customer.join(early, col("c_custkey") == col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
@@ -105,7 +106,7 @@ def join_semi(t: Tables):
         SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM k WHERE k IS NOT NULL)""",
 )
 def not_in_null_safe(t: Tables):
-    keys = t.orders.filter(EARLY).select(F.nullif(col("o_custkey"), lit(7)).alias("k")).filter("k IS NOT NULL")
+    keys = t.orders.filter(EARLY_ROWS).select(F.nullif(col("o_custkey"), lit(7)).alias("k")).filter("k IS NOT NULL")
     return t.customer.join(keys, col("c_custkey") == col("k"), "left_anti").select("c_custkey")
 
 

@@ -6,7 +6,6 @@ from sparkwell.operators.ordered import with_row_number
 from sparkwell.plans.common import F, Tables, Window, big, col, day, lit, query, rows, when
 from sparkwell.session import shared_path
 from sparkwell.sources.readers import with_reasons
-from sparkwell.sources.sinks import spread_by
 
 
 def snapshots(t: Tables):

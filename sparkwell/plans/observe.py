@@ -2,7 +2,7 @@
 
 from sparkwell.operators.metrics import bad_runs, increases, least_squares_slope
 from sparkwell.operators.ordered import over_rows, top_per_group
-from sparkwell.plans.common import F, Tables, Window, big, col, day, lit, query, rows, when
+from sparkwell.plans.common import F, Tables, Window, col, day, lit, query, rows, when
 
 
 def counter(t: Tables):

@@ -5,10 +5,10 @@ from sparkwell.functions.udfs import harmonic_total, parse_records, weighted_mea
 from sparkwell.operators.merge import merge, merged_rows
 from sparkwell.operators.ordered import latest_per_key
 from sparkwell.operators.quality import check_report, gate, key_shares, orphans, unique_report
-from sparkwell.plans.common import F, Tables, big, col, day, lit, net, query, rows, when
+from sparkwell.plans.common import F, Tables, col, day, lit, net, query, rows, when
 from sparkwell.plans.streams import staged
 from sparkwell.session import shared_path
-from sparkwell.sources.readers import split_good_bad, with_reasons
+from sparkwell.sources.readers import with_reasons
 from sparkwell.sources.sinks import replace_partitions
 from sparkwell.sources.versioned import VersionedTable
 from sparkwell.streaming import jobs

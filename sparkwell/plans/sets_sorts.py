@@ -1,7 +1,7 @@
 """Sorting, limits, top-k and set operations."""
 
-from sparkwell.operators.ordered import latest_per_key, top_per_group, with_peers
-from sparkwell.plans.common import F, Tables, big, col, day, lit, net, query, rows, when
+from sparkwell.operators.ordered import with_peers
+from sparkwell.plans.common import F, Tables, col, day, lit, query, rows, when
 from sparkwell.session import shared_path
 from sparkwell.sources.sinks import write_sorted_partitions
 

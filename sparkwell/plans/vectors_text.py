@@ -2,7 +2,7 @@
 
 from sparkwell.operators import vectors
 from sparkwell.operators.ordered import running, with_group_stats, with_row_number
-from sparkwell.plans.common import F, Tables, big, col, lit, query, rows, when
+from sparkwell.plans.common import F, Tables, big, col, lit, query, rows
 from sparkwell.session import cut_lineage
 
 COS = "list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"

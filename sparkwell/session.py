@@ -10,14 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed join partitions also where that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def build_session(app: str = "sparkwell", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, UTC wall clock and no web page."""
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config(map=RUNTIME_CONF)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -29,6 +35,12 @@ def build_session(app: str = "sparkwell", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Runtime settings every query relies on, set on whatever session the caller brings."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
@@ -65,6 +77,12 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of all inputs of a plan together, as Catalyst knows it from the files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; it never shrinks under filters."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -87,9 +87,9 @@ def main(argv: list[str]) -> int:
     sf_dir = "/root/testdata/sf0.01"
     if argv[:1] == ["--dir"]:
         sf_dir, argv = argv[1], argv[2:]
-    spark = build_session(
-        master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
-    )
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    conf |= dict(pair.split("=", 1) for pair in os.environ.get("SPARK_CONF", "").split() if pair)
+    spark = build_session(master="local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     sqls = entry.oracle_sql()
