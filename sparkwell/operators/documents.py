@@ -16,9 +16,8 @@ def order_snapshots(orders: DataFrame, customers: DataFrame, lines: DataFrame, p
     An order of more than ``page`` items continues on further pages of the same
     shape, so no array grows without bound and no item is left out.
     """
-    numbered = with_row_number(
-        lines, ["l_orderkey"], [("l_linenumber", "asc"), ("l_partkey", "asc"), ("l_suppkey", "asc")], "_rn"
-    )
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    numbered = with_row_number(lines, ["l_orderkey"], [(c, "asc") for c in order], "_rn")
     item = F.struct(
         F.col("_rn").alias("pos"), F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity"),
         F.round(F.col("l_extendedprice") / F.col("l_quantity"), 6).alias("unit_price"),
@@ -51,6 +50,6 @@ def validation_rules() -> dict[str, Column]:
 
 
 def term_hits(text: Column, terms: list[str]) -> Column:
-    """Occurrences of any of the terms as whole lower-case words."""
-    words = F.split(F.lower(text), "[^a-z]+")
-    return F.size(F.filter(words, lambda w: w.isin(*terms))).cast("bigint")
+    """Occurrences of any of the terms as whole lower-case words, in one pass over the text."""
+    words = F.lit(rf"(?<![a-z])(?:{'|'.join(terms)})(?![a-z])")
+    return F.regexp_count(F.lower(text), words).cast("bigint")

@@ -146,26 +146,38 @@ def pagerank(nodes: DataFrame, edges: DataFrame, rounds: int = 10, damping: floa
     return ranks
 
 
+def _star(links: DataFrame, large: bool) -> DataFrame:
+    """Link neighbours to the smallest node of a neighbourhood: the larger ones (large star) or the smaller ones."""
+    sides = links if large else links.filter("v <= u")
+    least = sides.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("low", "u"))
+    pairs = sides.join(least, "u")
+    if large:
+        return pairs.filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v")
+    own = least.select("u", F.col("low").alias("v"))
+    return pairs.select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(own).filter("u <> v").distinct()
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): smallest node id of each weakly connected component.
 
-    Every round takes the smallest neighbouring label and then the label of that
-    label, which halves the remaining distances.
+    Alternating large and small stars: every round re-links each neighbourhood to
+    its smallest node, until every node hangs on the smallest of its component.
+    The rounds grow with the logarithm of the size, not with the longest path.
     """
-    links = cut_lineage(both_ways(edges))
-    labels = cut_lineage(nodes.select("node", F.col("node").alias("component")))
+
+    def two_way(df):
+        return df.unionByName(df.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+    links = cut_lineage(edges.filter("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    before = None
     while True:
-        near = links.join(labels, F.col("src") == F.col("node")).groupBy("dst").agg(F.min("component").alias("near"))
-        stepped = labels.join(near, F.col("node") == F.col("dst"), "left").select(
-            "node", F.col("component").alias("old"), F.least("component", "near").alias("mid")
-        )
-        stepped = cut_lineage(stepped)
-        lookup = stepped.select(F.col("node").alias("_k"), F.col("mid").alias("_far"))
-        jumped = stepped.join(lookup, F.col("mid") == F.col("_k"), "left")
-        jumped = cut_lineage(jumped.select("node", "old", F.least("mid", "_far").alias("component")))
-        labels = jumped.select("node", "component")
-        if jumped.filter("component <> old").isEmpty():
-            return labels
+        links = cut_lineage(_star(two_way(_star(two_way(links), large=True)), large=False))
+        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+    found = links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low"))
+    return nodes.select("node").join(found, "node", "left").select("node", F.coalesce("low", "node").alias("component"))
 
 
 def directed_triangles(edges: DataFrame) -> DataFrame:

@@ -38,9 +38,10 @@ def busiest(t: Tables, places: int, skip: int = 0):
 
 @query(
     "graph_build_copurchase",
-    """WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
-       SELECT 'pair' AS kind, a.l_partkey AS a, b.l_partkey AS b, COUNT(*) AS weight FROM m a JOIN m b ON a.l_orderkey = b.l_orderkey
-         AND a.l_partkey < b.l_partkey GROUP BY 2, 3""",
+    """WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), s AS (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM m)
+       SELECT 'pair' AS kind, a.l_partkey AS a, b.l_partkey AS b, COUNT(*) AS weight FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey
+         AND a.l_partkey < b.l_partkey WHERE a.n <= 100 GROUP BY 2, 3
+       UNION ALL SELECT 'bulk', l_partkey, l_orderkey, 1 FROM s WHERE n > 100""",
 )
 def graph_build_copurchase(t: Tables):
     return graph.copurchase_edges(t.lineitem, "l_orderkey", "l_partkey")
@@ -174,16 +175,18 @@ def paths_sql(edges, hops):
 @query(
     "graph_all_paths_cost",
     f"""WITH RECURSIVE {EDGES_SQL}, {SEEDS_SQL}, src_nodes AS (SELECT node FROM seeds WHERE rn = 1),
-          w AS MATERIALIZED (SELECT id, src, dst, id % 10 + 1 AS cost FROM edges WHERE type IN ('F', 'O')), {paths_sql('w', 5)}
+          w AS MATERIALIZED (SELECT MIN(id) AS id, src, dst, MIN(id) % 10 + 1 AS cost FROM edges WHERE type = 'F' GROUP BY src, dst), {paths_sql('w', 4)}
         SELECT array_to_string(nodes, '>') AS route, CAST(hops AS BIGINT) AS hops, round(c, 3) AS coldness FROM p
-        WHERE here = (SELECT node FROM seeds WHERE rn = 2)""",
+        WHERE here IN (SELECT node FROM seeds WHERE rn BETWEEN 2 AND 51)""",
 )
 def graph_all_paths_cost(t: Tables):
-    """Paths of up to five transfers between the two busiest accounts; a step costs 1 / familiarity."""
-    edges = transfers(t).filter(col("type").isin("F", "O")).select(
-        "src", "dst", "id", (1.0 / (col("id") % 10 + 1)).alias("cost")
-    )
-    found = graph.paths_between(edges, busiest(t, 1), busiest(t, 1, skip=1), 5)
+    """Paths of up to four ties from the busiest account to the next fifty; a tie costs 1 / familiarity.
+
+    One tie per pair of accounts. The result has one row per path, so its size is the number of paths.
+    """
+    ties = transfers(t).filter("type = 'F'").groupBy("src", "dst").agg(F.min("id").alias("id"))
+    ties = ties.withColumn("cost", 1.0 / (col("id") % 10 + 1))
+    found = graph.paths_between(ties, busiest(t, 1), busiest(t, 50, skip=1), 4)
     cost = F.aggregate("costs", lit(0.0), lambda a, x: a + x)
     return found.select(F.array_join("nodes", ">").alias("route"), "hops", F.round(cost, 3).alias("coldness"))
 

@@ -12,9 +12,12 @@ def snapshots(t: Tables):
     return order_snapshots(t.orders, t.customer, t.lineitem)
 
 
-DOCS_SQL = """(SELECT o_orderkey AS order_id, c_custkey, c_name, c_mktsegment AS segment, o_orderstatus AS status, o_orderdate, COUNT(*) AS n_items,
-   SUM(l_extendedprice) AS amount, MAX(l_quantity) AS top_qty, list(l_partkey) AS parts FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-   JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
+ITEMS_SQL = """(SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice, ROW_NUMBER() OVER (PARTITION BY l_orderkey
+   ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos FROM lineitem)"""
+
+DOCS_SQL = f"""(SELECT o_orderkey AS order_id, (pos - 1) // 1000 AS page, c_custkey, c_name, c_mktsegment AS segment, o_orderstatus AS status, o_orderdate,
+   COUNT(*) AS n_items, SUM(l_extendedprice) AS amount, MAX(l_quantity) AS top_qty, list(l_partkey) AS parts FROM {ITEMS_SQL}
+   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
 @query(
@@ -72,10 +75,6 @@ def doc_sort_filter(t: Tables):
     return kept.select("p_partkey", "p_name", "p_size").orderBy(col("p_size").desc(), "p_partkey")
 
 
-ITEMS_SQL = """(SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice,
-   ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos FROM lineitem)"""
-
-
 @query(
     "doc_embed_order",
     f"""SELECT o_orderkey AS order_id, (pos - 1) // 1000 AS page, c_name AS customer, COUNT(*) AS n_items, round(SUM(l_extendedprice), 2) AS amount,

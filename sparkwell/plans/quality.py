@@ -9,7 +9,6 @@ from sparkwell.plans.common import F, Tables, col, day, lit, net, query, rows, w
 from sparkwell.plans.streams import staged
 from sparkwell.session import shared_path
 from sparkwell.sources.readers import with_reasons
-from sparkwell.sources.sinks import replace_partitions
 from sparkwell.sources.versioned import VersionedTable
 from sparkwell.streaming import jobs
 
@@ -217,7 +216,7 @@ def udf_foreach_batch(t: Tables):
 
     def write(df, batch_id):
         counts = df.groupBy("page").agg(rows().alias("n"))
-        replace_partitions(counts.withColumn("batch_id", lit(batch_id).cast("bigint")), stage.sink, "batch_id")
+        jobs.write_batch(counts, stage.sink, batch_id)
 
     jobs.drain_each_batch(stage.views(), write, stage.checkpoint, "append")
     written = t.spark.read.schema("page STRING, n BIGINT, batch_id BIGINT").parquet(stage.sink)

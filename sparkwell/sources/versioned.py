@@ -1,57 +1,63 @@
-"""Tables replaced as a whole: data first, then one commit row.
+"""Tables replaced as a whole: data first, then one small commit file.
 
 A reader sees the last committed version, so a job that dies half-way leaves
-the old table in place, and running it again is safe.
+the old table in place, and running it again is safe. A commit is a rename to
+the next free version name, so two writers cannot both take it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-COMMIT_SCHEMA = "version BIGINT, data_path STRING, note STRING"
+from pyspark.sql.types import StructType
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.log = f"{self.path}/_commits_log"
-
-    def _commits(self) -> DataFrame | None:
-        jvm = self.spark._jvm
-        log = jvm.org.apache.hadoop.fs.Path(self.log)
-        fs = log.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(log):
-            return None
-        return self.spark.read.schema(COMMIT_SCHEMA).json(self.log)
-
-    def _last(self):
-        commits = self._commits()
-        if commits is None:
-            return None
-        return commits.orderBy(F.col("version").desc()).first()
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._log = self._hadoop.Path(f"{self.path}/_commits")
+        self._fs = self._log.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[str]:
+        """Names of the commit files, oldest first."""
+        if not self._fs.exists(self._log):
+            return []
+        names = [status.getPath().getName() for status in self._fs.listStatus(self._log)]
+        return sorted(n for n in names if n.endswith(".json"))
+
+    def _commit(self, name: str) -> dict:
+        stream = self._fs.open(self._hadoop.Path(self._log, name))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def notes(self) -> list[str]:
-        commits = self._commits()
-        return [] if commits is None else [r.note for r in commits.orderBy("version").collect()]
+        return [self._commit(n)["note"] for n in self._versions()]
 
     def replace(self, df: DataFrame, note: str = "", partition_by: tuple[str, ...] = ()) -> None:
         """Write the next version; ``df`` may read the current one."""
-        last = self._last()
-        version = 0 if last is None else last.version + 1
-        data = f"{self.path}/v{version:06d}-{uuid.uuid4().hex[:8]}"
+        number = len(self._versions())
+        data = f"{self.path}/v{number:06d}-{uuid.uuid4().hex[:8]}"
         df.write.partitionBy(*partition_by).parquet(data)
-        row = self.spark.createDataFrame([(version, data, note)], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").json(self.log)
+        draft = self._hadoop.Path(self._log, f"{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(draft, False)
+        out.write(bytearray(json.dumps({"data_path": data, "note": note, "schema": df.schema.json()}).encode()))
+        out.close()
+        final = self._hadoop.Path(self._log, f"{number:06d}.json")
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
+            raise RuntimeError(f"version {number} of {self.path} was committed by another writer")
 
     def read(self) -> DataFrame:
-        last = self._last()
-        if last is None:
+        versions = self._versions()
+        if not versions:
             raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(last.data_path)
+        last = self._commit(versions[-1])
+        return self.spark.read.schema(StructType.fromJson(json.loads(last["schema"]))).parquet(last["data_path"])
 
     def apply_once(self, note: str, change) -> bool:
         """Run a named change unless its note is already in the log."""

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from sparkwell.operators.ordered import latest_per_key
-from sparkwell.sources.sinks import replace_partitions
 
 BAD_PRODUCT = "__BAD__"  # fixed group name for records without a product
 
@@ -113,12 +112,16 @@ def drain_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], ch
     return _finish(writer.trigger(availableNow=True).start())
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write partition ``batch_id=n`` by overwrite, evaluating the batch once: a replay replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def batch_partition_writer(path: str, change: Callable[[DataFrame], DataFrame] | None = None):
-    """A foreachBatch function that writes partition ``batch_id=n`` by overwrite: a replayed batch replaces itself."""
+    """The foreachBatch function for ``write_batch``."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        out = df if change is None else change(df)
-        replace_partitions(out.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, "batch_id")
+        write_batch(df if change is None else change(df), path, batch_id)
 
     return write
 
