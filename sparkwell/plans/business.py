@@ -271,7 +271,7 @@ SURGE_SQL = """SELECT l_suppkey % 10 AS pickup_zone, CAST(l_linenumber AS BIGINT
         ORDER BY per_mile DESC, 1, 2, 3 LIMIT 100""",
 )
 def fhv_surge_hotspots(t: Tables, now: str = "2001-08-15", min_trips: int = 2):
-    """Dearest zone, hour and weekday cells of the latest complete month (the reference asks for 200 trips a cell)."""
+    """Dearest zone, hour and weekday cells of the latest complete month (200 trips a cell on full data)."""
     start, end = last_full_month(now)
     month = trips(t).filter((col("pickup") >= start) & (col("pickup") < end))
     priced = month.withColumn("per_mile", col("fare") / F.nullif(col("miles"), lit(0.0)))
@@ -303,7 +303,7 @@ def fhv_wait_percentiles(t: Tables, now: str = "2024-01-31", hour: int = 8):
        GROUP BY 1, 2 HAVING COUNT(*) >= 10 ORDER BY match_rate DESC, 1, 2 LIMIT 20""",
 )
 def fhv_shared_match(t: Tables, now: str = "1998-06-01", min_requests: int = 10):
-    """Matched over requested shared rides per zone pair, trailing 90 days (the reference asks for 500 requests)."""
+    """Matched over requested shared rides per zone pair, trailing 90 days (500 requests on full data)."""
     window = (col("pickup") >= ntz(now) - F.expr("INTERVAL 90 DAYS")) & (col("pickup") < ntz(now))
     asked = trips(t).filter(window & col("l_returnflag").isin("A", "R"))
     pairs = asked.groupBy("pickup_zone", "dropoff_zone").agg(

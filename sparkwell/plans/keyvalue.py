@@ -65,7 +65,7 @@ def reconcile_counter_drift(t: Tables):
     """SELECT event_id, user_id, ROW_NUMBER() OVER (PARTITION BY user_id, epoch_ms(ts) // 86400000 ORDER BY ts, event_id) > 3 AS blocked FROM events""",
 )
 def rate_limit_fixed_window(t: Tables, limit: int = 3, window: int = 86400):
-    """Requests beyond the limit within a fixed window are blocked (the reference: 5 per 60 s)."""
+    """Requests beyond the limit within a fixed window are blocked (typically 5 per 60 s)."""
     bucket = F.floor(F.unix_timestamp(col("ts").cast("timestamp")) / window)
     calls = t.events.select("event_id", "user_id", "ts", bucket.alias("bucket"))
     counted = with_row_number(calls, ["user_id", "bucket"], [("ts", "asc"), ("event_id", "asc")], "n")

@@ -307,7 +307,7 @@ def price_change(t: Tables):
               CAST(SUM(is_new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM f""",
 )
 def sessionize_lag(t: Tables):
-    """Minute boundaries crossed since the last event; above 360 starts a session (the reference uses 30)."""
+    """Minute boundaries crossed since the last event; above 360 starts a session (30 is usual for web sessions)."""
     order = [("ts", "asc"), ("event_id", "asc")]
     events = t.events.select("event_id", "user_id", "ts")
     lagged = over_rows(events, ["user_id"], order, {"prev": lambda w: F.lag("ts").over(w)}, before=1)
