@@ -19,7 +19,7 @@ def bloom_words(keys: DataFrame, key: str, bits: int = 1 << 17, hashes: int = 5)
 
 
 def bloom_array(keys: DataFrame, key: str, bits: int = 1 << 17, hashes: int = 5) -> DataFrame:
-    """The whole filter as one array of ``bits / 64`` longs: 16 KB by default, whatever the key count."""
+    """The whole filter as one array of ``bits / 64`` longs, at most 2 MB whatever the key count."""
     words = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word"))
     filled = words.join(bloom_words(keys, key, bits, hashes), "word", "left")
     cell = F.struct("word", F.coalesce("value", F.lit(0)).alias("value"))
@@ -34,8 +34,23 @@ def bloom_might_contain(bloom: Column, key: Column, bits: int = 1 << 17, hashes:
     return F.forall(bloom_positions(key, bits, hashes), present)
 
 
-def bloom_prefilter_join(big: DataFrame, small: DataFrame, key: str, bits: int = 1 << 17, hashes: int = 5) -> DataFrame:
-    """Drop definite non-matches of ``big`` before the shuffle, then join exactly."""
+MAX_BLOOM_BITS = 1 << 24  # 2 MB
+
+
+def bloom_bits(keys: int) -> int | None:
+    """Ten bits a key, as a power of two; None when the largest filter would be too full to help."""
+    wanted = max(1 << 17, 1 << (10 * keys - 1).bit_length() if keys else 0)
+    return wanted if wanted <= MAX_BLOOM_BITS else None
+
+
+def bloom_prefilter_join(big: DataFrame, small: DataFrame, key: str, hashes: int = 5) -> DataFrame:
+    """Drop definite non-matches of ``big`` before the shuffle, then join exactly.
+
+    The filter is sized by the key count of ``small``; beyond its bound the plain join is used.
+    """
+    bits = bloom_bits(small.select(key).distinct().count())
+    if bits is None:
+        return big.join(small, key)
     bloom = bloom_array(small, key, bits, hashes)
     kept = big.withColumn("_bloom", bloom.scalar()).filter(
         F.col(key).isNotNull() & bloom_might_contain(F.col("_bloom"), F.col(key), bits, hashes)

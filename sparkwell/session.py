@@ -39,6 +39,10 @@ def prepare(spark: SparkSession) -> None:
     """Runtime settings every query relies on, set on whatever session the caller brings."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    partitions = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
+        # the cluster default is far too many tasks and state stores for one machine
+        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
 
 
 def shared_root(spark: SparkSession) -> str:
