@@ -26,7 +26,7 @@ class RevenueStore:
         self.partials = f"{path}/partials"
         self.checkpoint = f"{path}/checkpoint"
         self.hourly = VersionedTable(spark, f"{path}/hourly")
-        self._by_hour: DataFrame | None = None
+        self._by_hour: dict[int, float] | None = None
 
     def run_etl(self, landing: str) -> int:
         """Load the files that are new in ``landing``; returns the number of batches (0 = nothing new)."""
@@ -54,9 +54,8 @@ class RevenueStore:
         return float(found or 0.0)
 
     def avg_revenue(self, hour: int) -> float:
-        """Mean over days of the revenue in one hour; the 24 answers are held as a local table."""
+        """Mean over days of the revenue in one hour; the 24 answers are kept until the next load."""
         if self._by_hour is None:
             means = self.hourly.read().groupBy("hour").agg(F.avg("total").alias("mean"))
-            self._by_hour = self.spark.createDataFrame(means.toPandas(), "hour BIGINT, mean DOUBLE")  # 24 rows
-        found = self._by_hour.filter(F.col("hour") == hour).collect()
-        return found[0].mean if found else 0.0
+            self._by_hour = {r.hour: r["mean"] for r in means.collect()}  # one row per hour of the day
+        return self._by_hour.get(hour, 0.0)
