@@ -175,18 +175,18 @@ def paths_sql(edges, hops):
 @query(
     "graph_all_paths_cost",
     f"""WITH RECURSIVE {EDGES_SQL}, {SEEDS_SQL}, src_nodes AS (SELECT node FROM seeds WHERE rn = 1),
-          w AS MATERIALIZED (SELECT MIN(id) AS id, src, dst, MIN(id) % 10 + 1 AS cost FROM edges WHERE type = 'F' GROUP BY src, dst), {paths_sql('w', 4)}
+          w AS MATERIALIZED (SELECT MIN(id) AS id, src, dst, MIN(id) % 10 + 1 AS cost FROM edges WHERE type = 'F' GROUP BY src, dst), {paths_sql('w', 5)}
         SELECT array_to_string(nodes, '>') AS route, CAST(hops AS BIGINT) AS hops, round(c, 3) AS coldness FROM p
         WHERE here IN (SELECT node FROM seeds WHERE rn BETWEEN 2 AND 51)""",
 )
 def graph_all_paths_cost(t: Tables):
-    """Paths of up to four ties from the busiest account to the next fifty; a tie costs 1 / familiarity.
+    """Paths of up to five ties from the busiest account to the next fifty; a tie costs 1 / familiarity.
 
     One tie per pair of accounts. The result has one row per path, so its size is the number of paths.
     """
     ties = transfers(t).filter("type = 'F'").groupBy("src", "dst").agg(F.min("id").alias("id"))
     ties = ties.withColumn("cost", 1.0 / (col("id") % 10 + 1))
-    found = graph.paths_between(ties, busiest(t, 1), busiest(t, 50, skip=1), 4)
+    found = graph.paths_between(ties, busiest(t, 1), busiest(t, 50, skip=1), 5)
     cost = F.aggregate("costs", lit(0.0), lambda a, x: a + x)
     return found.select(F.array_join("nodes", ">").alias("route"), "hops", F.round(cost, 3).alias("coldness"))
 
