@@ -59,26 +59,36 @@ def _sets(docs: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.n
         yield begin, hashes, cut, mix(total[cut[1:]] - total[cut[:-1]] + cut[1:].astype(np.uint64) - cut[:-1].astype(np.uint64))
 
 
+BITS = ("b0", "b1", "b2", "b3")
+
+
+def _bitmaps(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """256 bits for each set, as four integers: bit i is the parity of the shingles whose low byte is i."""
+    cell = np.repeat(np.arange(len(n)), n) * 256 + (hashes & np.uint64(255)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=256 * len(n)) & 1).astype(np.uint8)).view(np.int64).reshape(-1, 4)
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, id, n, key): documents as kind 0; shingles frequent in a block of distinct sets, with their count, as kind 1."""
+    """Documents as kind 0 (id, set size, set key, parity bitmap); shingles frequent in a block of distinct sets, with their count, as kind 1."""
     pool: list[np.ndarray] = []
     held, seen = 0, set()
 
     def frequent():
         values, counts = np.unique(np.concatenate(pool), return_counts=True)
         often = counts >= OFTEN_IN_BLOCK
-        return _batch(1, np.zeros(often.sum(), np.int64), counts[often], values[often])
+        return row(1, np.zeros(often.sum(), np.int64), counts[often], values[often], np.zeros((often.sum(), 4), np.int64))
 
-    def _batch(kind, ids, n, key):
+    def row(kind, ids, n, key, bits):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int8)), pa.array(ids, pa.int64()), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64))],
-            names=["kind", "id", "n", "key"],
+            [pa.array(np.full(len(key), kind, np.int8)), pa.array(ids, pa.int64()), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64))]
+            + [pa.array(bits[:, i].copy()) for i in range(4)],
+            names=["kind", "id", "n", "key", *BITS],
         )
 
     for batch in batches:
         docs, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
         for begin, hashes, cut, keys in _sets(docs):
-            yield _batch(0, ids[begin : begin + len(keys)], np.diff(cut), keys)
+            yield row(0, ids[begin : begin + len(keys)], np.diff(cut), keys, _bitmaps(hashes, np.diff(cut)))
             for i, key in enumerate(keys.tolist()):
                 if key not in seen:
                     seen.add(key)
@@ -92,20 +102,26 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(last: np.ndarray):
-    """Per set: (token, set_key, n, pos, often) of its prefix and, in the row of position 0, its parity bitmap."""
+    """(token, set_key, n, pos, often) of the prefix of each set, once for equal sets of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for _, hashes, cut, keys in _sets(as_bytes(batch.column(0))):
                 n = np.diff(cut)
                 doc = np.repeat(np.arange(len(n)), n)
+                fresh = np.zeros(len(n), bool)
+                for i, key in enumerate(keys.tolist()):
+                    if key not in seen:
+                        seen.add(key)
+                        fresh[i] = True
                 often = np.zeros(len(hashes), bool)
                 if len(last):
                     often = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
                 order = np.lexsort((hashes, often, doc))
                 pos = np.arange(len(hashes)) - cut[doc]
                 size = n[doc]
-                keep = pos < size - -(-NUM * size // DEN) + 1
+                keep = (pos < size - -(-NUM * size // DEN) + 1) & fresh[doc]
                 picked = order[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (hashes[picked].view(np.int64), keys[doc[keep]].view(np.int64), size[keep].astype(np.int32), pos[keep].astype(np.int32), often[picked])],
@@ -127,22 +143,6 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set_key, n, b0 .. b3): bit i is the parity of the shingles whose low byte is i."""
-    for batch in batches:
-        for _, hashes, cut, keys in _sets(as_bytes(batch.column(0))):
-            n = np.diff(cut)
-            cell = np.repeat(np.arange(len(n)), n) * 256 + (hashes & np.uint64(255)).astype(np.int64)
-            bits = np.packbits((np.bincount(cell, minlength=256 * len(n)) & 1).astype(np.uint8)).view(np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32)), *(pa.array(bits[:, i].copy()) for i in range(4))],
-                names=["set_key", "n", "b0", "b1", "b2", "b3"],
-            )
-
-
-BITS = ("b0", "b1", "b2", "b3")
-
-
 def _least_distance(a: str, b: str) -> Column:
     """A lower bound of the Jaccard distance from sizes and parity bitmaps, as a double."""
     n = F.col(f"{a}.n") + F.col(f"{b}.n")
@@ -159,8 +159,9 @@ class _Join:
     def __init__(self, docs: DataFrame):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        summary = stored(self.docs.select("doc_id", "text").mapInArrow(_summaries, "kind tinyint, id bigint, n bigint, key bigint"), "sets")
+        summary = stored(self.docs.select("doc_id", "text").mapInArrow(_summaries, "kind tinyint, id bigint, n bigint, key bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint"), "sets")
         self.members = summary.filter("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("key").alias("set_key"))
+        self.bits = summary.filter("kind = 0 AND n > 0").select(F.col("key").alias("set_key"), F.col("n").cast("int").alias("n"), *BITS)
         #: one row for each distinct set: its smallest document and how many have it
         self.classes = stored(
             self.members.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes"
@@ -172,14 +173,14 @@ class _Join:
     def index(self) -> DataFrame:
         """The lists of at least two distinct sets: (token, set_key, n, pos, band)."""
         rows = self.docs.select("text").mapInArrow(_prefixes(self.last), "token bigint, set_key bigint, n int, pos int, often boolean")
-        key = ["token", "set_key", "n", "pos"]
-        # one exchange by token; a token that is not in the list of frequent ones is rare in every block
-        rare = rows.filter("NOT often").select(key).repartition("token").dropDuplicates(["token", "set_key"])
-        span = Window.partitionBy("token")
-        rare = rare.withColumn("lo", F.min("set_key").over(span)).withColumn("hi", F.max("set_key").over(span)).filter("lo < hi").select(key)
-        common = rows.filter("often").select(key).distinct()
+        # one exchange: a rare token goes to one task with its whole list; a frequent one, in company for sure, is spread
+        part = F.when(F.col("often"), F.xxhash64("token", "set_key")).otherwise(F.col("token"))
+        dealt = rows.withColumn("part", part).repartition("part").dropDuplicates(["part", "token", "set_key"])
+        span = Window.partitionBy("part")
+        dealt = dealt.withColumn("lo", F.min("set_key").over(span)).withColumn("hi", F.max("set_key").over(span))
+        lists = dealt.filter("often OR lo < hi").select("token", "set_key", "n", "pos")
         band = F.floor(F.log(F.col("n").cast("double")) / math.log(DEN / NUM)).cast("int")
-        return stored(rare.unionByName(common).withColumn("band", band), "index")
+        return stored(lists.withColumn("band", band), "index")
 
     def tokens(self, keys: DataFrame, label: str) -> DataFrame:
         """(set_key, tokens) of some sets, read again from the text of one document of each."""
@@ -205,15 +206,15 @@ class _Join:
     def edges(self) -> DataFrame:
         """Links of distinct sets, enough to connect every pair that a chain of links connects."""
         index = self.index()
-        bitmaps = self.docs.select("text").mapInArrow(_bitmaps, "set_key bigint, n int, b0 bigint, b1 bigint, b2 bigint, b3 bigint")
         listed = index.select("set_key").distinct()
-        bits = stored(bitmaps.distinct().join(listed, "set_key"), "bitmaps")
+        bits = stored(self.bits.distinct().join(listed, "set_key"), "bitmaps")
 
         # each set against the block leader that it meets most
         heads = index.groupBy("token", "band").agg(F.min("set_key").alias("b"))
         met = index.join(heads, ["token", "band"]).filter("set_key <> b").groupBy(F.col("set_key").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"))
         near = met.alias("m").join(bits.alias("x"), F.col("m.a") == F.col("x.set_key")).join(bits.alias("y"), F.col("m.b") == F.col("y.set_key"))
-        near = near.filter(_least_distance("x", "y") <= LIMIT).select("m.a", "m.b", "m.times")
+        # a leader met in few lists is left to the comparison of groups
+        near = near.filter((F.col("m.times") * 20 >= F.col("x.n")) & (_least_distance("x", "y") <= LIMIT)).select("m.a", "m.b", "m.times")
         best = near.groupBy("a").agg(F.max(F.struct("times", F.col("b"))).alias("top")).select("a", F.col("top.b").alias("b"))
         led = self.compare(best, "leader").filter("link")
 
@@ -221,18 +222,20 @@ class _Join:
         member = led.select(F.col("a").alias("set_key"), F.col("b").alias("lead"), "distance")
         grouped = index.join(member, "set_key", "left").withColumn("lead", F.coalesce("lead", "set_key")).withColumn("distance", F.coalesce("distance", F.lit(0.0)))
         grouped = stored(grouped, "grouped")
-        width = grouped.groupBy("lead").agg(F.max("distance").alias("width"))
-        blocks_ = grouped.groupBy("token", "band", "lead").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
-        side = blocks_.join(bits.join(width, F.col("set_key") == F.col("lead")).select("lead", "n", "width", *BITS), "lead")
-        side = stored(side, "blocks")
+        extent = grouped.groupBy("lead").agg(F.max("distance").alias("width"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+        leads = stored(extent.join(bits, F.col("set_key") == F.col("lead")).drop("set_key"), "leads")
+        side = stored(grouped.select("token", "band", "lead").distinct().join(leads, "lead"), "blocks")
         other = side.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
         x, y = side.alias("x"), other.alias("y")
         sizes = (DEN * F.col("x.hi") >= NUM * F.col("y.lo")) & (DEN * F.col("y.hi") >= NUM * F.col("x.lo"))
-        # what stands from the shared shingle on must hold the least overlap
-        places = (NUM + DEN) * F.least("x.rest", "y.rest") >= NUM * (F.col("x.lo") + F.col("y.lo"))
-        far = _least_distance("x", "y") <= LIMIT + F.col("x.width") + F.col("y.width")
-        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.lead") < F.col("y.lead")) & sizes & places & far)
-        pairs = meet.select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b"), (F.col("x.width") + F.col("y.width")).alias("slack")).distinct()
+        slack = F.col("x.width") + F.col("y.width")
+        far = _least_distance("x", "y") <= LIMIT + slack
+        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.lead") < F.col("y.lead")) & sizes & far)
+        # shingles after the shorter prefix add at most what stands there, so the prefixes must share the rest
+        least = (NUM * (F.col("x.lo") + F.col("y.lo")) / (NUM + DEN)) - NUM * F.greatest("x.hi", "y.hi") / DEN
+        met = meet.select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b"), slack.alias("slack"), least.alias("least"))
+        pairs = met.groupBy("a", "b", "slack", "least").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= F.col("least") - 1)
+        pairs = pairs.select("a", "b", "slack")
         groups = self.compare(pairs, "group")
         links = led.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(groups.filter("link").select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
