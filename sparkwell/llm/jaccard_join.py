@@ -219,21 +219,27 @@ class _Join:
         led = self.compare(best, "leader").filter("link")
 
         # groups against groups, through their leaders
-        member = led.select(F.col("a").alias("set_key"), F.col("b").alias("lead"), "distance")
-        grouped = index.join(member, "set_key", "left").withColumn("lead", F.coalesce("lead", "set_key")).withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-        grouped = stored(grouped, "grouped")
-        extent = grouped.groupBy("lead").agg(F.max("distance").alias("width"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+        member = stored(led.select(F.col("a").alias("set_key"), F.col("b").alias("lead"), "distance"), "members")
+        grouped = index.join(small_side(member), "set_key", "left")
+        grouped = grouped.withColumn("lead", F.coalesce("lead", "set_key")).withColumn("distance", F.coalesce("distance", F.lit(0.0)))
+        of_set = grouped.groupBy("set_key", "lead", "distance", "n").agg(F.count(F.lit(1)).alias("lists"))
+        of_set = stored(of_set, "grouped")
+        extent = of_set.groupBy("lead").agg(F.max("distance").alias("width"), F.min("n").alias("lo"), F.max("n").alias("hi"))
         leads = stored(extent.join(bits, F.col("set_key") == F.col("lead")).drop("set_key"), "leads")
-        side = stored(grouped.select("token", "band", "lead").distinct().join(leads, "lead"), "blocks")
-        other = side.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+        rows = grouped.groupBy("token").agg(F.min("lead").alias("first"), F.max("lead").alias("last")).filter("first < last").select("token")
+        side = grouped.join(rows, "token", "left_semi").select("token", "band", "lead").distinct()
+        side = stored(side.join(small_side(leads), "lead"), "blocks")
+        # two sizes that may link lie in one band or in neighbouring ones
+        other = side.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("step"))
         x, y = side.alias("x"), other.alias("y")
         sizes = (DEN * F.col("x.hi") >= NUM * F.col("y.lo")) & (DEN * F.col("y.hi") >= NUM * F.col("x.lo"))
+        ordered = F.when(F.col("y.step") == 0, F.col("x.lead") < F.col("y.lead")).otherwise(F.col("x.lead") != F.col("y.lead"))
         slack = F.col("x.width") + F.col("y.width")
         far = _least_distance("x", "y") <= LIMIT + slack
-        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.lead") < F.col("y.lead")) & sizes & far)
+        meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & ordered & sizes & far)
         # shingles after the shorter prefix add at most what stands there, so the prefixes must share the rest
         least = (NUM * (F.col("x.lo") + F.col("y.lo")) / (NUM + DEN)) - NUM * F.greatest("x.hi", "y.hi") / DEN
-        met = meet.select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b"), slack.alias("slack"), least.alias("least"))
+        met = meet.select(F.least("x.lead", "y.lead").alias("a"), F.greatest("x.lead", "y.lead").alias("b"), slack.alias("slack"), least.alias("least"))
         pairs = met.groupBy("a", "b", "slack", "least").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= F.col("least") - 1)
         pairs = pairs.select("a", "b", "slack")
         groups = self.compare(pairs, "group")
@@ -249,11 +255,11 @@ class _Join:
         of = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
         open_ = open_.join(of("a"), "a", "left").join(of("b"), "b", "left")
         open_ = open_.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", F.col("distance").alias("apart"))
-        rows = grouped.select("token", "set_key", "lead", "n", "distance").join(bits.select("set_key", *BITS), "set_key")
+        rows = of_set.drop("n").join(bits, "set_key")
         left = rows.alias("x").join(open_.alias("o"), F.col("x.lead") == F.col("o.a"))
         pairs = left.join(
             rows.alias("y"),
-            (F.col("o.b") == F.col("y.lead")) & (F.col("x.token") == F.col("y.token"))
+            (F.col("o.b") == F.col("y.lead"))
             & (DEN * F.col("x.n") >= NUM * F.col("y.n")) & (DEN * F.col("y.n") >= NUM * F.col("x.n"))
             & (F.col("o.apart") <= LIMIT + F.col("x.distance") + F.col("y.distance")) & (_least_distance("x", "y") <= LIMIT),
         )
