@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sparkwell.llm.exact_dedup import find_copies
 from sparkwell.llm.jaccard_join import jaccard_components
+from sparkwell.llm.secret_scan import KINDS, LIVE_DISTINCT, LIVE_LENGTH, MAX_OWNERS, MAX_REPOSITORIES, scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +31,77 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query(
+    "op2_exact_dedup",
+    """
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+    """,
+)
+def op2_exact_dedup(spark, sf_dir):
+    return find_copies(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 @query("op5_ngram_jaccard_join")
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
+
+
+def _secret_sql() -> str:
+    found = " UNION ALL ".join(
+        f"""
+        SELECT doc_id, source, lang, {i} AS kind, {k.least} AS least,
+               string_split_regex(text, '{k.pattern.replace("'", "''")}') AS pieces,
+               regexp_extract_all(text, '{k.pattern.replace("'", "''")}', 0) AS matches,
+               regexp_extract_all(text, '{k.pattern.replace("'", "''")}', {k.group}) AS vals
+        FROM texts WHERE regexp_matches(text, '{k.pattern.replace("'", "''")}')
+        """
+        for i, k in enumerate(KINDS)
+    )
+    names = ", ".join(f"'{k.name}'" for k in KINDS)
+    base = sum(k.base for k in KINDS)
+    return f"""
+    WITH texts AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
+    found AS ({found}),
+    each_one AS (
+        SELECT doc_id, source, lang, kind, least, i, pieces[i] AS piece, matches[i] AS match, vals[i] AS value
+        FROM (SELECT *, unnest(generate_series(1, len(matches))) AS i FROM found)
+    ),
+    placed AS (
+        SELECT *, sum(length(piece) + length(match)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM each_one
+    ),
+    spans AS (
+        SELECT doc_id, source, lang, kind, stop - length(match) AS start, stop, value FROM placed WHERE length(value) >= least
+    ),
+    owned AS (
+        SELECT value, count(DISTINCT source) AS owners, count(DISTINCT source || '/' || lang) AS repositories FROM spans GROUP BY value
+    ),
+    judged AS (
+        SELECT doc_id, kind, start, stop,
+               CASE WHEN owners > {MAX_OWNERS} OR repositories > {MAX_REPOSITORIES} THEN 'example'
+                    WHEN length(value) >= {LIVE_LENGTH} AND regexp_matches(value, '[0-9]')
+                         AND len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} THEN 'live'
+                    ELSE 'weak' END AS verdict,
+               [{names}][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS said
+        FROM spans JOIN owned USING (value)
+    ),
+    by_doc AS (
+        SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+               count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (verdict = 'live') AS n_live,
+               count(*) FILTER (verdict = 'example') AS n_example,
+               string_agg(said, ',' ORDER BY start, kind) FILTER (kind < {base}) AS base,
+               string_agg(said, ',' ORDER BY start, kind) AS spans
+        FROM judged WHERE kind < {base} OR verdict = 'live' GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+           coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+    FROM texts LEFT JOIN by_doc USING (doc_id)
+    """
+
+
+@query("op10_secret_scan", _secret_sql())
+def op10_secret_scan(spark, sf_dir):
+    """A source owns its documents; its documents of one language are a repository."""
+    return scan_secrets(documents(spark, sf_dir), F.concat_ws("/", "source", "lang"), F.col("source"))
