@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.session import cut_lineage
+from sparkwell.session import cut_lineage, shared_path
 
 #: Rows up to which a table of a few numbers per row may be broadcast; counted, not estimated.
 BROADCAST_ROWS = 200_000
@@ -16,9 +16,13 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The table, written once to the folder all executors share and read back."""
-    return cut_lineage(df, f"llm-{label}")
+    if codec is None:
+        return cut_lineage(df, f"llm-{label}")
+    path = shared_path(df.sparkSession, f"llm-{label}")
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from sparkwell.llm.exact_dedup import find_copies
 from sparkwell.llm.jaccard_join import jaccard_components
+from sparkwell.llm.packing import pack
 from sparkwell.llm.secret_scan import KINDS, LIVE_DISTINCT, LIVE_LENGTH, MAX_OWNERS, MAX_REPOSITORIES, scan_secrets
+from sparkwell.llm.token_files import read_token_files, write_token_files
+from sparkwell.llm.tokens import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +51,16 @@ def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
 
 
+@query("op8_token_files")
+def op8_token_files(spark, sf_dir):
+    return read_token_files(write_token_files(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")))
+
+
+@query("op9_packing")
+def op9_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def _secret_sql() -> str:
     found = " UNION ALL ".join(
         f"""
