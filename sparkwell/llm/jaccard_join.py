@@ -293,5 +293,5 @@ def nearest_removed(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with that same smallest doc_id all stay.
     """
-    keep = jaccard_components(docs).filter("doc_id = component_id OR doc_id IS NULL").select("doc_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
+    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(small_side(stored(gone, "removed")), "doc_id", "left_anti").select(docs.columns)

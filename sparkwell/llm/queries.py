@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwell.llm.common import fold
 from sparkwell.llm.exact_dedup import find_copies
 from sparkwell.llm.jaccard_join import jaccard_components
+from sparkwell.llm.language_id import identify, learn as learn_languages
 from sparkwell.llm.packing import pack
+from sparkwell.llm.piece_codec import round_trip
+from sparkwell.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, measure
 from sparkwell.llm.secret_scan import KINDS, LIVE_DISTINCT, LIVE_LENGTH, MAX_OWNERS, MAX_REPOSITORIES, scan_secrets
 from sparkwell.llm.token_files import read_token_files, write_token_files
 from sparkwell.llm.tokens import tokenizer_path
+from sparkwell.llm.toxicity import learn, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +39,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold("doc_id", 3) != 1)
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted", F.size("hits").alias("n_hits"))
+
+
 @query(
     "op2_exact_dedup",
     """
@@ -46,11 +59,62 @@ def op2_exact_dedup(spark, sf_dir):
     return find_copies(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op3_language_id")
+def op3_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = identify(docs, learn_languages(docs, fold("doc_id", 4) != 2))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_languages"))
+
+
 @query("op5_ngram_jaccard_join")
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
 
 
+@query("op6_piece_codec")
+def op6_piece_codec(spark, sf_dir):
+    return round_trip(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
+def _quality_sql() -> str:
+    stops = "|".join(dict.fromkeys(STOP_WORDS))
+    limits = " AND ".join(
+        f"coalesce({r.over} / nullif({r.under}, 0) BETWEEN {r.least if r.least > float('-inf') else -1e300} AND {r.most if r.most < float('inf') else 1e300}, true)"
+        for r in RULES
+    )
+    symbols = "".join("\\" + c for c in SYMBOLS)
+    return rf"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
+        FROM documents
+    ),
+    each_word AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM texts),
+    starts AS (
+        SELECT doc_id, i, [t, lead(t, 1) OVER o, lead(t, 2) OVER o, lead(t, 3) OVER o, lead(t, 4) OVER o] AS five
+        FROM each_word WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ),
+    windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM starts WHERE five[5] IS NOT NULL),
+    steps AS (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS step FROM windows WHERE n > 1),
+    repeated AS (SELECT doc_id, sum(step)::BIGINT AS n_repeat_words FROM steps GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[{symbols}]', '', 'g')) AS n_symbols,
+               (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(l)::BIGINT AS n_lines,
+               len([x for x in w if regexp_matches(lower(x), '^(?:{stops})(?:[.,;:!?]|$)')])::BIGINT AS n_stop_words,
+               (len(w) - len([x for x in w if regexp_matches(x, '^[^\p{{L}}]+$')]))::BIGINT AS n_plain_words
+        FROM texts LEFT JOIN repeated USING (doc_id)
+    ),
+    judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words AS base_failed FROM measured)
+    SELECT *, NOT base_failed AND {limits} AS kept FROM judged
+    """
+
+
+@query("op7_quality_rules", _quality_sql())
+def op7_quality_rules(spark, sf_dir):
+    return measure(documents(spark, sf_dir))
+
+
 @query("op8_token_files")
 def op8_token_files(spark, sf_dir):
     return read_token_files(write_token_files(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")))

@@ -45,6 +45,8 @@ GATE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]
 MAX_OWNERS, MAX_REPOSITORIES = 3, 6
 #: A live-looking value has so many characters, a digit, and so many different characters.
 LIVE_LENGTH, LIVE_DISTINCT = 12, 6
+#: Rows up to which documents with spans are broadcast: some hundred bytes each.
+CUT_ROWS = 50_000
 
 
 def _matches(number: int, kind: Kind) -> Column:
@@ -74,10 +76,10 @@ class Scan:
 
     def __init__(self, docs: DataFrame, repository: Column, owner: Column):
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-        rows = docs.select(F.col("doc_id"), text.alias("_text"), repository.cast("string").alias("repository"), owner.cast("string").alias("owner"))
+        rows = docs.select(F.col("doc_id"), text.alias("_text"), F.xxhash64(text).alias("text_hash"), repository.cast("string").alias("repository"), owner.cast("string").alias("owner"))
         kinds = F.concat(*[_matches(i, k) for i, k in enumerate(KINDS)])
         found = F.when(F.col("_text").rlike(GATE), kinds)
-        rows = rows.select("doc_id", "repository", "owner", found.alias("found"))
+        rows = rows.select("doc_id", "text_hash", "repository", "owner", found.alias("found"))
         #: one row for each input row; the number stays with it as it is on shared files
         self.rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "scan")
 
@@ -136,27 +138,24 @@ def redact(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     Overlapping spans are replaced as one, as a secret if any of them is none. Rows and columns
     stay; n_chars, where it exists, is counted again for texts that changed.
     """
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    scan = Scan.__new__(Scan)
-    scan.rows = stored(Scan(numbered.withColumn("doc_id", F.col("_row")), repository, owner).rows.withColumn("row", F.col("doc_id")), "numbered-scan")
+    scan = Scan(docs, repository, owner)
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     spans = scan.spans().withColumn("opens", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
     spans = spans.withColumn("run", F.sum("opens").over(by_start))
     merged = spans.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min((F.col("verdict") == "example").cast("int")).alias("example"))
-    cuts = stored(merged.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "example"))).alias("_cuts")), "cuts")
-    out = numbered.join(cuts, "_row", "left")
+    cuts = merged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "example"))).alias("_cuts"))
+    # equal texts have equal spans, so a document is found again by its id and the hash of its text
+    held = scan.rows.join(cuts, "row").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_cuts")
+    held = stored(held.groupBy("_id", "_hash").agg(F.min("_cuts").alias("_cuts")), "cuts")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_hash"))
+    out = docs.join(small_side(held, CUT_ROWS), same, "left")
+    stop = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cuts"), i - 1)["end"]).cast("int")
     mark = lambda x: F.when(x["example"] == 1, F.lit("<example>")).otherwise(F.lit("<secret>"))
-    last = F.element_at("_cuts", -1)["end"].cast("int")
-    parts = F.transform(
-        "_cuts",
-        lambda x, i: F.concat(
-            F.substring("text", (F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cuts"), i - 1)["end"]) + 1).cast("int"), (x["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cuts"), i - 1)["end"])).cast("int")),
-            mark(x),
-        ),
-    )
-    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(parts, ""), F.substring("text", last + 1, F.lit(2**31 - 1))))
+    parts = F.transform("_cuts", lambda x, i: F.concat(F.substring("text", stop(i) + 1, x["start"].cast("int") - stop(i)), mark(x)))
+    rest = F.substring("text", F.element_at("_cuts", -1)["end"].cast("int") + 1, F.lit(2**31 - 1))
+    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(parts, ""), rest))
     cleaned = out.withColumn("text", text)
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return cleaned.select(docs.columns)
