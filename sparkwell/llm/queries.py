@@ -11,6 +11,7 @@ from sparkwell.llm.common import fold
 from sparkwell.llm.exact_dedup import find_copies
 from sparkwell.llm.jaccard_join import jaccard_components
 from sparkwell.llm.language_id import identify, learn as learn_languages
+from sparkwell.llm.lm_score import score_texts
 from sparkwell.llm.packing import pack
 from sparkwell.llm.piece_codec import round_trip
 from sparkwell.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, measure
@@ -66,6 +67,12 @@ def op3_language_id(spark, sf_dir):
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_languages"))
 
 
+@query("op4_lm_score")
+def op4_lm_score(spark, sf_dir):
+    scored = score_texts(documents(spark, sf_dir), fold("doc_id", 7) != 2, fold("doc_id", 11) == 3)
+    return scored.withColumn("held_out", ~F.col("train")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_ngram_jaccard_join")
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
