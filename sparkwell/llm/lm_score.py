@@ -39,6 +39,8 @@ CHUNK_BYTES = 8 << 20
 BUCKET_WORDS = 2_500_000
 #: Steps of the ratios' binary logarithm in the held-out statistics, and rounds of EM over them.
 STEPS, EM_ROUNDS = 8, 60
+#: Ranges into which matrix cells are dealt to be summed, and parts of the input summed in one group.
+RANGES, PARTS = 64, 256
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
 #: Number of a context or word outside the known ones; the start of a document is context KNOWN.
 RARE, START = KNOWN + 1, KNOWN
@@ -186,7 +188,10 @@ def _deal(table: Table, buckets: int):
             out = []
             for kind, values in ((2, cells[0]), (3, cells[1]), (4, after)):
                 at = np.flatnonzero(values)
-                out.append(_row(-1, part, kind, _zip(np.diff(at, prepend=0).astype(np.uint32)), _zip(values[at])))
+                edges = np.searchsorted(at, np.arange(RANGES + 1) * -(-len(values) // RANGES))
+                for i in np.flatnonzero(np.diff(edges)):
+                    own = at[edges[i] : edges[i + 1]]
+                    out.append(_row(-1 - int(i), part, kind, _zip(np.diff(own, prepend=0).astype(np.uint32)), _zip(values[own].astype(np.int64))))
             yield from pa.Table.from_pylist(out, HEAD).to_batches()
 
     return run
@@ -383,8 +388,9 @@ def score_texts(docs: DataFrame, train: Column, deleted: Column) -> DataFrame:
     cells = by_bucket.applyInArrow(with_table(_held_out), "b bigint, two bigint, one bigint, n bigint")
     cells = cells.groupBy("b", "two", "one").agg(F.sum("n").alias("n")).toPandas().to_numpy(np.int64).astype(float)  # a fixed grid
 
-    # the matrix: parts of the input are summed in groups, so the driver sees a bounded number of them
-    sums = dealt.filter("bucket < 0").withColumn("bucket", F.pmod("chunk", F.lit(16)).cast("int")).groupBy("bucket", "kind").applyInArrow(_sum_cells, HEAD_SQL)
+    # the matrix: each range is summed over groups of parts, then over the groups; the driver sees one matrix
+    sums = dealt.filter("bucket < 0").withColumn("chunk", F.floor(F.col("chunk") / PARTS))
+    sums = sums.groupBy("bucket", "kind", "chunk").applyInArrow(_sum_cells, HEAD_SQL).groupBy("bucket", "kind").applyInArrow(_sum_cells, HEAD_SQL)
     totals = {kind: np.zeros(KNOWN if kind == 4 else (DENSE + 1) * DENSE, np.int64) for kind in (2, 3, 4)}
     for r in sums.toLocalIterator():
         totals[r["kind"]][np.cumsum(_unzip(bytes(r["a"]), np.uint32), dtype=np.int64)] += _unzip(bytes(r["b"]), np.int64)
@@ -405,9 +411,10 @@ def score_texts(docs: DataFrame, train: Column, deleted: Column) -> DataFrame:
 
 
 def _sum_cells(rows: pa.Table) -> pa.Table:
-    kind, bucket = rows["kind"][0].as_py(), rows["bucket"][0].as_py()
-    out = np.zeros(KNOWN if kind == 4 else (DENSE + 1) * DENSE, np.int64)
-    for a, b in zip(rows["a"].to_pylist(), rows["b"].to_pylist()):
-        out[np.cumsum(_unzip(a, np.uint32), dtype=np.int64)] += _unzip(b, np.uint32)
-    at = np.flatnonzero(out)
-    return pa.Table.from_pylist([_row(bucket, 0, kind, _zip(np.diff(at, prepend=0).astype(np.uint32)), _zip(out[at]))], HEAD)
+    """One row for a group of rows of matrix cells of one range and kind."""
+    cell = np.concatenate([np.cumsum(_unzip(a, np.uint32), dtype=np.int64) for a in rows["a"].to_pylist()])
+    at, inverse = np.unique(cell, return_inverse=True)
+    n = np.zeros(len(at), np.int64)
+    np.add.at(n, inverse, np.concatenate([_unzip(b, np.int64) for b in rows["b"].to_pylist()]))
+    first = {c: rows[c][0].as_py() for c in ("bucket", "chunk", "kind")}
+    return pa.Table.from_pylist([_row(first["bucket"], first["chunk"], first["kind"], _zip(np.diff(at, prepend=0).astype(np.uint32)), _zip(n))], HEAD)
