@@ -256,7 +256,10 @@ class _Join:
         open_ = open_.join(of("a"), "a", "left").join(of("b"), "b", "left")
         open_ = open_.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", F.col("distance").alias("apart"))
         rows = of_set.drop("n").join(bits, "set_key")
-        left = rows.alias("x").join(open_.alias("o"), F.col("x.lead") == F.col("o.a"))
+        # a member near a member of the other group is no farther from that group's leader than its width allows
+        ends = open_.join(leads.withColumnRenamed("lead", "b"), "b").select("a", "b", "apart", "width", "n", *BITS)
+        reach = (F.col("o.apart") <= LIMIT + F.col("x.distance") + F.col("o.width")) & (_least_distance("x", "o") <= LIMIT + F.col("o.width"))
+        left = rows.alias("x").join(ends.alias("o"), (F.col("x.lead") == F.col("o.a")) & reach)
         pairs = left.join(
             rows.alias("y"),
             (F.col("o.b") == F.col("y.lead"))

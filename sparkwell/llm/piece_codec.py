@@ -16,6 +16,7 @@ Equal sums are settled for the path whose last piece is longest. Scores are summ
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.tokens import groups
-
-CACHED_WORDS, CACHED_LENGTH = 500_000, 48
+CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+_LATIN, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?#$%&*"
 _WORD = re.compile(r" +[^ ]*|[^ ]+")
+#: Rows taken from a batch at a time: bounds the Python objects of a task.
+SLICE = 256
 #: Below any sum of scores that a path of pieces over one window can have.
 UNKNOWN = -(10**12)
 
@@ -53,6 +55,16 @@ class Pieces:
                 self.bytes.append(text.encode())
         self.longest = max(map(len, self.score))
         self.by_word = all(" " not in p.lstrip(" ") for p in self.score)
+        # where no piece has a letter before a mark, nor a line feed, all paths meet there as well
+        letter = re.compile(f"[{_LATIN}]")
+        marks = "".join(m for m in _MARKS if not any(letter.match(a) and b == m for p in self.score for a, b in zip(p, p[1:])))
+        self.cut = _WORD
+        if not any("\n" in p for p in self.score):
+            ends = re.escape(marks) + r" \n"
+            self.cut = re.compile(rf" *[{_LATIN}]+(?=[{ends}]|\Z)|\n| +(?=\n|\Z)| *[^ \n]+")
+        # every beginning of a piece, so that a search can stop where no piece goes on
+        self.begins: dict[str, tuple[int, int] | None] = {p[:k]: None for p in self.score for k in range(1, len(p))}
+        self.begins.update(self.score)
         self.known: dict[str, bytes] = {}
 
     def stream(self, text: Iterable[str]) -> Iterator[int]:
@@ -91,23 +103,25 @@ class Pieces:
         yield from self._path(recent, back, piece, len(recent))
 
     def _word(self, word: str) -> list[int]:
-        """The same search over a text no longer than one window, which needs no early end."""
-        score, longest = self.score, self.longest
-        best, back, piece = [0], [0], [-1]
-        for end in range(1, len(word) + 1):
-            top, start, number = None, end - 1, -1
-            for begin in range(end - longest if end > longest else 0, end):
-                found = score.get(word[begin:end])
-                if found is not None:
-                    total = best[begin] + found[0]
-                    if top is None or total > top:
-                        top, start, number = total, begin, found[1]
-            if top is None or word[start:end] != word[end - 1] and word[end - 1] not in score and best[end - 1] + UNKNOWN > top:
-                top, start, number = best[end - 1] + UNKNOWN, end - 1, -1
-            best.append(top)
-            back.append(start)
-            piece.append(number)
-        return self._path(word, back, piece, len(word))
+        """The same search over a text no longer than one window, forward from each position; it needs no early end."""
+        begins, n = self.begins, len(word)
+        best: list[int | None] = [None] * (n + 1)
+        back, piece = [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0
+        for begin in range(n):
+            low = best[begin]
+            for end in range(begin + 1, n + 1):
+                found = begins.get(word[begin:end], -1)
+                if found is None:
+                    continue
+                if found == -1:
+                    break
+                total, top = low + found[0], best[end]
+                if top is None or total > top:
+                    best[end], back[end], piece[end] = total, begin, found[1]
+            if word[begin] not in self.score and (best[begin + 1] is None or low + UNKNOWN > best[begin + 1]):
+                best[begin + 1], back[begin + 1], piece[begin + 1] = low + UNKNOWN, begin, -1
+        return self._path(word, back, piece, n)
 
     def _path(self, recent: str, back: list[int], piece: list[int], end: int) -> list[int]:
         out: list[int] = []
@@ -130,11 +144,11 @@ class Pieces:
         if len(known) > CACHED_WORDS:
             known.clear()
         out = []
-        for word in _WORD.findall(" " + text):
+        for word in self.cut.findall(" " + text):
             ids = known.get(word)
             if ids is None:
                 found = self._word(word) if len(word) < 2 * self.longest else list(self.stream(word))
-                ids = np.array(found, "<u4").tobytes()
+                ids = array("I", found).tobytes()
                 if len(word) <= CACHED_LENGTH:
                     known[word] = ids
             out.append(ids)
@@ -162,10 +176,9 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
         codec = pieces(model)
         at = names.index("text")
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for begin, stop in groups(texts, 1 << 20):
-                ids = [None if t is None else codec.encode(t) for t in texts[begin:stop]]
-                part = batch.slice(begin, stop - begin)
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                ids = [None if t is None else codec.encode(t) for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], names=[*names, "ids"])
 
     rows = docs.drop("ids")
@@ -180,8 +193,10 @@ def decode_pieces(rows: DataFrame, model: str) -> DataFrame:
         codec = pieces(model)
         at = names.index("ids")
         for batch in batches:
-            texts = [None if x is None else codec.decode(x) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
+            for begin in range(0, batch.num_rows, SLICE):
+                part = batch.slice(begin, SLICE)
+                texts = [None if x is None else codec.decode(x) for x in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     rows = rows.drop("decoded")
     names = rows.columns

@@ -38,11 +38,12 @@ SEGMENT = "shard int, segment int, n_ids bigint, ranks binary, control binary, d
 
 def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """(ranks, control, data) of a sequence of ids."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((values, -counts))  # ties by id
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.arange(len(order))
-    codes = place[inverse].astype("<u4")
+    counts = np.bincount(ids)  # ids are bounded by the vocabulary
+    values = np.flatnonzero(counts)
+    order = np.lexsort((values, -counts[values]))  # ties by id
+    place = np.zeros(len(counts), "<u4")
+    place[values[order]] = np.arange(len(order))
+    codes = place[ids]
     extra = (codes > 0xFF).astype(np.uint8) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
     padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
     padded[: len(codes)] = extra
@@ -53,9 +54,12 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
 
 def decode_ids(ranks: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    codes = np.zeros((n, 4), np.uint8)
-    codes[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return np.frombuffer(ranks, "<u4")[codes.view("<u4").reshape(-1)] if n else np.zeros(0, "<u4")
+    begin = np.cumsum(lengths, dtype=np.int64) - lengths
+    bytes_ = np.frombuffer(data + bytes(3), np.uint8).astype(np.uint32)
+    codes = bytes_[begin]
+    for k in range(1, int(lengths.max(initial=1))):
+        codes |= np.where(lengths > k, bytes_[begin + k] << np.uint32(8 * k), np.uint32(0))
+    return np.frombuffer(ranks, "<u4")[codes] if n else np.zeros(0, "<u4")
 
 
 def _write(path: str):

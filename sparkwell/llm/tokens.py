@@ -15,7 +15,8 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _MARK = "[.,;:!?#$%&*]"
 _CHUNK = re.compile(rf" ?[{_LATIN}]+(?=[ \n]|{_MARK}|\Z)|{_MARK}+(?=[ \n]|\Z)|\n(?=[{_LATIN}])|{_SPACE}*{_SOLID}+|{_SPACE}+")
 _WORD = re.compile(rf" [{_LATIN}]+")
-CACHED_CHUNKS = 800_000
+_FOLDED = re.compile(rf" ?[{_LATIN}]+")
+CACHED_CHUNKS = 1_200_000
 #: Longer chunks are encoded but not kept, which bounds the cache's bytes.
 CACHED_LENGTH = 64
 #: Words not seen before that are encoded as one text.
@@ -45,8 +46,22 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        one, other = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("Word", " word"))
+        #: the vocabulary knows neither case nor the space in front
+        self.folds = one == other
         self.known: dict[str, bytes] = {}
 
+    def _fold(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of new chunks; words that differ in case or a space are learned once."""
+        if not self.folds:
+            return self._learn(chunks)
+        names = {c: " " + c.strip(" ").lower() for c in chunks if _FOLDED.fullmatch(c)}
+        plain = {n for n in names.values() if n not in self.known}
+        found = self._learn(plain.union(c for c in chunks if c not in names))
+        for chunk, name in names.items():
+            found[chunk] = found.get(name) or self.known[name]
+        return found
+
     def _learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """Ids of new chunks: words after a space many at a time, each being one piece of the split; others one by one."""
         found: dict[str, bytes] = {}
@@ -77,7 +92,7 @@ class Encoder:
         ids = list(map(self.known.get, chunks))
         open_ = [i for i, x in enumerate(ids) if x is None]
         if open_:
-            found = self._learn({chunks[i] for i in open_})
+            found = self._fold({chunks[i] for i in open_})
             for i in open_:
                 ids[i] = found[chunks[i]]
             self.known.update((c, x) for c, x in found.items() if len(c) <= CACHED_LENGTH)
