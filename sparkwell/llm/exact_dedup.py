@@ -59,14 +59,14 @@ def directory(entries: DataFrame, capacity: int = CAPACITY, cell_bits: int = CEL
         levels = cells.select("cell", "n", F.explode(F.sequence(F.lit(base), F.lit(deep))).alias("depth"))
         levels = levels.withColumn("prefix", F.expr(f"IF(depth = 0, 0, shiftrightunsigned(cell, {deep} - depth))"))
         sums = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("entries"))
-        above = sums.filter(F.col("entries") > capacity).select((F.col("depth") + 1).alias("depth"), "prefix")
-        halves = above.select("depth", F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"))
+        above = sums.filter((F.col("entries") > capacity) & (F.col("depth") < deep)).select((F.col("depth") + 1).alias("depth"), "prefix")
+        halves = above.select("depth", F.explode(F.array(F.shiftleft("prefix", 1), F.shiftleft("prefix", 1).bitwiseOR(F.lit(1)))).alias("prefix"))
         start = full.select(F.col("depth"), "prefix") if base == 0 else full
         alive = start.unionByName(halves.select(F.col("depth").cast("int").alias("depth"), "prefix"))
         state = stored(
             alive.join(sums, ["depth", "prefix"], "left").select("depth", "prefix", F.coalesce("entries", F.lit(0)).alias("entries")), "directory"
         )
-        closed = state.filter((F.col("entries") <= capacity) | (F.col("depth") == 64)).filter((F.col("depth") <= deep))
+        closed = state.filter((F.col("entries") <= capacity) | (F.col("depth") == 64))
         found = closed if found is None else found.unionByName(closed)
         full = state.filter((F.col("entries") > capacity) & (F.col("depth") == deep)).select("depth", "prefix")
         if deep == 64 or full.isEmpty():

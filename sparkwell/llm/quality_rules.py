@@ -95,7 +95,7 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
     """The table as one boolean expression."""
     passed = F.lit(True)
     for rule in rules:
-        ratio = F.col(rule.over) / F.col(rule.under)
+        ratio = F.try_divide(F.col(rule.over), F.col(rule.under))
         passed = passed & F.coalesce(ratio.between(rule.least, rule.most), F.lit(True))
     return passed
 
