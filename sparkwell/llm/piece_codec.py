@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+CACHED_WORDS, CACHED_LENGTH = 300_000, 48
 _LATIN, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?#$%&*"
 _WORD = re.compile(r" +[^ ]*|[^ ]+")
 #: Rows taken from a batch at a time: bounds the Python objects of a task.

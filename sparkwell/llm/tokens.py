@@ -16,7 +16,7 @@ _MARK = "[.,;:!?#$%&*]"
 _CHUNK = re.compile(rf" ?[{_LATIN}]+(?=[ \n]|{_MARK}|\Z)|{_MARK}+(?=[ \n]|\Z)|\n(?=[{_LATIN}])|{_SPACE}*{_SOLID}+|{_SPACE}+")
 _WORD = re.compile(rf" [{_LATIN}]+")
 _FOLDED = re.compile(rf" ?[{_LATIN}]+")
-CACHED_CHUNKS = 1_200_000
+CACHED_CHUNKS = 300_000
 #: Longer chunks are encoded but not kept, which bounds the cache's bytes.
 CACHED_LENGTH = 64
 #: Words not seen before that are encoded as one text.
@@ -37,7 +37,7 @@ class Encoder:
     Both vocabularies split text before their merges. No such piece runs from a character
     that is not white space into white space, nor from a letter into one of ``.,;:!?#$%&*``, nor from a
     single line feed into a letter: cutting there changes no id, and the same chunk has the same ids
-    everywhere. The cache is emptied when it is full.
+    everywhere. The cache has two generations: a full one becomes the old one, from which chunks that are met again move on.
     """
 
     def __init__(self, path: str):
@@ -50,16 +50,18 @@ class Encoder:
         #: the vocabulary knows neither case nor the space in front
         self.folds = one == other
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _fold(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of new chunks; words that differ in case or a space are learned once."""
         if not self.folds:
             return self._learn(chunks)
         names = {c: " " + c.strip(" ").lower() for c in chunks if _FOLDED.fullmatch(c)}
-        plain = {n for n in names.values() if n not in self.known}
-        found = self._learn(plain.union(c for c in chunks if c not in names))
+        kept = {n: x for n in set(names.values()) if (x := self.known.get(n) or self.old.get(n))}
+        plain = set(names.values()).difference(kept)
+        found = kept | self._learn(plain.union(c for c in chunks if c not in names))
         for chunk, name in names.items():
-            found[chunk] = found.get(name) or self.known[name]
+            found[chunk] = found[name]
         return found
 
     def _learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
@@ -84,7 +86,7 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
+            self.known, self.old = {}, self.known
         chunks, edges = [], [0]
         for text in texts:
             chunks += _CHUNK.findall(text or "")
@@ -92,7 +94,9 @@ class Encoder:
         ids = list(map(self.known.get, chunks))
         open_ = [i for i, x in enumerate(ids) if x is None]
         if open_:
-            found = self._fold({chunks[i] for i in open_})
+            wanted = {chunks[i] for i in open_}
+            found = {c: self.old[c] for c in wanted if c in self.old} if self.old else {}
+            found |= self._fold(wanted.difference(found))
             for i in open_:
                 ids[i] = found[chunks[i]]
             self.known.update((c, x) for c, x in found.items() if len(c) <= CACHED_LENGTH)
