@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkwell.llm.common import small_side, stored
-from sparkwell.llm.text import Words, as_bytes, blocks, mix
+from sparkwell.llm.text import Words, as_bytes, blocks, mix, slices
 from sparkwell.operators.graph import components
 
 #: Similarity as a fraction, so that the limit is exact: 4 / 5.
@@ -85,7 +85,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["kind", "id", "n", "key", *BITS],
         )
 
-    for batch in batches:
+    for batch in slices(batches):
         docs, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
         for begin, hashes, cut, keys in _sets(docs):
             yield row(0, ids[begin : begin + len(keys)], np.diff(cut), keys, _bitmaps(hashes, np.diff(cut)))
@@ -106,7 +106,7 @@ def _prefixes(last: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             for _, hashes, cut, keys in _sets(as_bytes(batch.column(0))):
                 n = np.diff(cut)
                 doc = np.repeat(np.arange(len(n)), n)
@@ -133,7 +133,7 @@ def _prefixes(last: np.ndarray):
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(set_key, tokens) of the wanted sets."""
-    for batch in batches:
+    for batch in slices(batches):
         wanted = np.array(batch.column(0).to_pylist(), np.int64)
         for begin, hashes, cut, keys in _sets(as_bytes(batch.column(1))):
             signed, view = keys.view(np.int64), hashes.view(np.int64)

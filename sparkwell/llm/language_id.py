@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.text import as_bytes, blocks, mix
+from sparkwell.llm.text import as_bytes, blocks, mix, slices
 
 SAMPLE = 4_000
 CELLS = 1 << 16
@@ -71,7 +71,7 @@ class Model:
 def _counted(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, pairs = {}, {}
-        for batch in batches:
+        for batch in slices(batches):
             docs, langs = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             for begin, stop in blocks(docs):
                 for lang in set(langs[begin:stop]):
@@ -170,7 +170,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = _predict(batch.column(1).to_pylist(), model)
             lang, score, sets = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -187,7 +187,7 @@ def without_language_removed(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([lang != UNKNOWN for lang, _, _ in _predict(batch.column(at).to_pylist(), model)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

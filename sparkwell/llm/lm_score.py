@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwell.llm.common import stored
-from sparkwell.llm.text import Words, as_bytes, blocks, mix
+from sparkwell.llm.text import Words, as_bytes, blocks, mix, slices
 
 KNOWN, DENSE = 1 << 16, 1 << 11
 #: Text bytes of a chunk: what a map task packs together.
@@ -79,7 +79,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]):
     """(chunk, ids, texts, flags) of about CHUNK_BYTES each; a chunk's number is fixed by the partition and its order."""
     part, number = TaskContext.get().partitionId(), 0
     ids, docs, flags, size = [], [], [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for i, text, flag in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()):
             ids.append(i), docs.append(text), flags.append(flag)
             size += len(text) + 1

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkwell.llm.common import small_side, stored
+from sparkwell.llm.text import slices
 from sparkwell.llm.tokens import END_ID, encoder, groups
 
 LENGTH = 2048
@@ -43,7 +44,7 @@ def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, served = TaskContext.get().partitionId(), {}
         end = END_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts, sources = (c.to_pylist() for c in batch.columns)
             for begin, stop in groups(texts):
                 found = [x + end for x in encoder(path).encode(texts[begin:stop])]
@@ -142,7 +143,7 @@ def cut(schedule: Schedule, queue: np.ndarray, first: np.ndarray, n: np.ndarray)
 
 def _pieces(schedule: Schedule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             queue, first, n, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             ids, names = batch.column(4).to_pylist(), batch.column(3).to_pylist()
             doc, start, size, sequence, offset = cut(schedule, queue.astype(np.int64), first, n)

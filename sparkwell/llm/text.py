@@ -93,6 +93,13 @@ def blocks(docs: Sequence[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[in
         yield begin, len(docs)
 
 
+def slices(batches, rows: int = 256):
+    """The batches of a task in parts of few rows: bounds the Python objects that a task holds."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow text column as UTF-8 bytes; null counts as empty."""
     return [x or b"" for x in column.cast("binary").to_pylist()]

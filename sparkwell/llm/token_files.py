@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkwell.llm.common import small_side, stored
+from sparkwell.llm.text import slices
 from sparkwell.llm.tokens import END_ID, encoder, groups
 
 #: Ids of a segment; the document that passes this number is still in it.
@@ -74,7 +75,7 @@ def _write(path: str):
             values = [shard, segment, size // 4, ranks, control, data, ids, sizes]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, TYPES)], names=[f.split()[0] for f in SEGMENT.split(", ")])
 
-        for batch in batches:
+        for batch in slices(batches):
             texts, doc_ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for begin, stop in groups(texts):
                 for doc_id, found in zip(doc_ids[begin:stop], encoder(path).encode(texts[begin:stop])):
@@ -94,7 +95,7 @@ TYPES = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for row in batch.to_pylist():
             ids = decode_ids(row["ranks"], row["control"], row["data"], row["n_ids"])
             sizes = np.frombuffer(row["sizes"], "<i8")

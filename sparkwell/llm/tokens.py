@@ -16,7 +16,7 @@ _MARK = "[.,;:!?#$%&*]"
 _CHUNK = re.compile(rf" ?[{_LATIN}]+(?=[ \n]|{_MARK}|\Z)|{_MARK}+(?=[ \n]|\Z)|\n(?=[{_LATIN}])|{_SPACE}*{_SOLID}+|{_SPACE}+")
 _WORD = re.compile(rf" [{_LATIN}]+")
 _FOLDED = re.compile(rf" ?[{_LATIN}]+")
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 250_000
 #: Longer chunks are encoded but not kept, which bounds the cache's bytes.
 CACHED_LENGTH = 64
 #: Words not seen before that are encoded as one text.

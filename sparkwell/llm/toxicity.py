@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwell.llm.common import small_side, stored
+from sparkwell.llm.text import slices
 
 MAX_LABELLED = 40_000
 MAX_TERMS, MAX_CLEAN = 2_000, 50_000
@@ -202,7 +203,7 @@ def _fit(x: np.ndarray, y: np.ndarray, pull: float = 2.0) -> np.ndarray:
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, half, toxic, n): documents of each half and label that have a word."""
-    for batch in batches:
+    for batch in slices(batches):
         counts: dict[tuple, int] = {}
         for text, half, toxic in zip(*(c.to_pylist() for c in batch.columns)):
             for word in set(words_of(text or "")):
@@ -243,7 +244,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, max_labelled: int =
     # near words that clean documents use
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Automaton(terms)
-        for batch in batches:
+        for batch in slices(batches):
             keep = [bool(machine.distance(w)) for w in batch.column(0).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
@@ -253,7 +254,7 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, max_labelled: int =
     first = Model(terms, [r["word"] for r in used if r["n00"]], PRIOR.tolist())
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = [first.features(t or "") for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
@@ -275,7 +276,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             hits = [model.hits(t) for t in texts]
             score = [model.score(t) if h else empty for t, h in zip(texts, hits)]
