@@ -22,7 +22,8 @@ class FileLedger:
         self.spark = spark
         self.data_path = f"{path}/data"
         self.ledger = VersionedTable(spark, f"{path}/ledger")
-        self.ledger.replace(spark.createDataFrame([], LEDGER))
+        if not self.ledger.exists():
+            self.ledger.replace(spark.createDataFrame([], LEDGER))
 
     def pending(self, listing: DataFrame) -> DataFrame:
         """Listed files whose (name, etag) is not in the ledger."""

@@ -36,6 +36,9 @@ class VersionedTable:
         finally:
             stream.close()
 
+    def exists(self) -> bool:
+        return bool(self._versions())
+
     def notes(self) -> list[str]:
         return [self._commit(n)["note"] for n in self._versions()]
 

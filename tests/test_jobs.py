@@ -324,3 +324,12 @@ def test_destructive_statements(spark):
     ]
     df = spark.createDataFrame(samples, "q STRING, want BOOLEAN")
     assert df.filter(is_destructive(F.col("q")) != F.col("want")).isEmpty()
+
+
+def test_file_ledger_survives_reopening(spark, folder):
+    from sparkwell.sources.ledger import FileLedger
+
+    listing = spark.createDataFrame([("a", "1")], "name string, etag string")
+    rows = spark.createDataFrame([("a", 5)], "name string, value int")
+    assert FileLedger(spark, folder).ingest(listing, rows)
+    assert not FileLedger(spark, folder).ingest(listing, rows)
