@@ -32,6 +32,8 @@ from sparkwell.llm.tokens import END_ID, encoder, groups
 
 #: Ids of a segment; the document that passes this number is still in it.
 SEGMENT_IDS = 1 << 20
+#: Words a Python worker keeps; at most twice as many for a while.
+CACHED_WORDS = 500_000
 #: Bytes of the four codes of each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 SEGMENT = "shard int, segment int, n_ids bigint, ranks binary, control binary, data binary, doc_ids array<bigint>, sizes binary"
@@ -78,7 +80,7 @@ def _write(path: str):
         for batch in slices(batches):
             texts, doc_ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for begin, stop in groups(texts):
-                for doc_id, found in zip(doc_ids[begin:stop], encoder(path).encode(texts[begin:stop])):
+                for doc_id, found in zip(doc_ids[begin:stop], encoder(path, CACHED_WORDS).encode(texts[begin:stop])):
                     held.append(found + end)
                     ids.append(doc_id)
                     size += len(held[-1])

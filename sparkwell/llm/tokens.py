@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Sequence
-
-import numpy as np
+from collections.abc import Sequence
+from struct import pack
 
 #: White space as the tokenizers' patterns know it; Python's \\s also has \\x1c-\\x1f.
 _SPACE, _SOLID = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
@@ -14,13 +13,13 @@ _SPACE, _SOLID = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _MARK = "[.,;:!?#$%&*]"
 _CHUNK = re.compile(rf" ?[{_LATIN}]+(?=[ \n]|{_MARK}|\Z)|{_MARK}+(?=[ \n]|\Z)|\n(?=[{_LATIN}])|{_SPACE}*{_SOLID}+|{_SPACE}+")
-_WORD = re.compile(rf" [{_LATIN}]+")
-_FOLDED = re.compile(rf" ?[{_LATIN}]+")
+_WORD = re.compile(rf" ?[{_LATIN}]+")
+#: Plain text has none of these: lower case goes letter by letter, and \s is white space.
+_OTHER = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+_PLAIN = re.compile(rf"[{_LATIN}]+(?=\s|{_MARK}|\Z)|{_MARK}+(?=\s|\Z)|\S+")
 CACHED_CHUNKS = 250_000
 #: Longer chunks are encoded but not kept, which bounds the cache's bytes.
 CACHED_LENGTH = 64
-#: Words not seen before that are encoded as one text.
-JOINED = 500
 END_ID = 1
 
 
@@ -31,85 +30,66 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of texts as little-endian 32-bit bytes, equal to the library's for the whole text.
 
     Both vocabularies split text before their merges. No such piece runs from a character
     that is not white space into white space, nor from a letter into one of ``.,;:!?#$%&*``, nor from a
     single line feed into a letter: cutting there changes no id, and the same chunk has the same ids
-    everywhere. The cache has two generations: a full one becomes the old one, from which chunks that are met again move on.
+    everywhere. The dictionary is the cache, chunk -> ids; once full it becomes the old one, from which
+    chunks that are met again move on.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.model = self.tokenizer.model
         one, other = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("Word", " word"))
-        #: the vocabulary knows neither case nor the space in front
+        #: the vocabulary knows neither case nor white space
         self.folds = one == other
-        self.known: dict[str, bytes] = {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: how the models write the bytes of a space and of Latin letters
+        self.written = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(32, 0x250)}
+        self.cached = cached
         self.old: dict[str, bytes] = {}
 
-    def _fold(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of new chunks; words that differ in case or a space are learned once."""
-        if not self.folds:
-            return self._learn(chunks)
-        names = {c: " " + c.strip(" ").lower() for c in chunks if _FOLDED.fullmatch(c)}
-        kept = {n: x for n in set(names.values()) if (x := self.known.get(n) or self.old.get(n))}
-        plain = set(names.values()).difference(kept)
-        found = kept | self._learn(plain.union(c for c in chunks if c not in names))
-        for chunk, name in names.items():
-            found[chunk] = found[name]
-        return found
-
-    def _learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """Ids of new chunks: words after a space many at a time, each being one piece of the split; others one by one."""
-        found: dict[str, bytes] = {}
-        words, rest = [], []
-        for chunk in chunks:
-            (words if _WORD.fullmatch(chunk) else rest).append(chunk)
-        runs = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        for run, got in zip(runs, self.tokenizer.encode_batch(["".join(r) for r in runs], add_special_tokens=False)):
-            number = np.array(got.word_ids, np.int64)
-            edges = np.flatnonzero(np.diff(number, prepend=-1, append=-1))
-            if len(edges) != len(run) + 1:
-                rest += run
-                continue
-            ids = np.array(got.ids, "<u4").tobytes()
-            edges = (edges * 4).tolist()
-            found.update(zip(run, [ids[a:b] for a, b in zip(edges, edges[1:])]))
-        for chunk, got in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            found[chunk] = np.array(got.ids, "<u4").tobytes()
-        return found
+    def __missing__(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not in the cache. A word is one piece of the split, so the model takes it as it is."""
+        ids = self.old.get(chunk)
+        if ids is None:
+            if _WORD.fullmatch(chunk):
+                word = chunk.strip(" ").lower() if self.folds else chunk
+                found = [t.id for t in self.model.tokenize(word.translate(self.written))]
+            else:
+                found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            ids = pack(f"<{len(found)}I", *found)
+        if len(chunk) <= CACHED_LENGTH:
+            self[chunk] = ids
+        return ids
+
+    def _chunks(self, text: str) -> list[str]:
+        """The text in chunks; where the vocabulary folds, plain text in lower case and without white space."""
+        if self.folds and not _OTHER.search(text):
+            return _PLAIN.findall(text.lower())
+        return _CHUNK.findall(text)
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        if len(self.known) > CACHED_CHUNKS:
-            self.known, self.old = {}, self.known
-        chunks, edges = [], [0]
-        for text in texts:
-            chunks += _CHUNK.findall(text or "")
-            edges.append(len(chunks))
-        ids = list(map(self.known.get, chunks))
-        open_ = [i for i, x in enumerate(ids) if x is None]
-        if open_:
-            wanted = {chunks[i] for i in open_}
-            found = {c: self.old[c] for c in wanted if c in self.old} if self.old else {}
-            found |= self._fold(wanted.difference(found))
-            for i in open_:
-                ids[i] = found[chunks[i]]
-            self.known.update((c, x) for c, x in found.items() if len(c) <= CACHED_LENGTH)
-        return [b"".join(ids[a:b]) for a, b in zip(edges, edges[1:])]
+        if len(self) > self.cached:
+            self.old = dict(self)
+            self.clear()
+        return [b"".join(map(self.__getitem__, self._chunks(text or ""))) for text in texts]
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED_CHUNKS) -> Encoder:
     """One encoder for each vocabulary and Python worker, so that tasks share its cache."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, cached)
     return _encoders[path]
 
 
