@@ -106,18 +106,18 @@ COMPACT_SQL = """WITH m AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id OR
   f AS (SELECT *, n > 5 AND rn > 1 AND rn <= n - 4 AS folded FROM m)
   SELECT conv_id, turn, role, text FROM f WHERE NOT folded
   UNION ALL SELECT conv_id, MIN(turn), 'system', string_agg('[' || role || '] ' || substring(text, 1, 400), chr(10) ORDER BY rn) FROM f WHERE folded
-    GROUP BY conv_id, (rn - 2) // 200"""
+    GROUP BY conv_id"""
 
 
 @query("conversation_compact", COMPACT_SQL)
-def conversation_compact(t: Tables, keep: int = 4, fold: int = 200):
-    """Head and last messages stay; the middle becomes system notes of at most ``fold`` messages each."""
+def conversation_compact(t: Tables, keep: int = 4):
+    """Head and last messages stay; the middle becomes one system note, 400 characters a message."""
     numbered = with_row_number(t.conversations, ["conv_id"], [("turn", "asc")])
     sized = with_group_stats(numbered, ["conv_id"], n=rows())
     folded = (col("n") > keep + 1) & (col("rn") > 1) & (col("rn") <= col("n") - keep)
     kept = sized.filter(~folded).select("conv_id", "turn", "role", "text")
     note = F.concat(lit("["), "role", lit("] "), F.substring("text", 1, 400))
-    notes = sized.filter(folded).groupBy("conv_id", F.floor((col("rn") - 2) / fold).alias("page")).agg(
+    notes = sized.filter(folded).groupBy("conv_id").agg(
         F.min("turn").alias("turn"), F.sort_array(F.collect_list(F.struct("rn", note.alias("t")))).alias("l")
     )
     text = F.array_join(F.transform("l", lambda x: x["t"]), "\n")

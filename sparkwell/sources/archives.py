@@ -70,18 +70,34 @@ def gzip_text(df: DataFrame, name: str = "path", text: str = "text") -> DataFram
     return df.select(name, text).mapInPandas(pack, "path STRING, content BINARY")
 
 
+def _gunzip(content: bytes, step: int = 1 << 16) -> tuple[bytes, bool]:
+    """All members of a gzip file, up to the first damage; True if it ends properly."""
+    parts: list[bytes] = []
+    while True:
+        stream, at = zlib.decompressobj(wbits=31), 0
+        while at < len(content) and not stream.eof:
+            before = stream.copy()
+            try:
+                parts.append(stream.decompress(content[at : at + step]))
+            except zlib.error:
+                if step == 1:
+                    return b"".join(parts), False
+                stream, step = before, 1  # byte by byte, to keep what stands before the damage
+                continue
+            at += step
+        rest = stream.unused_data + content[at:]
+        if not stream.eof or not rest.strip(b"\0"):  # zero bytes may pad the end
+            return b"".join(parts), stream.eof
+        content = rest
+
+
 def gunzip_lines(files: DataFrame) -> DataFrame:
     """(path, complete, lines): whole lines before any cut; complete only if the stream ends properly."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                stream = zlib.decompressobj(wbits=31)
-                try:
-                    body = stream.decompress(content)
-                    complete = stream.eof
-                except zlib.error:
-                    body, complete = b"", False
+                body, complete = _gunzip(content)
                 lines = body.decode("utf-8", "ignore").split("\n")
                 last = lines.pop()
                 if complete and last:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.sources.sinks import replace_partitions
+from sparkwell.session import cut_lineage
+from sparkwell.sources.sinks import drop_partitions, replace_partitions
 from sparkwell.sources.versioned import VersionedTable
 
 LEDGER = "name STRING, etag STRING"
@@ -34,7 +35,11 @@ class FileLedger:
         pending = self.pending(listing)
         if pending.isEmpty():
             return False
-        replace_partitions(rows.join(pending.select("name"), "name", "left_semi"), self.data_path, "name")
+        pending = cut_lineage(pending, "pending")
+        fresh = rows.join(pending.select("name"), "name", "left_semi")
+        replace_partitions(fresh, self.data_path, "name")
+        # a file that comes again without rows leaves none
+        drop_partitions(pending.join(fresh.select("name").distinct(), "name", "left_anti"), self.data_path, "name")
         if not crash_before_commit:
             old = self.ledger.read()
             kept = old.join(pending.select("name"), "name", "left_anti")

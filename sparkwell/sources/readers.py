@@ -59,13 +59,17 @@ def parse_customer_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_order_documents(documents: DataFrame, content: str = "content") -> DataFrame:
-    """JSON documents, each an array of orders or one order; checked row by row."""
+    """JSON documents, each an array of orders or one order; checked row by row.
+
+    A document that cannot be read is one row of nulls, which fails every rule; an empty array has no rows.
+    """
     fields = "STRUCT<id: BIGINT, customer_id: BIGINT, amount: DOUBLE, status: STRING>"
     text = F.trim(F.col(content))
     items = F.when(F.startswith(text, F.lit("[")), F.from_json(text, f"ARRAY<{fields}>")).otherwise(
         F.array(F.from_json(text, fields))
     )
-    rows = documents.select(F.explode(items).alias("o")).select("o.*")
+    unread = F.array(F.lit(None).cast(fields))
+    rows = documents.select(F.explode(F.coalesce(items, unread)).alias("o")).select("o.*")
     rules = {
         "id": F.col("id") > 0, "customer_id": F.col("customer_id") > 0, "amount": F.col("amount") >= 0,
         "status": F.col("status").isin(*ORDER_STATUSES),

@@ -32,3 +32,13 @@ def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
     """Overwrite exactly the partitions present in ``df``; running it again changes nothing."""
     writer = spread_by(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
+
+
+def drop_partitions(values: DataFrame, path: str, key: str) -> None:
+    """Remove the directories of the given ``key`` values, one at a time; values without one are passed over."""
+    spark = values.sparkSession
+    jvm = spark._jvm
+    folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in values.select(key).toLocalIterator():
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder.getPartitionPathString(key, row[0])}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

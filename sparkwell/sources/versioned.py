@@ -39,6 +39,15 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self._versions())
 
+    def version(self) -> str | None:
+        """Name of the last commit; None before the first."""
+        versions = self._versions()
+        return versions[-1] if versions else None
+
+    def last_note(self) -> str | None:
+        last = self.version()
+        return None if last is None else self._commit(last)["note"]
+
     def notes(self) -> list[str]:
         return [self._commit(n)["note"] for n in self._versions()]
 

@@ -333,3 +333,44 @@ def test_file_ledger_survives_reopening(spark, folder):
     rows = spark.createDataFrame([("a", 5)], "name string, value int")
     assert FileLedger(spark, folder).ingest(listing, rows)
     assert not FileLedger(spark, folder).ingest(listing, rows)
+
+
+def test_empty_republish_removes_the_old_rows(spark, folder):
+    from sparkwell.sources.ledger import FileLedger
+
+    rows = spark.createDataFrame([("a b=1", 1), ("c", 2)], "name STRING, v INT")
+    names = lambda *pairs: spark.createDataFrame(pairs, "name STRING, etag STRING")
+    ledger = FileLedger(spark, folder)
+    ledger.ingest(names(("a b=1", "1"), ("c", "1")), rows)
+    assert ledger.ingest(names(("a b=1", "2"), ("c", "1")), rows.filter("name = 'c'"))
+    assert tuples(ledger.read("v INT, name STRING")) == [(2, "c")]
+
+
+def test_revenue_is_merged_after_a_crash_and_by_other_stores(spark, folder, monkeypatch):
+    landing = f"{folder}/landing"
+    add_day(spark, landing, [("2019-01-01 05:10:00", 1, 10.0)])
+    store = RevenueStore(spark, f"{folder}/store")
+    with monkeypatch.context() as m:
+        m.setattr(RevenueStore, "_merge", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.run_etl(landing)
+    assert store.run_etl(landing) == 0
+    assert store.total_revenue("2019-01-01", 5) == 10.0 and store.avg_revenue(5) == 10.0
+    add_day(spark, landing, [("2019-01-02 05:10:00", 1, 30.0)])
+    RevenueStore(spark, f"{folder}/store").run_etl(landing)
+    assert store.avg_revenue(5) == 20.0
+
+
+def test_gzip_members_and_damage(spark):
+    two = gzip.compress(b"a\nb\n") + gzip.compress(b"c\nd")
+    broken = gzip.compress(b"a\nb\n")[:-8] + bytes([1]) * 8
+    df = spark.createDataFrame([("two", two), ("broken", broken), ("padded", two + bytes(9))], "path STRING, content BINARY")
+    found = {r.path: (r.complete, r.lines) for r in archives.gunzip_lines(df).collect()}
+    assert found["two"] == found["padded"] == (True, ["a", "b", "c", "d"])
+    assert found["broken"] == (False, ["a", "b"])
+
+
+def test_unreadable_documents_are_kept(spark):
+    docs = ['[{"id": 1, "customer_id": 1, "amount": 1.0, "status": "pending"}]', '[{"id": 1,', "[]", "{", None]
+    found = readers.parse_order_documents(spark.createDataFrame([(d,) for d in docs], "content STRING")).collect()
+    assert sorted(len(r.reasons) for r in found) == [0, 4, 4, 4]
