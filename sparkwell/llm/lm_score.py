@@ -7,13 +7,17 @@ part of the training documents, with counts from the rest. Then all training cou
 All counts grow with the corpus and none is dropped; only fixed-size tables are sent to all tasks:
 
 * every word is counted (one row for each word of a part of the input, then summed);
-* the ``KNOWN`` most frequent words travel with their counts. A context outside them belongs to
-  the lowest bucket, which has no bigram term;
+* the ``KNOWN`` most frequent words travel with their counts; this only chooses where a count is looked up;
 * pairs of the ``DENSE`` most frequent words are counted in the map tasks into one matrix;
-* all other pairs that need a count which is not at hand are dealt out, packed by (bucket,
-  chunk of documents): by word if the word is rare, else by pair. A word or pair dealt out
-  holds at most a share of 1 / DENSE of all words, so no bucket is hot. A bucket knows the
-  exact counts of its words and pairs, and returns sums for each document of a chunk.
+* all other words and pairs are dealt out, packed by (bucket, chunk of documents). A rare word goes
+  to the bucket of its hash with its neighbours, which are its context and the word it is context of; a
+  pair of two known words goes by pair. A word or pair dealt out holds at most a share of 1 / DENSE of
+  all words, so no bucket is hot. A bucket knows the exact counts of its words and pairs, and returns
+  sums for each document of a chunk;
+* a pair of two rare words is counted in the bucket of its word and sent, with both counts, to the
+  bucket of its context, which knows the context's count.
+
+A context has no bigram term only if it does not occur in the counted texts.
 
 Words are told apart by 64-bit hashes.
 """
@@ -42,11 +46,14 @@ STEPS, EM_ROUNDS = 8, 60
 #: Ranges into which matrix cells are dealt to be summed, and parts of the input summed in one group.
 RANGES, PARTS = 64, 256
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
-#: Number of a context or word outside the known ones; the start of a document is context KNOWN.
-RARE, START = KNOWN + 1, KNOWN
 
-HEAD = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int8()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-HEAD_SQL = "bucket int, chunk bigint, kind tinyint, a binary, b binary, c binary"
+HEAD = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int8()), *((x, pa.binary()) for x in "abcde")])
+HEAD_SQL = "bucket int, chunk bigint, kind tinyint, a binary, b binary, c binary, d binary, e binary"
+#: What the buckets find before the weights are known. Kind 0: a pair of two rare words, for the bucket of its context: the hash of
+#: the context, the pair's place, and the counts of its word and of the pair; kind 1: ``mark`` pairs of the deleted part by bucket
+#: of the context, level of the pair and level of the word; kind 2: a context of such a pair of the deleted part, and its kept count.
+FOUND = "kind tinyint, bucket int, context bigint, chunk bigint, mark bigint, word bigint, word_gone bigint, pair bigint, pair_gone bigint"
+CELL = "b bigint, two bigint, one bigint, n bigint"
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
@@ -106,21 +113,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Table:
-    """The known words: sorted hashes with their rank, and counts by rank; the start of a document is the last row."""
+    """The known words: sorted hashes with their rank, and counts by rank; the start of a document is the last row.
+
+    ``start`` is the number of the start of a document as a context, ``rare`` that of a context or word which is not known.
+    """
 
-    def __init__(self, tokens: np.ndarray, n: np.ndarray, deleted: np.ndarray, docs: tuple[int, int], total: tuple[int, int], types: int):
+    def __init__(self, tokens: np.ndarray, n: np.ndarray, deleted: np.ndarray, docs: tuple[int, int], total: tuple[int, int], types: int, known: int, dense: int):
+        self.known, self.dense, self.start, self.rare = known, dense, known, known + 1
         order = np.argsort(tokens)
         self.tokens, self.rank = tokens[order], order.astype(np.int64)
-        pad = KNOWN - len(n)
+        pad = known - len(n)
         self.n = np.concatenate([n, np.zeros(pad, np.int64), [docs[0]]])
         self.kept = self.n - np.concatenate([deleted, np.zeros(pad, np.int64), [docs[1]]])
         self.total, self.total_kept, self.types = total[0], total[0] - total[1], types
 
     def ranks(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
-            return np.full(len(tokens), RARE)
+            return np.full(len(tokens), self.rare)
         at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == tokens, self.rank[at], RARE)
+        return np.where(self.tokens[at] == tokens, self.rank[at], self.rare)
 
     def pairs(self, docs: list[bytes]):
         """Tokens, their ranks, ranks of their contexts, and documents."""
@@ -128,47 +139,48 @@ class Table:
         w = self.ranks(tokens)
         u = np.empty_like(w)
         u[1:] = w[:-1]
-        u[np.cumsum(count) - count] = START
+        u[np.cumsum(count) - count] = self.start
         return tokens, w, u, doc, count
 
+    def in_matrix(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return ((u < self.dense) | (u == self.start)) & (w < self.dense)
 
-def _dense(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return ((u < DENSE) | (u == START)) & (w < DENSE)
+    def cell(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return np.where(u == self.start, self.dense, u) * self.dense + w
 
+    @property
+    def cells(self) -> int:
+        return (self.dense + 1) * self.dense
 
-def _dense_cell(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.where(u == START, DENSE, u) * DENSE + w
 
-
-def _row(bucket, chunk, kind, a=b"", b=b"", c=b""):
-    return {"bucket": bucket, "chunk": chunk, "kind": kind, "a": a, "b": b, "c": c}
+def _row(bucket, chunk, kind, a=b"", b=b"", c=b"", d=b"", e=b""):
+    return {"bucket": bucket, "chunk": chunk, "kind": kind, "a": a, "b": b, "c": c, "d": d, "e": e}
 
 
 def _deal(table: Table, buckets: int):
-    """Kind 0: pairs by word (rare), kind 1: by pair, of a bucket and chunk; kind 2: matrix cells; kind 3: words after rare contexts."""
+    """Kind 0: rare words with their neighbours, kind 1: pairs of known words, of a bucket and chunk; kinds 2 and 3: matrix cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros((2, (DENSE + 1) * DENSE), np.uint32)
-        after = np.zeros(KNOWN, np.uint32)
+        cells = np.zeros((2, table.cells), np.uint32)
         part = -1
         for chunk, _, docs, flags in _chunks(batches):
             part = chunk >> 24
-            rows: list[list[np.ndarray]] = [[], [], []]
+            rows: list[list[np.ndarray]] = [[], [], [], [], []]
             pair_rows: list[list[np.ndarray]] = [[], []]
             for begin, stop in blocks(docs):
-                tokens, w, u, doc, _ = table.pairs(docs[begin:stop])
+                tokens, w, u, doc, count = table.pairs(docs[begin:stop])
                 flag = flags[begin:stop][doc]
-                dense = _dense(u, w)
+                dense = table.in_matrix(u, w)
                 for i, bit in enumerate((1, 2)):
                     use = dense & ((flag & bit) > 0)
-                    cells[i] += np.bincount(_dense_cell(u[use], w[use]), minlength=cells.shape[1]).astype(np.uint32)
-                use = (u == RARE) & (w != RARE) & ((flag & 2) > 0)
-                after += np.bincount(w[use], minlength=KNOWN).astype(np.uint32)
+                    cells[i] += np.bincount(table.cell(u[use], w[use]), minlength=table.cells).astype(np.uint32)
                 mark = ((doc + begin) << 2) | flag
-                by_word = w == RARE
-                for x, y in zip(rows, (tokens[by_word], u[by_word], mark[by_word])):
+                by_word = np.flatnonzero(w == table.rare)
+                after = np.append(w[1:], table.start)
+                after[np.cumsum(count) - 1] = table.start  # nothing follows the end of a document
+                for x, y in zip(rows, (tokens[by_word], u[by_word], mark[by_word], after[by_word], tokens[by_word - 1])):
                     x.append(y)
-                by_pair = (~by_word) & (u != RARE) & ~dense
+                by_pair = (w != table.rare) & (u != table.rare) & ~dense
                 for x, y in zip(pair_rows, ((u[by_pair].astype(np.uint64) << np.uint64(32)) | w[by_pair].astype(np.uint64), mark[by_pair])):
                     x.append(y)
             out = []
@@ -181,12 +193,14 @@ def _deal(table: Table, buckets: int):
                 for b in np.flatnonzero(np.diff(edges)):
                     one = [x[edges[b] : edges[b + 1]] for x in joined]
                     key = _zip(np.diff(one[0], prepend=np.uint64(0)))
-                    more = [_zip(x.astype(np.uint32)) for x in one[1:]]
+                    more = [_zip(x.astype(np.uint32)) for x in one[1:4]]
+                    if kind == 0 and (one[1] == table.rare).any():
+                        more.append(_zip(one[4][one[1] == table.rare]))
                     out.append(_row(int(b), chunk, kind, key, *more))
             yield from pa.Table.from_pylist(out, HEAD).to_batches()
         if part >= 0:
             out = []
-            for kind, values in ((2, cells[0]), (3, cells[1]), (4, after)):
+            for kind, values in ((2, cells[0]), (3, cells[1])):
                 at = np.flatnonzero(values)
                 edges = np.searchsorted(at, np.arange(RANGES + 1) * -(-len(values) // RANGES))
                 for i in np.flatnonzero(np.diff(edges)):
@@ -197,41 +211,80 @@ def _deal(table: Table, buckets: int):
     return run
 
 
-def _read_bucket(rows: pa.Table, table: Table):
-    """Of each kind of a bucket: pair counts, context and word ranks and counts, with chunk and document of each pair."""
-    by_kind: dict[int, list] = {0: [], 1: []}
+def _sums(new: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Of each row, the sums over its run; ``new`` marks the first row of each run."""
+    heads, run = np.flatnonzero(new), np.cumsum(new) - 1
+    return [np.add.reduceat(x, heads)[run] for x in values]
+
+
+def _new(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    return np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
+
+
+def _flags(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return mark & 1, mark >> 1 & 1
+
+
+def _key(r: dict) -> np.ndarray:
+    return np.cumsum(_unzip(r["a"], np.uint64), dtype=np.uint64)
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _load(rows: pa.Table, table: Table) -> list[dict[str, np.ndarray] | None]:
+    """A bucket's rare words, by hash and context, with their counts, and its pairs of known words; None where there are none."""
+    by_kind: tuple[list, list] = ([], [])
     for r in rows.to_pylist():
-        key = np.cumsum(_unzip(r["a"], np.uint64), dtype=np.uint64)
-        if r["kind"] == 0:
-            u, mark = _unzip(r["b"], np.uint32), _unzip(r["c"], np.uint32)
-        else:
-            u, mark = (key >> np.uint64(32)).astype(np.uint32), _unzip(r["b"], np.uint32)
-        by_kind[r["kind"]].append((key, u, mark, np.full(len(key), r["chunk"])))
-    for kind, parts in by_kind.items():
+        key = _key(r)
+        own = {"key": key, "chunk": np.full(len(key), r["chunk"])}
+        own |= {name: _unzip(r[x], np.uint32).astype(np.int64) for name, x in ((("u", "b"), ("mark", "c"), ("after", "d")) if r["kind"] == 0 else (("mark", "b"),))}
+        if r["kind"] == 0 and "e" in r:
+            own["context"] = np.zeros(len(key), np.uint64)
+            if r["e"]:
+                own["context"][own["u"] == table.rare] = _unzip(r["e"], np.uint64)
+        by_kind[r["kind"]].append(own)
+    out = []
+    for parts in by_kind:
         if not parts:
+            out.append(None)
             continue
-        key, u, mark, chunk = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((u, key)) if kind == 0 else np.argsort(key, kind="stable")
-        key, u, mark, chunk = key[order], u[order].astype(np.int64), mark[order].astype(np.int64), chunk[order]
-        train, gone = (mark & 1).astype(np.int64), (mark >> 1 & 1).astype(np.int64)
-        new = np.r_[True, key[1:] != key[:-1]]
-
-        def sums(opens, values):
-            heads = np.flatnonzero(opens)
-            return np.add.reduceat(values, heads)[np.cumsum(opens) - 1]
-
-        pair = new if kind == 1 else new | np.r_[True, u[1:] != u[:-1]]
-        found = {"pair": sums(pair, train), "pair_gone": sums(pair, gone)}
-        if kind == 0:
-            found["word"], found["word_gone"] = sums(new, train), sums(new, gone)
-        else:
-            w = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            found["word"], found["word_gone"] = table.n[w], table.n[w] - table.kept[w]
-        yield kind, u, mark >> 2, chunk, gone, found
+        x = {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+        order = np.lexsort((x["u"], x["key"])) if "u" in x else np.argsort(x["key"], kind="stable")
+        out.append({name: v[order] for name, v in x.items()})
+    if out[0]:
+        out[0]["n"], out[0]["gone"] = _sums(_new(out[0]["key"]), *_flags(out[0]["mark"]))
+    return out
+
+
+def _parts(rare: dict | None, pairs: dict | None, table: Table):
+    """The pairs of a bucket but those of two rare words, in parts: chunk, mark, and the counts of context, pair and word, each with its
+    deleted count; whether the rows also stand for a rare word's places. Context and pair are None where the rows do only that."""
+
+    def of_rank(rank):
+        return table.n[rank], table.n[rank] - table.kept[rank]
+
+    if pairs:
+        u, w = (pairs["key"] >> np.uint64(32)).astype(np.int64), (pairs["key"] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        yield pairs["chunk"], pairs["mark"], of_rank(u), _sums(_new(pairs["key"]), *_flags(pairs["mark"])), of_rank(w), False
+    if not rare:
+        return
+    key, chunk, u, mark, after, n, gone = (rare[x] for x in ("key", "chunk", "u", "mark", "after", "n", "gone"))
+    pair = _sums(_new(key, u), *_flags(mark))
+    known = u != table.rare
+    yield chunk[known], mark[known], of_rank(u[known]), [x[known] for x in pair], (n[known], gone[known]), True
+    yield chunk[~known], mark[~known], None, None, (n[~known], gone[~known]), True
+    use = np.flatnonzero(after < table.known)  # the rare words as contexts
+    if len(use):
+        use = use[np.lexsort((after[use], key[use]))]
+        pair = _sums(_new(key[use], after[use]), *_flags(mark[use]))
+        yield chunk[use], mark[use], (n[use], gone[use]), pair, of_rank(after[use]), False
 
 
 def _bucket_of(count: np.ndarray) -> np.ndarray:
-    """Frequency bucket of contexts; 0: rare ones."""
+    """Frequency bucket of contexts; 0: those that do not occur."""
     return np.where(count > 0, np.log2(np.maximum(count, 1)).astype(np.int64) + 1, 0)
 
 
@@ -244,18 +297,56 @@ def _ratios(pair, context, word, total):
     return np.where(context > 0, pair / np.maximum(context, 1), 0.0), word / max(total, 1)
 
 
-def _held_out(table: Table):
-    """(b, level of the pair's ratio, level of the word's ratio, n) over the deleted part's pairs of a bucket."""
+def _cells(context, two, one) -> tuple[np.ndarray, ...]:
+    """b, level of the pair's ratio, level of the word's ratio, and how many."""
+    values, n = np.unique(np.stack([_bucket_of(context), _level(two), _level(one)], axis=1), axis=0, return_counts=True)
+    return *values.T, n
+
+
+def _held_out(table: Table, buckets: int):
+    """FOUND rows of a bucket."""
+
+    def rows_of(kind, **columns):
+        n = len(next(iter(columns.values())))
+        given = {"kind": np.full(n, kind, np.int8), **columns}
+        columns = [given.get(name, np.zeros(n, np.int64)) for name in _names(FOUND)]
+        return pa.table([pa.array(x.astype(np.int32) if name == "bucket" else x) for name, x in zip(_names(FOUND), columns)], names=_names(FOUND))
 
     def run(rows: pa.Table) -> pa.Table:
-        cells = [np.zeros((0, 3), np.int64)]
-        for _, u, _, _, gone, found in _read_bucket(rows, table):
-            pick = gone > 0
-            context = np.where(u[pick] == RARE, 0, table.kept[np.minimum(u[pick], KNOWN)])
-            two, one = _ratios((found["pair"] - found["pair_gone"])[pick], context, (found["word"] - found["word_gone"])[pick], table.total_kept)
-            cells.append(np.stack([_bucket_of(context), _level(two), _level(one)], axis=1))
-        values, n = np.unique(np.concatenate(cells), axis=0, return_counts=True)
-        return pa.table([pa.array(x, pa.int64()) for x in (*values.T, n)], names=["b", "two", "one", "n"])
+        rare, pairs = _load(rows, table)
+        cells = [[np.zeros(0, np.int64)] * 3]
+        for _, mark, context, pair, word, _ in _parts(rare, pairs, table):
+            if pair is None:
+                continue
+            pick = (mark & 2) > 0
+            context, pair, word = ((n - gone)[pick] for n, gone in (context, pair, word))
+            cells.append([context, *_ratios(pair, context, word, table.total_kept)])
+        b, two, one, n = _cells(*(np.concatenate(x) for x in zip(*cells)))
+        out = [rows_of(1, context=b, pair=two, word=one, mark=n)]
+        if rare:
+            pick = np.flatnonzero(rare["u"] == table.rare)
+            if len(pick):
+                pick = pick[np.lexsort((rare["context"][pick], rare["key"][pick]))]
+                key, context, chunk, mark, n, gone = (rare[x][pick] for x in ("key", "context", "chunk", "mark", "n", "gone"))
+                pair, pair_gone = _sums(_new(key, context), *_flags(mark))
+                to = (mix(context) % np.uint64(buckets)).astype(np.int64)
+                out.append(rows_of(0, bucket=to, context=context.view(np.int64), chunk=chunk, mark=mark, word=n, word_gone=gone, pair=pair, pair_gone=pair_gone))
+            pick = np.flatnonzero((rare["after"] == table.rare) & ((rare["mark"] & 2) > 0))
+            key, first = np.unique(rare["key"][pick], return_index=True)
+            out.append(rows_of(2, context=key.view(np.int64), word=(rare["n"] - rare["gone"])[pick][first]))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _rare_cells(total_kept: int):
+    """CELL rows of the deleted part's pairs of two rare words (context, pair, word: kept counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, pair, word = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            found = _cells(context, *_ratios(pair, context, word, total_kept))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=_names(CELL))
 
     return run
 
@@ -286,14 +377,20 @@ def _log_p(weights, table, pair, context, word):
 def _bucket_scores(table: Table, weights: np.ndarray):
     """Kind 1: sums by document of a chunk, from one bucket."""
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, rare_pairs: pa.Table) -> pa.Table:
+        rare, pairs = _load(rows, table)
+        found = list(_parts(rare, pairs, table))
+        if rare_pairs.num_rows:
+            heads = np.flatnonzero(_new(rare["key"]))
+            chunk, mark, context, word, pair = (rare_pairs.column(x).to_numpy() for x in ("chunk", "mark", "context", "word", "pair"))
+            at = heads[np.searchsorted(rare["key"][heads], context.view(np.uint64))]
+            found.append((chunk, mark, (rare["n"][at],), (pair,), (word,), False))
         parts = []
-        for kind, u, doc, chunk, _, found in _read_bucket(rows, table):
-            context = np.where(u == RARE, 0, table.n[np.minimum(u, KNOWN)])
-            score = _log_p(weights, table, found["pair"], context, found["word"])
-            base = np.log10(found["word"] + 1.0) if kind == 0 else np.zeros(len(u))
-            known = (found["word"] > 0).astype(float) if kind == 0 else base
-            parts.append((chunk, doc, score, base, known))
+        for chunk, mark, context, pair, word, own in found:
+            none = np.zeros(len(mark))
+            score = none if pair is None else _log_p(weights, table, pair[0], context[0], word[0])
+            base, known = (np.log10(word[0] + 1.0), (word[0] > 0).astype(float)) if own else (none, none)
+            parts.append((chunk, mark >> 2, score, base, known))
         chunk, doc, score, base, known = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((doc, chunk))
         chunk, doc = chunk[order], doc[order]
@@ -315,13 +412,11 @@ def _map_scores(table: Table, weights: np.ndarray, matrix: np.ndarray):
             parts, counts = [], []
             for begin, stop in blocks(docs):
                 _, w, u, doc, count = table.pairs(docs[begin:stop])
-                own = w != RARE
-                base = np.where(own, np.log10(table.n[np.minimum(w, KNOWN)] + 1.0), 0.0)
+                own = w != table.rare
+                base = np.where(own, np.log10(table.n[np.minimum(w, table.known)] + 1.0), 0.0)
                 score = np.zeros(len(w))
-                for pick, bigram in ((_dense(u, w), True), (own & (u == RARE), False)):
-                    context = table.n[u[pick]] if bigram else np.zeros(pick.sum(), np.int64)
-                    pair = matrix[_dense_cell(u[pick], w[pick])] if bigram else context
-                    score[pick] = _log_p(weights, table, pair, context, table.n[w[pick]])
+                pick = table.in_matrix(u, w)
+                score[pick] = _log_p(weights, table, matrix[table.cell(u[pick], w[pick])], table.n[u[pick]], table.n[w[pick]])
                 heads = np.cumsum(count) - count
                 parts.append(np.stack([np.add.reduceat(x, heads) for x in (score, base, own.astype(float))], axis=1))
                 counts.append(count)
@@ -360,13 +455,14 @@ def _merge(total: int, types: int):
     return run
 
 
-def score_texts(docs: DataFrame, train: Column, deleted: Column) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, deleted: Column, known: int = KNOWN, dense: int = DENSE) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text).
 
     ``train`` marks the rows to learn from, ``deleted`` those of them whose tokens fit the weights.
     Null counts as empty text, which is one end token. Repeated rows count as often as they stand; an
     empty table gives an empty result. Without training rows every word is unknown. The input must read the
-    same in the same partitions each time, as stored tables do.
+    same in the same partitions each time, as stored tables do. ``known`` and ``dense`` (at most ``known``) choose
+    where counts are looked up; the results are the same.
     """
     spark = docs.sparkSession
     flag = F.when(train & deleted, 3).when(train, 1).otherwise(0)
@@ -375,8 +471,8 @@ def score_texts(docs: DataFrame, train: Column, deleted: Column) -> DataFrame:
     words = stored(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("deleted").alias("deleted")), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("deleted"), F.lit(0)), F.count(F.lit(1))).first()
     n_docs = rows.agg(F.coalesce(F.sum(F.col("flag").bitwiseAND(1)), F.lit(0)), F.count(F.when(F.col("flag") == 3, 1))).first()
-    top = words.orderBy(F.desc("n"), "token").limit(KNOWN).toPandas()
-    table = Table(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["deleted"].to_numpy(np.int64), tuple(n_docs), (total[0], total[1]), total[2])
+    top = words.orderBy(F.desc("n"), "token").limit(known).toPandas()
+    table = Table(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["deleted"].to_numpy(np.int64), tuple(n_docs), (total[0], total[1]), total[2], known, dense)
     shared = spark.sparkContext.broadcast(table)  # two megabytes at most
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total[0] // BUCKET_WORDS + 1)
 
@@ -385,28 +481,33 @@ def score_texts(docs: DataFrame, train: Column, deleted: Column) -> DataFrame:
 
     dealt = stored(rows.mapInArrow(with_table(_deal, buckets), HEAD_SQL), "pairs")
     by_bucket = dealt.filter("bucket >= 0").groupBy("bucket")
-    cells = by_bucket.applyInArrow(with_table(_held_out), "b bigint, two bigint, one bigint, n bigint")
+    found = stored(by_bucket.applyInArrow(with_table(_held_out, buckets), FOUND), "found")
+    rare = found.filter("kind = 0")
+    kept = [(F.col(x) - F.col(f"{x}_gone")).alias(x) for x in ("pair", "word")]
+    rare_cells = rare.filter(F.col("mark").bitwiseAND(2) > 0).select("context", *kept)
+    rare_cells = rare_cells.join(found.filter("kind = 2").select("context", F.col("word").alias("kept")), "context").select("kept", "pair", "word")
+    cells = found.filter("kind = 1").select(F.col("context").alias("b"), F.col("pair").alias("two"), F.col("word").alias("one"), F.col("mark").alias("n"))
+    cells = cells.unionByName(rare_cells.mapInArrow(_rare_cells(table.total_kept), CELL))
     cells = cells.groupBy("b", "two", "one").agg(F.sum("n").alias("n")).toPandas().to_numpy(np.int64).astype(float)  # a fixed grid
 
     # the matrix: each range is summed over groups of parts, then over the groups; the driver sees one matrix
     sums = dealt.filter("bucket < 0").withColumn("chunk", F.floor(F.col("chunk") / PARTS))
     sums = sums.groupBy("bucket", "kind", "chunk").applyInArrow(_sum_cells, HEAD_SQL).groupBy("bucket", "kind").applyInArrow(_sum_cells, HEAD_SQL)
-    totals = {kind: np.zeros(KNOWN if kind == 4 else (DENSE + 1) * DENSE, np.int64) for kind in (2, 3, 4)}
+    totals = {kind: np.zeros(table.cells, np.int64) for kind in (2, 3)}
     for r in sums.toLocalIterator():
         totals[r["kind"]][np.cumsum(_unzip(bytes(r["a"]), np.uint32), dtype=np.int64)] += _unzip(bytes(r["b"]), np.int64)
     cells[:, 1:3] = np.where(cells[:, 1:3] > 0, 2.0 ** (-(cells[:, 1:3] - 1) / STEPS), 0)
     at = np.flatnonzero(totals[3])
-    u, w = at // DENSE, at % DENSE
-    context = table.kept[np.where(u == DENSE, START, u)]
+    u, w = at // dense, at % dense
+    context = table.kept[np.where(u == dense, table.start, u)]
     two, one = _ratios((totals[2] - totals[3])[at], context, table.kept[w], table.total_kept)
-    dense = np.stack([_bucket_of(context), two, one, totals[3][at]], axis=1)
-    w = np.flatnonzero(totals[4])
-    after = np.stack([np.zeros(len(w)), np.zeros(len(w)), table.kept[w] / max(table.total_kept, 1), totals[4][w]], axis=1)
-    weights = fit_weights(np.concatenate([cells, dense, after]), table.types)
+    in_matrix = np.stack([_bucket_of(context), two, one, totals[3][at]], axis=1)
+    weights = fit_weights(np.concatenate([cells, in_matrix]), table.types)
 
     matrix = spark.sparkContext.broadcast(totals[2].astype(np.uint32 if total[0] < 2**32 else np.int64))
     here = rows.mapInArrow(lambda x: _map_scores(shared.value, weights, matrix.value)(x), HEAD_SQL)
-    there = by_bucket.applyInArrow(with_table(_bucket_scores, weights), HEAD_SQL)
+    with_rare = dealt.filter("bucket >= 0").drop("e").groupBy("bucket").cogroup(rare.select("bucket", "chunk", "mark", "context", "word", "pair").groupBy("bucket"))
+    there = with_rare.applyInArrow(lambda rows, pairs: _bucket_scores(shared.value, weights)(rows, pairs), HEAD_SQL)
     return here.unionByName(there).groupBy("chunk").applyInArrow(_merge(total[0], total[2]), RESULT)
 
 

@@ -222,6 +222,25 @@ def test_lm_against_plain_counts(odd, monkeypatch):
     assert np.allclose(kept["w"].sum(axis=1), 1)
 
 
+@pytest.mark.parametrize("known, dense", [(1, 1), (7, 3), (40, 5)])
+def test_lm_of_rare_contexts(odd, known, dense, monkeypatch):
+    """Every context has its bigram term, whatever the share of words whose counts do not travel."""
+    docs = odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).cache()
+    kept = {}
+    fit = lm_score.fit_weights
+    monkeypatch.setattr(lm_score, "fit_weights", lambda *a: kept.setdefault("w", fit(*a)))
+    train, deleted = fold("doc_id", 7) != 2, fold("doc_id", 11) == 3
+    got = {r["doc_id"]: r for r in lm_score.score_texts(docs, train, deleted, known, dense).collect()}
+    want = brute.interpolated(pairs(docs), kept["w"], lambda c: int(lm_score._bucket_of(np.array([c]))[0]))
+    assert set(got) == set(want)
+    assert all(abs(got[i]["score"] - want[i]) < 1e-6 * max(1, abs(want[i])) for i in want)
+    here = kept.pop("w")
+    whole = {r["doc_id"]: r for r in lm_score.score_texts(docs, train, deleted).collect()}
+    assert np.allclose(here, kept["w"], atol=0.02)
+    assert all((got[i]["n_tokens"], got[i]["n_known"]) == (whole[i]["n_tokens"], whole[i]["n_known"]) for i in want)
+    assert all(abs(got[i]["base_score"] - whole[i]["base_score"]) < 1e-6 * max(1, abs(whole[i]["base_score"])) for i in want)
+
+
 def test_lm_of_odd_rows(odd, none):
     assert lm_score.score_texts(odd, F.lit(True), fold("doc_id", 2) == 1).count() == odd.count()
     assert lm_score.score_texts(odd, F.lit(False), F.lit(False)).filter("n_known = 0").count() == odd.count()
