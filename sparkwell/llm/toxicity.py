@@ -2,9 +2,9 @@
 
 The lexicon is learned: words that labelled toxic documents have far more often than
 clean ones. Its trie and a Levenshtein automaton are walked together; the product is made
-deterministic as it is met, so a word costs one look-up per character and most words leave it
-after a few. Short terms must match exactly, longer ones may differ by one or two edits
-after their first letter. A word that clean documents use is no misspelling.
+deterministic as it is met, so a word costs one look-up per character. Terms of up to three
+letters must match exactly, longer ones may differ by one or two edits anywhere, the first letter
+included. A word that clean documents use is no misspelling.
 
 Each hit is judged in a window of words: quotation marks and reporting words speak for
 quotation, second person and further hits for abuse. A document's counts by kind of hit enter a
@@ -35,7 +35,8 @@ MAX_TERMS, MAX_CLEAN = 2_000, 50_000
 #: The evidence is a log-likelihood ratio; the fit weighs what chance still lets through.
 MIN_TOXIC, MIN_ODDS, MIN_EVIDENCE = 3, 20.0, 13.0
 WINDOW = 4
-CACHED_WORDS, CACHED_STATES = 400_000, 100_000
+#: Words whose distance is kept, and entries of the machine's states, before they are built anew.
+CACHED_WORDS, CACHED_ENTRIES = 400_000, 1_000_000
 LONG_WORD = 64
 THRESHOLD = 0.7
 EDGES = " \t.,;:!?\"'()[]{}<>«»„“”‘’…-*_`"
@@ -52,7 +53,7 @@ def words_of(text: str) -> list[str]:
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class Automaton:
@@ -64,6 +65,7 @@ class Automaton:
         self.reach = [0]  # most edits allowed to any term below
         for term in terms:
             node, edits = 0, edits_allowed(term)
+            self.reach[0] = max(self.reach[0], edits)
             for char in term:
                 node = self.children[node].setdefault(char, len(self.children))
                 if node == len(self.children):
@@ -72,6 +74,8 @@ class Automaton:
                     self.reach.append(0)
                 self.reach[node] = max(self.reach[node], edits)
             self.allowed[node] = edits
+        #: lengths that a hit can have
+        self.lengths = {len(t) + d for t in terms for d in range(-edits_allowed(t), edits_allowed(t) + 1)}
         self._reset()
 
     def _reset(self) -> None:
@@ -79,6 +83,7 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.ends: list[int | None] = []
+        self.entries = 0
         self.start = self._state({0: 0})
 
     def _state(self, low: dict[int, int]) -> int:
@@ -86,9 +91,9 @@ class Automaton:
         queue = list(low)
         while queue:  # letters of a term that the word leaves out
             node = queue.pop()
-            if node:
+            edits = low[node] + 1
+            if edits <= self.reach[node]:
                 for child in self.children[node].values():
-                    edits = low[node] + 1
                     if edits <= self.reach[child] and edits < low.get(child, 99):
                         low[child] = edits
                         queue.append(child)
@@ -98,6 +103,7 @@ class Automaton:
         if key not in self.number:
             self.number[key] = len(self.sets)
             self.sets.append(key)
+            self.entries += len(key)
             self.moves.append({})
             self.ends.append(min((e for n, e in key if e <= self.allowed[n]), default=None))
         return self.number[key]
@@ -110,17 +116,18 @@ class Automaton:
                 low[node] = edits
 
         for node, edits in self.sets[state]:
-            if node == 0:  # the first letter must match
-                if char in self.children[0]:
-                    add(self.children[0][char], edits)
-                continue
-            add(node, edits + 1)
-            for letter, child in self.children[node].items():
-                add(child, edits + (letter != char))
+            if (child := self.children[node].get(char)) is not None:
+                add(child, edits)
+            if edits < self.reach[node]:
+                add(node, edits + 1)
+                for child in self.children[node].values():
+                    add(child, edits + 1)
         return self._state(low)
 
     def distance(self, word: str) -> int | None:
-        if len(self.sets) > CACHED_STATES:
+        if len(word) not in self.lengths:
+            return None
+        if self.entries > CACHED_ENTRIES:
             self._reset()
         state, moves = self.start, self.moves
         for char in word:

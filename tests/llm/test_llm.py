@@ -186,6 +186,36 @@ def test_automaton_against_edit_distance():
         assert machine.distance(word) == min(near, default=None)
 
 
+def test_automaton_against_plain_edit_distance():
+    """Edits anywhere, the first letter included, and one in terms of four letters."""
+    terms = ["idiot", "worthless", "scum", "stupid", "cad"]
+    machine = toxicity.Automaton(terms)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i, *[0] * len(b)], row
+            for j, y in enumerate(b, 1):
+                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+        return row[-1]
+
+    assert [machine.distance(w) for w in ("1diot", "ldiot", "tupid", "sstupid", "scvm", "scuum", "orthles")] == [1, 1, 1, 1, 1, 1, 2]
+    most = {"idiot": 1, "worthless": 2, "scum": 1, "stupid": 1, "cad": 0}
+    rnd = random.Random(6)
+    for _ in range(4000):
+        word = list(rnd.choice(terms))
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randint(0, len(word))
+            word[at : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "t", "s", "o"])
+        word = "".join(word)
+        assert machine.distance(word) == min((e for t in terms if (e := edits(word, t)) <= most[t]), default=None), word
+
+
+def test_masked_first_letter_is_a_hit():
+    model = toxicity.Model(["stupid", "scum"], ["slum"], toxicity.PRIOR.tolist())
+    assert [(w, e) for _, w, e, *_ in model.hits("you *tupid $cum, a slum")] == [("tupid", 1), ("$cum", 1)]
+
+
 def test_quotation_weighs_less():
     model = toxicity.Model(["idiot"], [], toxicity.PRIOR.tolist())
     assert model.score("you are an idiot") > 0.7 > model.score('he said "idiot" is a rude word')
