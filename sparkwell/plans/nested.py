@@ -1,7 +1,7 @@
 """Documents, wide rows and partition layout."""
 
 from sparkwell.functions.hashing import md5_bucket
-from sparkwell.operators.documents import order_snapshots, term_hits, validation_rules
+from sparkwell.operators.documents import order_snapshots, order_totals, term_hits, validation_rules, whole_quantities
 from sparkwell.operators.ordered import with_row_number
 from sparkwell.plans.common import F, Tables, Window, big, col, day, lit, query, rows, when
 from sparkwell.session import shared_path
@@ -28,10 +28,10 @@ DOCS_SQL = f"""(SELECT o_orderkey AS order_id, (pos - 1) // 1000 AS page, c_cust
 def doc_find(t: Tables):
     """Nested path, ranges and array membership, projected to three fields."""
     wanted = (
-        (col("customer.segment") == "BUILDING") & (col("amount") > 100000) & (col("amount") <= 400000)
-        & F.exists("items", lambda i: i["quantity"] >= 40) & F.exists("items", lambda i: i["product_id"] % 10 == 3)
+        (col("customer.segment") == "BUILDING") & (col("amount") > 100000) & (col("amount") <= 400000) & col("large") & col("listed")
     )
-    return snapshots(t).filter(wanted).select("order_id", col("customer.name").alias("customer_name"), "status")
+    facts = {"large": F.bool_or(col("l_quantity") >= 40), "listed": F.bool_or(col("l_partkey") % 10 == 3)}
+    return order_totals(t.orders, t.customer, t.lineitem, **facts).filter(wanted).select("order_id", col("customer.name").alias("customer_name"), "status")
 
 
 @query(
@@ -82,9 +82,11 @@ def doc_sort_filter(t: Tables):
         FROM {ITEMS_SQL} JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
 )
 def doc_embed_order(t: Tables):
+    """Items by page, with the number of items and the amount of the whole order."""
     item = lambda i: F.concat(i["product_id"].cast("string"), lit("x"), i["quantity"].cast("bigint").cast("string"))
-    return snapshots(t).select(
-        "order_id", "page", col("customer.name").alias("customer"), big(F.size("items")).alias("n_items"),
+    totals = t.lineitem.groupBy(col("l_orderkey").alias("order_id")).agg(rows().alias("n_items"), F.sum("l_extendedprice").alias("amount"))
+    return snapshots(t).drop("amount").join(totals, "order_id").select(
+        "order_id", "page", col("customer.name").alias("customer"), "n_items",
         F.round("amount", 2).alias("amount"), F.array_join(F.transform("items", item), ",").alias("items"),
     )
 
@@ -174,7 +176,7 @@ def doc_discriminator(t: Tables):
     f"""SELECT order_id, CASE WHEN status = 'P' THEN 'error' ELSE 'ok' END AS outcome, CASE WHEN status = 'P' THEN 'status' ELSE '' END AS reasons FROM {DOCS_SQL}""",
 )
 def doc_schema_validate(t: Tables):
-    checked = with_reasons(snapshots(t), validation_rules())
+    checked = with_reasons(order_totals(t.orders, t.customer, t.lineitem, whole=whole_quantities()), validation_rules())
     outcome = when(F.size("reasons") > 0, "error").otherwise("ok")
     return checked.select("order_id", outcome.alias("outcome"), F.array_join("reasons", ",").alias("reasons"))
 
