@@ -31,7 +31,7 @@ from sparkwell.llm.tokens import END_ID, encoder, groups
 
 LENGTH = 2048
 QUANTUM = 256
-#: The sources with most tokens have a queue each; the others share ``SHARED`` more queues by hash.
+#: The sources with most tokens and those named in the targets have a queue each; the others share ``SHARED`` more queues by hash.
 OWN_QUEUES, SHARED = 1024, 256
 #: Quanta placed at a time: with the queues, bounds the memory of a task.
 PLACED = 4096
@@ -167,7 +167,8 @@ def pack(docs: DataFrame, tokenizer: str, targets: dict[str | None, float] | Non
     """Pieces of all texts of ``docs`` (doc_id, text, source) in sequences of at most 2048 ids.
 
     ``targets`` are weights of sources; without them sources are mixed as they stand in the
-    input, and without a weight a source has its share of the input. When a queue is empty the others
+    input, and without a weight a source has its share of the input. Every source named has a queue
+    of its own; a name that is not in the input is refused. When a queue is empty the others
     go on in their proportions. Null text is empty and has the end id only; a null source is a
     source of its own; repeated rows are packed each. An empty table gives no piece.
     """
@@ -177,16 +178,23 @@ def pack(docs: DataFrame, tokenizer: str, targets: dict[str | None, float] | Non
     held = stored(ids.groupBy("part", "source").agg(F.sum("n").alias("n")), "held")
     by_source = held.groupBy("source").agg(F.sum("n").alias("n"))
     largest = by_source.orderBy(F.desc("n"), "source").limit(OWN_QUEUES).select("source").collect()
-    names = {r["source"]: i for i, r in enumerate(largest)}  # at most OWN_QUEUES names
+    names = {r["source"]: i for i, r in enumerate(largest)}  # at most OWN_QUEUES names, and the targets
+    named = [s for s in targets or {} if s not in names]
+    if named:
+        wanted = F.broadcast(spark.createDataFrame([(s,) for s in named], "name string"))
+        found = {r["name"] for r in by_source.join(wanted, F.col("source").eqNullSafe(F.col("name"))).select("name").collect()}
+        if unknown := [s for s in named if s not in found]:
+            raise ValueError(f"targets of sources that are not in the input: {unknown}")
+        names |= {s: OWN_QUEUES + SHARED + i for i, s in enumerate(named)}
     own = spark.createDataFrame([(s, i) for s, i in names.items()], "name string, own int")
     shared = F.lit(OWN_QUEUES) + (F.crc32(F.coalesce("source", F.lit(""))) % SHARED).cast("int")
     held = held.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("name")), "left").select("part", "source", "n", F.coalesce("own", shared).alias("queue"))
     start = F.sum("n").over(Window.partitionBy("queue").orderBy("part", "source")) - F.col("n")
     starts = stored(held.withColumn("start", start), "queues")
-    sums = {r["queue"]: r["n"] for r in starts.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most OWN_QUEUES + SHARED
+    sums = {r["queue"]: r["n"] for r in starts.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most OWN_QUEUES + SHARED, and the targets
     order = sorted(sums)
     total = sum(sums.values())
-    weight = {names[s]: w for s, w in (targets or {}).items() if s in names}
+    weight = {names[s]: w for s, w in (targets or {}).items()}
     shares = [weight.get(q, sums[q] / total) for q in order]
     schedule = Schedule([sums[q] for q in order], [s / sum(shares) for s in shares], quantum=quantum)
     dense = F.element_at(F.create_map(*[F.lit(x) for i, q in enumerate(order) for x in (q, i)]), F.col("queue")) if order else F.lit(0)

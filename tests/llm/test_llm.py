@@ -351,6 +351,18 @@ def test_windows_hold_the_target_shares(spark, sf_dir):
     assert share and all(abs(r["n"] - 1024) <= packing.QUANTUM for r in share)
 
 
+def test_every_target_has_its_own_queue(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(packing, "OWN_QUEUES", 1)
+    monkeypatch.setattr(packing, "SHARED", 1)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("source", F.element_at(F.array(*map(F.lit, "aabcd")), (F.col("doc_id") % 5 + 1).cast("int")))
+    path = tokenizer_path("byte_bpe_50k.json")
+    got = packing.pack(docs, path, dict.fromkeys("abcd", 1.0)).join(docs.select("doc_id", "source"), "doc_id")
+    share = {(r["sequence_id"], r["source"]): r["n"] for r in got.filter("sequence_id < 4").groupBy("sequence_id", "source").agg(F.sum("length").alias("n")).collect()}
+    assert all(abs(share.get((i, s), 0) - 512) <= packing.QUANTUM for i in range(4) for s in "abcd")
+    with pytest.raises(ValueError, match="typo"):
+        packing.pack(docs, path, {"a": 1.0, "typo": 1.0})
+
+
 # --- pieces
 
 
