@@ -16,6 +16,7 @@ from sparkwell.llm.packing import pack
 from sparkwell.llm.piece_codec import round_trip
 from sparkwell.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS, measure
 from sparkwell.llm.secret_scan import KINDS, LIVE_DISTINCT, LIVE_LENGTH, MAX_OWNERS, MAX_REPOSITORIES, scan_secrets
+from sparkwell.llm.spelling import variant_groups
 from sparkwell.llm.token_files import read_token_files, write_token_files
 from sparkwell.llm.tokens import tokenizer_path
 from sparkwell.llm.toxicity import learn, score_toxicity
@@ -189,3 +190,8 @@ def _secret_sql() -> str:
 def op10_secret_scan(spark, sf_dir):
     """A source owns its documents; its documents of one language are a repository."""
     return scan_secrets(documents(spark, sf_dir), F.concat_ws("/", "source", "lang"), F.col("source"))
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark, sf_dir):
+    return variant_groups(documents(spark, sf_dir)).select("word", "n", "n_near", "form", "form_n", "root")
