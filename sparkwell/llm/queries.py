@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkwell.llm.common import fold
 from sparkwell.llm.exact_dedup import find_copies
+from sparkwell.llm.hard_negatives import mine
 from sparkwell.llm.jaccard_join import jaccard_components
 from sparkwell.llm.language_id import identify, learn as learn_languages
 from sparkwell.llm.lm_score import score_texts
@@ -195,3 +196,34 @@ def op10_secret_scan(spark, sf_dir):
 @query("op11_spelling_variants")
 def op11_spelling_variants(spark, sf_dir):
     return variant_groups(documents(spark, sf_dir)).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+_NEGATIVES_SQL = """
+    WITH rows AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+        SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    ) WHERE rank <= 3
+    """
+
+
+@query("op12_hard_negatives", _NEGATIVES_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    rows = mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
