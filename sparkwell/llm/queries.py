@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkwell.llm.common import fold
 from sparkwell.llm.exact_dedup import find_copies
 from sparkwell.llm.hard_negatives import mine
+from sparkwell.llm.html_extract import extract, learn as learn_pages
 from sparkwell.llm.jaccard_join import jaccard_components
 from sparkwell.llm.language_id import identify, learn as learn_languages
 from sparkwell.llm.lm_score import score_texts
@@ -227,3 +228,9 @@ _NEGATIVES_SQL = """
 def op12_hard_negatives(spark, sf_dir):
     rows = mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return rows.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query("op13_html_extraction")
+def op13_html_extraction(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return extract(pages, learn_pages(pages)).select("page_id", "url", "text", "n_chars")
