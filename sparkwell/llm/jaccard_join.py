@@ -69,26 +69,28 @@ def _bitmaps(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents as kind 0 (id, set size, set key, parity bitmap); shingles frequent in a block of distinct sets, with their count, as kind 1."""
+    """Documents as kind 0 (id, hash of the text, set size, set key, parity bitmap); shingles frequent in a block of distinct sets, with their count, as kind 1."""
     pool: list[np.ndarray] = []
     held, seen = 0, set()
 
     def frequent():
         values, counts = np.unique(np.concatenate(pool), return_counts=True)
         often = counts >= OFTEN_IN_BLOCK
-        return row(1, np.zeros(often.sum(), np.int64), counts[often], values[often], np.zeros((often.sum(), 4), np.int64))
+        zeros = np.zeros(often.sum(), np.int64)
+        return row(1, zeros, zeros, counts[often], values[often], np.zeros((often.sum(), 4), np.int64))
 
-    def row(kind, ids, n, key, bits):
+    def row(kind, ids, texts, n, key, bits):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int8)), pa.array(ids, pa.int64()), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64))]
+            [pa.array(np.full(len(key), kind, np.int8)), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64))]
             + [pa.array(bits[:, i].copy()) for i in range(4)],
-            names=["kind", "id", "n", "key", *BITS],
+            names=["kind", "id", "text_hash", "n", "key", *BITS],
         )
 
     for batch in slices(batches):
-        docs, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
+        docs, ids, texts = as_bytes(batch.column(1)), batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for begin, hashes, cut, keys in _sets(docs):
-            yield row(0, ids[begin : begin + len(keys)], np.diff(cut), keys, _bitmaps(hashes, np.diff(cut)))
+            here = slice(begin, begin + len(keys))
+            yield row(0, ids[here], texts[here], np.diff(cut), keys, _bitmaps(hashes, np.diff(cut)))
             for i, key in enumerate(keys.tolist()):
                 if key not in seen:
                     seen.add(key)
@@ -158,14 +160,15 @@ LIMIT = 1 - NUM / DEN + 1e-9
 class _Join:
     def __init__(self, docs: DataFrame):
         self.spark = docs.sparkSession
-        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        summary = stored(self.docs.select("doc_id", "text").mapInArrow(_summaries, "kind tinyint, id bigint, n bigint, key bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint"), "sets")
-        self.members = summary.filter("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("key").alias("set_key"))
+        #: a row is found again by its id and the hash of its text; rows that share both have one set
+        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("text_hash"))
+        summary = self.docs.mapInArrow(_summaries, "kind tinyint, id bigint, text_hash bigint, n bigint, key bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint")
+        summary = stored(summary, "sets")
+        self.members = summary.filter("kind = 0").select(F.col("id").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), F.col("key").alias("set_key"))
         self.bits = summary.filter("kind = 0 AND n > 0").select(F.col("key").alias("set_key"), F.col("n").cast("int").alias("n"), *BITS)
-        #: one row for each distinct set: its smallest document and how many have it
-        self.classes = stored(
-            self.members.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes"
-        )
+        #: one row for each distinct set: its first row, by id (null ids last) and hash of the text, and how many have it
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
+        self.classes = stored(self.members.filter("n_shingles > 0").groupBy("set_key").agg(first.alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
         often = summary.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
         last = often.orderBy(F.desc("n"), "key").limit(MAX_LAST).select("key").toPandas()["key"].to_numpy(np.int64)
         self.last = np.sort(last.view(np.uint64))
@@ -184,8 +187,9 @@ class _Join:
 
     def tokens(self, keys: DataFrame, label: str) -> DataFrame:
         """(set_key, tokens) of some sets, read again from the text of one document of each."""
-        wanted = stored(self.classes.join(keys, "set_key").select("set_key", F.col("rep").alias("doc_id")), f"{label}-wanted")
-        texts = self.docs.join(small_side(wanted), "doc_id").select("set_key", "text")
+        wanted = self.classes.join(keys, "set_key").select("set_key", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash"))
+        wanted = small_side(stored(wanted, f"{label}-wanted"))
+        texts = self.docs.join(wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("set_key", "text")
         found = texts.mapInArrow(_whole_sets, "set_key bigint, tokens array<bigint>")
         return stored(found.groupBy("set_key").agg(F.first("tokens").alias("tokens")), f"{label}-tokens")
 
@@ -270,15 +274,20 @@ class _Join:
         return linked.unionByName(members.filter("link").select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
     def result(self) -> DataFrame:
+        """(doc_id, text_hash, n_shingles, component_id, keeper) for each row; keeper is the first row of the component, by id and hash of the text."""
         edges = stored(self.edges(), "edges")
         nodes = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).distinct()
         group = components(nodes, edges).select(F.col("node").alias("set_key"), "component")
         joint = self.classes.join(group, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
-        least = joint.groupBy("component").agg(F.min("rep").alias("component_id"), F.sum("copies").alias("members"))
+        least = joint.groupBy("component").agg(F.min("rep").alias("keeper"), F.sum("copies").alias("members"))
         # only sets with company need a look-up; AQE splits the rows of a set that many documents share
-        table = joint.join(least.filter("members > 1"), "component").select("set_key", "component_id")
+        table = joint.join(least.filter("members > 1"), "component").select("set_key", "keeper")
         found = self.members.join(stored(table, "answer"), "set_key", "left")
-        return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        return found.select("doc_id", "text_hash", "n_shingles", F.coalesce("keeper.doc_id", "doc_id").alias("component_id"), "keeper")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -286,15 +295,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     Null, empty or blank texts have n_shingles 0 and are linked with nothing. A text
     of fewer than five words is one shingle. Rows with equal sets, also repeated
-    rows, link. Other columns are ignored; an empty table gives an empty result.
+    rows, link. A row with a null doc_id links like any other; its component_id is null if no row of its component has a
+    doc_id. Other columns are ignored; an empty table gives an empty result.
     """
-    return _Join(docs).result()
+    return _Join(docs).result().select("doc_id", "n_shingles", "component_id")
 
 
 def nearest_removed(docs: DataFrame) -> DataFrame:
-    """The documents without those that link, directly or through others, to one of smaller doc_id.
+    """The documents of which each component keeps its first row, by doc_id (null ids last) and hash of the text.
 
-    Of repeated rows with that same smallest doc_id all stay.
+    Rows with the same doc_id and text are one document, and stay or go together. Other texts under the
+    doc_id of a row that goes are documents of their own.
     """
-    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(small_side(stored(gone, "removed")), "doc_id", "left_anti").select(docs.columns)
+    rows = _Join(docs).result().filter("keeper IS NOT NULL")
+    first = F.col("keeper.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("keeper.text_hash") == F.col("text_hash"))
+    gone = rows.filter(~first).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    gone = small_side(stored(gone, "removed"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_hash"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)

@@ -184,10 +184,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_language_removed(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` in which some language is found, with their columns."""
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield batch.filter(pa.array([lang != UNKNOWN for lang, _, _ in _predict(batch.column(at).to_pylist(), model)], pa.bool_()))
+    @F.arrow_udf("boolean")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            parts = slices([pa.RecordBatch.from_arrays([text], names=["text"])])
+            yield pa.array([lang != UNKNOWN for part in parts for lang, _, _ in _predict(part.column(0).to_pylist(), model)], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    # only the text goes to Python, and only the verdict comes back
+    return docs.filter(found(F.col("text").cast("string")))

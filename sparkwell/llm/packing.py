@@ -53,8 +53,9 @@ def _tokenise(path: str):
                     before.append(served.get(source, 0))
                     served[source] = before[-1] + len(x) // 4
                 n = [len(x) // 4 for x in found]
-                # ids of these vocabularies fit 16 bits
-                short = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in found]
+                # 16 bits an id where the vocabulary allows it; the reader sees the width by the length
+                small = encoder(path).tokenizer.get_vocab_size() <= 1 << 16
+                short = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in found] if small else found
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(n), pa.int32()), pa.array(sources[begin:stop], pa.string()), pa.array(ids[begin:stop], pa.int64()),
                      pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(short, pa.binary())],
@@ -152,7 +153,7 @@ def _pieces(schedule: Schedule):
             crc = np.zeros(len(doc), np.int64)
             edges = np.searchsorted(doc, np.arange(len(n) + 1))
             for d in range(len(n)):
-                whole = memoryview(np.frombuffer(ids[d], "<u2").astype("<u4")).cast("B")
+                whole = memoryview(np.frombuffer(ids[d], f"<u{len(ids[d]) // n[d]}").astype("<u4")).cast("B")
                 for i in range(edges[d], edges[d + 1]):
                     crc[i] = zlib.crc32(whole[4 * start[i] : 4 * (start[i] + size[i])])
             yield pa.RecordBatch.from_arrays(

@@ -200,16 +200,16 @@ def op11_spelling_variants(spark, sf_dir):
 
 
 _NEGATIVES_SQL = """
-    WITH rows AS (
+    WITH part AS (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-               list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+               [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
         FROM embeddings
         WHERE label IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len([1 FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
     ),
     scored AS (
         SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
-        FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        FROM part a JOIN part b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
     ),
     positives AS (
         SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same

@@ -37,8 +37,9 @@ KINDS = (
     Kind("access", r"AKIA[A-Z0-9]{16,}", 0, 20, True),
     Kind("hex", r"[0-9a-f]{24,}", 0, 24, True),
     Kind("forge", r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 40),
-    Kind("bearer", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 27),
-    Kind("login", rf"[a-z]+://{WORD}:({WORD})@", 1, 6),
+    # bounded heads: a long run of letters is tried at each of its places
+    Kind("bearer", r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 27),
+    Kind("login", rf"[a-z]{{1,16}}://{WORD}:({WORD})@", 1, 6),
 )
 GATE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|gh[opsur]_[A-Za-z0-9]{36}|eyJ[A-Za-z0-9_-]{8}|://"""
 #: A value of more owners or repositories than these is a copied example.
@@ -50,7 +51,10 @@ CUT_ROWS = 50_000
 
 
 def _matches(number: int, kind: Kind) -> Column:
-    """[(kind, i, gap, match, value)]: each match with the number of code points since the one before."""
+    """[(kind, i, gap, size, value_sha256, length, live)]: each match with the number of code points since the one before.
+
+    Values leave the text only as their hashes.
+    """
     text, pattern = F.col("_text"), F.lit(kind.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else found
@@ -59,11 +63,12 @@ def _matches(number: int, kind: Kind) -> Column:
         F.arrays_zip(found.alias("m"), values.alias("v"), pieces.alias("p")),
         lambda x, i: F.struct(
             F.lit(number).alias("kind"), i.alias("i"), F.length(x["p"]).cast("bigint").alias("gap"),
-            F.length(x["m"]).cast("bigint").alias("size"), x["m"].alias("match"), x["v"].alias("value"),
+            F.length(x["m"]).cast("bigint").alias("size"), F.sha2(x["v"], 256).alias("value_sha256"),
+            F.length(x["v"]).alias("length"), _live(x["v"]).alias("live"),
         ),
     )
     # the piece after the last match has no match beside it
-    return F.filter(rows, lambda x: x["match"].isNotNull())
+    return F.filter(rows, lambda x: x["size"].isNotNull())
 
 
 def _live(value: Column) -> Column:
@@ -90,8 +95,8 @@ class Scan:
         end = F.sum(F.col("gap") + F.col("size")).over(before)
         least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), F.col("kind") + 1)
         spans = (
-            each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).filter(F.length("value") >= least)
-            .select("row", "owner", "repository", "kind", "start", "end", F.sha2("value", 256).alias("value_sha256"), _live(F.col("value")).alias("live"))
+            each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).filter(F.col("length") >= least)
+            .select("row", "owner", "repository", "kind", "start", "end", "value_sha256", "live")
         )
         spans = stored(spans, "spans")
         # a value in a third of all texts is one row for each owner and repository before it is counted

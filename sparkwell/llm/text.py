@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 BLOCK_BYTES = 1 << 19
 SHINGLE_WORDS = 5
@@ -94,10 +95,15 @@ def blocks(docs: Sequence[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[in
 
 
 def slices(batches, rows: int = 256):
-    """The batches of a task in parts of few rows: bounds the Python objects that a task holds."""
+    """The batches of a task in parts of few rows: bounds the Python objects that a task holds.
+
+    Parts are copies, so that no batch outlives its own parts, and a worker that goes idle gives its memory back.
+    """
     for batch in batches:
         for begin in range(0, batch.num_rows, rows):
-            yield batch.slice(begin, rows)
+            yield batch.take(pa.array(np.arange(begin, min(begin + rows, batch.num_rows))))
+        del batch
+    pa.default_memory_pool().release_unused()
 
 
 def as_bytes(column) -> list[bytes]:

@@ -38,21 +38,29 @@ class Encoder(dict):
     single line feed into a letter: cutting there changes no id, and the same chunk has the same ids
     everywhere. The dictionary is the cache, chunk -> ids; once full it becomes the old one, from which
     chunks that are met again move on.
+
+    A text that names a special token, in any case of letters, goes to the library whole. There the name is that
+    token, as in a plain call of the library; with ``ordinary`` it is text like any other.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_CHUNKS):
+    def __init__(self, path: str, cached: int = CACHED_CHUNKS, ordinary: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = ordinary
+        names = [] if ordinary else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: every name has one of the heads
+        self.heads = tuple({name[:2] for name in names})
+        self.named = re.compile("|".join(map(re.escape, names)) or r"(?!)", re.I)
         self.model = self.tokenizer.model
         one, other = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("Word", " word"))
         #: the vocabulary knows neither case nor white space
         self.folds = one == other
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        #: how the models write the bytes of a space and of Latin letters
-        self.written = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(32, 0x250)}
+        #: how the models write the bytes of a space, of Latin letters, and of their lower case, which may lie beyond them
+        letters = {x for c in range(32, 0x250) for x in chr(c) + chr(c).lower()}
+        self.written = {ord(x): level.pre_tokenize_str(x)[0][0] for x in letters}
         self.cached = cached
         self.old: dict[str, bytes] = {}
 
@@ -80,7 +88,13 @@ class Encoder(dict):
         if len(self) > self.cached:
             self.old = dict(self)
             self.clear()
-        return [b"".join(map(self.__getitem__, self._chunks(text or ""))) for text in texts]
+        return [self._one(text or "") for text in texts]
+
+    def _one(self, text: str) -> bytes:
+        if any(head in text for head in self.heads) and self.named.search(text):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return pack(f"<{len(found)}I", *found)
+        return b"".join(map(self.__getitem__, self._chunks(text)))
 
 
 _encoders: dict[str, Encoder] = {}

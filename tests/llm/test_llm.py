@@ -303,10 +303,26 @@ def test_encoder_is_the_library(name):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path(name))
-    library.encode_special_tokens = True
     texts = fuzz(5000)
-    mine = Encoder(tokenizer_path(name)).encode(texts)
-    for text, ids, other in zip(texts, mine, library.encode_batch(texts, add_special_tokens=False)):
+    for ordinary in (False, True):
+        library.encode_special_tokens = ordinary
+        mine = Encoder(tokenizer_path(name), ordinary=ordinary).encode(texts)
+        for text, ids, other in zip(texts, mine, library.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(ids, "<u4").tolist() == other.ids, text
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_latin_letter_beside_other_characters(name):
+    """The library's plain call is the only expectation: all letters up to U+024F and their lower case, alone and in words."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path(name))
+    letters = [chr(c) for c in range(0x20, 0x250)] + ["\u0259", "\u0254", "\u2c65", "\u0307"]
+    rnd = random.Random(8)
+    texts = [t for x in letters for t in (f"{x} \U0001f600", f"A{x}b{x} \u8a9e", f"\u8a9e a{x}. {x}{x}", x)]
+    texts += ["".join(rnd.choice(letters + [" ", " ", "\U0001f600", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>"]) for _ in range(25)) for _ in range(3000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x<|ENDOFTEXT|>y", "  <|endoftext|>  \n", "\u018fLAQ\u018f \U0001f600"]
+    for text, ids, other in zip(texts, Encoder(tokenizer_path(name)).encode(texts), library.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(ids, "<u4").tolist() == other.ids, text
 
 
