@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwell.operators.ordered import top_per_group
+from sparkwell.session import cut_lineage
 
 MAX_QUERIES = 1000
 Queries = Sequence[tuple[int, Sequence[float]]]
@@ -66,49 +68,102 @@ def nearest(base: DataFrame, key: str, vector: str, queries: Queries, k: int) ->
     return top_per_group(scored, ["query_id"], [("distance", "asc"), (key, "asc")], k, "place")
 
 
-def planes(dims: int, tables: int, bits: int, seed: int = 17) -> np.ndarray:
-    return np.random.default_rng(seed).normal(size=(tables, bits, dims))
+@dataclass(frozen=True)
+class Cells:
+    """Centres of an index, and how many cells nearest to a query are probed."""
 
+    centres: np.ndarray
+    probes: int
 
-def bucket_codes(x: np.ndarray, hyperplanes: np.ndarray) -> np.ndarray:
-    """(rows, tables) codes: one sign bit per hyperplane."""
-    tables, bits, _ = hyperplanes.shape
-    signs = np.einsum("nd,tbd->ntb", x, hyperplanes) > 0
-    return signs @ (1 << np.arange(bits))
+    def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
+        """(rows, n) cells by similarity, nearest first."""
+        return np.argsort(-(x @ self.centres.T), axis=1, kind="stable")[:, :n]
 
 
-def bucket_index(base: DataFrame, key: str, vector: str, hyperplanes: np.ndarray) -> DataFrame:
-    """(table, code, key, vector): each vector once per hash table. Written once, it serves many queries."""
+#: Rows that centres and probes are fitted on; their neighbours among each other tell how many probes a recall takes.
+FIT_ROWS, FIT_QUERIES, FIT_ROUNDS = 4096, 256, 8
+ROWS_PER_CELL = 64
+#: Rows of one part of a cell: a cell of copies is many parts.
+PART_ROWS = 50_000
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, without those of length zero."""
+    norm = np.linalg.norm(x, axis=1)
+    return x[norm > 0] / norm[norm > 0, None]
+
+
+def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95) -> Cells:
+    """Centres by k-means over at most FIT_ROWS rows, picked by hash of the key, and the least probes that reach ``recall`` on them.
+
+    The fit decides where rows lie and how much is searched; every row is indexed.
+    """
+    picked = base.filter(F.col(vector).isNotNull()).select(key, vector).orderBy(F.xxhash64(key), key).limit(FIT_ROWS).collect()
+    x = _unit(np.array([r[1] for r in picked], dtype="float64").reshape(len(picked), -1)) if picked else np.zeros((0, 1))
+    n = max(1, len(x) // ROWS_PER_CELL)
+    centres = x[:n].copy()
+    for _ in range(FIT_ROUNDS):
+        cell = np.argmax(x @ centres.T, axis=1) if len(x) else np.zeros(0, int)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, x)
+        norm = np.linalg.norm(sums, axis=1)
+        centres[norm > 0] = sums[norm > 0] / norm[norm > 0, None]
+    if not len(x):
+        return Cells(centres, 1)
+    cells = Cells(centres, n)
+    asked = x[:FIT_QUERIES]
+    near = np.argsort(-(asked @ x.T), axis=1, kind="stable")[:, 1 : k + 1]
+    order = cells.nearest(asked, n)
+    home = cells.nearest(x, 1)[:, 0]
+    # the place, in a query's order of cells, of the cell of each of its neighbours
+    place = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], home[near]]
+    reached = [(place < probes).mean() if place.size else 1.0 for probes in range(1, n + 1)]
+    return Cells(centres, 1 + int(np.argmax(np.array(reached) >= recall)))
+
+
+def _with_cells(rows: DataFrame, key: str, vector: str, cells: Cells, n: int) -> DataFrame:
+    """(key, v, cells): unit vectors and their ``n`` nearest cells; rows without a direction are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
-            codes = bucket_codes(np.stack(pdf[vector].to_numpy()).astype("float64"), hyperplanes)
-            for t in range(codes.shape[1]):
-                yield pd.DataFrame({"tbl": t, "code": codes[:, t], key: pdf[key], vector: pdf[vector]})
-
-    return base.select(key, vector).mapInPandas(
-        assign, f"tbl INT, code BIGINT, {key} BIGINT, {vector} ARRAY<FLOAT>"
-    )
-
-
-def approximate_nearest(index: DataFrame, key: str, vector: str, queries: Queries, hyperplanes: np.ndarray, k: int) -> DataFrame:
-    """Candidates from the queries' buckets (and those one bit away), re-ranked by exact distance."""
-    bits = hyperplanes.shape[1]
-    codes = bucket_codes(np.array([v for _, v in queries]), hyperplanes)
-    probes = [
-        (int(t), int(c) ^ flip, int(q))
-        for (q, _), row in zip(queries, codes) for t, c in enumerate(row) for flip in [0, *(1 << b for b in range(bits))]
-    ]
-    spark = index.sparkSession
-    wanted = spark.createDataFrame(probes, "tbl INT, code BIGINT, query_id BIGINT")
-    vectors = spark.createDataFrame([(q, list(v)) for q, v in queries], "query_id BIGINT, _q ARRAY<DOUBLE>")
-    hits = index.join(F.broadcast(wanted), ["tbl", "code"]).dropDuplicates(["query_id", key])
-    scored = hits.join(F.broadcast(vectors), "query_id").select(
-        "query_id", key, F.round(1 - cosine(F.col(vector), F.col("_q")), 9).alias("distance")
-    )
-    return top_per_group(scored, ["query_id"], [("distance", "asc"), (key, "asc")], k, "place")
+            x = np.stack(pdf[vector].to_numpy()).astype("float64")
+            norm = np.linalg.norm(x, axis=1)
+            x, keys = x[norm > 0] / norm[norm > 0, None], pdf[key].to_numpy()[norm > 0]
+            yield pd.DataFrame({key: keys, "v": list(x), "cells": list(cells.nearest(x, n))})
+
+    return rows.filter(F.col(vector).isNotNull()).select(key, vector).mapInPandas(run, f"{key} BIGINT, v ARRAY<DOUBLE>, cells ARRAY<INT>")
+
+
+class CellIndex:
+    """Every row of a table under its nearest centre, on shared files; cells of many rows are dealt over parts."""
+
+    def __init__(self, base: DataFrame, key: str, vector: str, cells: Cells):
+        self.key, self.cells = key, cells
+        rows = _with_cells(base, key, vector, cells, 1).select(key, "v", F.col("cells")[0].alias("cell"))
+        rows = cut_lineage(rows, "cells")
+        parts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+        self.parts = cut_lineage(parts, "cell-parts")  # one row for each centre
+        part = F.pmod(F.xxhash64(key), F.col("parts")).cast("int").alias("part")
+        self.rows = rows.join(F.broadcast(self.parts), "cell").select("cell", part, F.col(key), "v")
+
+    def search(self, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+        """(query_id, key, distance, place): the k nearest rows of the probed cells, for each row of a table of queries."""
+        asked = _with_cells(queries, key, vector, self.cells, self.cells.probes).select(F.col(key).alias("query_id"), F.col("v").alias("q"), F.explode("cells").alias("cell"))
+        probes = asked.join(F.broadcast(self.parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        met = probes.join(self.rows, ["cell", "part"])
+        distance = F.round(1 - dot(F.col("q"), F.col("v")), 9).alias("distance")
+        return top_per_group(met.select("query_id", self.key, distance), ["query_id"], [("distance", "asc"), (self.key, "asc")], k, "place")
+
+
+def recall_of(found: DataFrame, base: DataFrame, queries: DataFrame, key: str, vector: str, k: int, asked: int = 200) -> DataFrame:
+    """One row (recall, asked): the share of the exact k nearest that ``found`` has, over at most ``asked`` queries picked by hash."""
+    picked = queries.filter(F.col(vector).isNotNull()).orderBy(F.xxhash64(key), key).limit(asked)
+    exact = nearest(base.filter(F.col(vector).isNotNull()), key, vector, query_list(picked, key, vector), k).select("query_id", key)
+    hit = found.select("query_id", key, F.lit(1).alias("hit"))
+    met = exact.join(hit, ["query_id", key], "left")
+    return met.agg((F.count("hit") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("recall"), F.countDistinct("query_id").alias("asked"))
 
 
 def fill_vectors(rows: DataFrame, key: str, text: str, embed: Callable[[list[str]], np.ndarray]) -> DataFrame:
