@@ -240,17 +240,17 @@ def with_ntile(df: DataFrame, keys: Sequence[str], order: Order, tiles: int, nam
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], weight: str | None = None
 ) -> DataFrame:
     """Interpolated percentiles per group without holding a group in one task.
 
     Rows are combined to (keys, value, count); positions come from running
-    counts. Adds ``n``, the non-NULL row count. Groups without values are absent.
+    counts. With ``weight`` a row stands for that many. Adds ``n``, the non-NULL row count. Groups without values are absent.
     """
     combined = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
     )
     if small_input(df):
         whole = Window.partitionBy(*keys)

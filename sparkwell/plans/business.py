@@ -3,12 +3,20 @@
 "Now" is always a parameter that is resolved when the query runs.
 """
 
+import functools
+from datetime import date, datetime, timedelta
+
+from pyspark.sql import Column
+
+from sparkwell.operators.cubes import Cube, CubeStore
 from sparkwell.operators.ordered import exact_percentiles, latest_per_key, over_rows, top_per_group
 from sparkwell.operators.pairs import overlapping_pairs
 from sparkwell.plans.common import F, Tables, big, col, day, lit, query, rows, when
 from sparkwell.plans.joins import FUNNEL_SQL, funnel_events, step_counts
-from sparkwell.session import shared_path
+from sparkwell.session import shared_path, shared_root
+from sparkwell.sources.ledger import deliveries, landed
 from sparkwell.sources.sinks import replace_partitions
+from sparkwell.sources.versioned import VersionedTable
 
 # --- news desk: events with the user's nation as country, the JSON number modulo 12 as theme
 
@@ -255,10 +263,85 @@ def trips(t: Tables):
     )
 
 
-def last_full_month(now: str):
-    """[start, end) of the latest complete month before ``now``."""
-    end = F.date_trunc("month", ntz(now)).cast("timestamp_ntz")
-    return end - F.expr("INTERVAL 1 MONTH"), end
+LANDED = """pickup_zone BIGINT, dropoff_zone BIGINT, pickup_borough INT, dropoff_borough INT, hour_of_day BIGINT, day_of_week BIGINT,
+  pickup TIMESTAMP_NTZ, fare DOUBLE, miles DOUBLE, asked STRING, pay DOUBLE, gross DOUBLE"""
+WAITED = "zone BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
+
+SURGE = Cube("surge", {x: x for x in ("pickup_zone", "hour_of_day", "day_of_week")}, "fare / nullif(miles, 0.0D)")
+SHARED = Cube(
+    "shared", {"day": "to_date(pickup)", "pickup_zone": "pickup_zone", "dropoff_zone": "dropoff_zone"},
+    sums={"requested": "1L", "matched": "if(asked = 'A', 1L, 0L)"}, keep="asked IN ('A', 'R')",
+)
+PAY = Cube("pay", {"licensee": "asked"}, sums={"gross": "gross", "pay": "pay"})
+RUSH = Cube(
+    "rush", {"pickup_borough": "pickup_borough", "dropoff_borough": "dropoff_borough"}, "fare",
+    keep="day_of_week BETWEEN 2 AND 6 AND hour_of_day IN (1, 2, 3)",
+)
+WAIT = Cube("wait", {"day": "to_date(ts)", "hour": "hour(ts)", "zone": "zone"}, "value")
+
+
+def month_of(time: str):
+    return F.date_format(time, "yyyy-MM").alias("name")
+
+
+def ride_months(t: Tables):
+    """Trips with the boroughs of both ends, and the month that publishes them."""
+    def region(df, key, name):
+        return df.join(t.nation, col(key) == col("n_nationkey")).withColumnRenamed("n_regionkey", name).drop("n_nationkey", "n_name")
+
+    buyers = region(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", "pickup_borough")
+    sellers = region(t.supplier.select("s_suppkey", "s_nationkey"), "s_nationkey", "dropoff_borough")
+    # a trip without an order, customer or supplier has no borough and still counts elsewhere
+    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), col("l_orderkey") == col("o_orderkey"), "left")
+    lines = lines.join(buyers, col("o_custkey") == col("c_custkey"), "left").join(sellers, col("l_suppkey") == col("s_suppkey"), "left")
+    return lines.select(
+        (col("l_suppkey") % 10).alias("pickup_zone"), (col("l_partkey") % 10).alias("dropoff_zone"), col("pickup_borough").cast("int"),
+        col("dropoff_borough").cast("int"), big(col("l_linenumber")).alias("hour_of_day"), big(F.dayofweek("l_shipdate")).alias("day_of_week"),
+        col("l_shipdate").cast("timestamp_ntz").alias("pickup"), col("l_extendedprice").cast("double").alias("fare"), col("l_quantity").cast("double").alias("miles"),
+        col("l_returnflag").alias("asked"), (col("l_extendedprice") * (1 - col("l_discount"))).cast("double").alias("pay"),
+        (col("l_extendedprice") * (1 + col("l_tax"))).cast("double").alias("gross"), month_of("l_shipdate"),
+    )
+
+
+def wait_months(t: Tables):
+    return t.events.select(col("user_id").alias("zone"), col("ts").cast("timestamp_ntz").alias("ts"), "value", month_of("ts"))
+
+
+def cube_store(t: Tables, what: str) -> CubeStore:
+    """The cubes of the trips or waits, below the shared folder and the state of the files they come from.
+
+    The landing folder has one folder a month, as the feed publishes it. It is written when the tables
+    are new or have changed; after that a question lists files and reads its cube.
+    """
+    tables, rows_of, schema = {
+        "rides": (("lineitem", "orders", "customer", "supplier", "nation"), ride_months, LANDED), "waits": (("events",), wait_months, WAITED),
+    }[what]
+    files = [landed(t.spark, t.path(x)).withColumn("name", lit("all")) for x in tables]
+    state = deliveries(functools.reduce(lambda x, y: x.unionByName(y), files)).first()["etag"]
+    root = f"{shared_root(t.spark).rstrip('/')}/sparkwell/{what}-{state}"
+    published = VersionedTable(t.spark, f"{root}/published")
+    if not published.exists():
+        replace_partitions(rows_of(t), f"{root}/landing", "name")
+        published.replace(t.spark.createDataFrame([(state,)], "state STRING"))
+    return CubeStore(t.spark, f"{root}/landing", schema, f"{root}/cubes")
+
+
+def from_cube(t: Tables, what: str, cube: Cube, months=None):
+    store = cube_store(t, what)
+    store.refresh(cube)
+    return store.read(cube, months)
+
+
+def last_full_month(now: str) -> str:
+    """The latest complete month before ``now``, as yyyy-MM."""
+    return (datetime.fromisoformat(now).replace(day=1) - timedelta(days=1)).strftime("%Y-%m")
+
+
+def trailing(now: str, days: int) -> tuple[list[str], Column]:
+    """Months that hold the days before ``now``, and the condition on the day; ``now`` is a date."""
+    end = date.fromisoformat(now)
+    start = end - timedelta(days=days)
+    return [start.strftime("%Y-%m"), (end - timedelta(days=1)).strftime("%Y-%m")], (col("day") >= lit(start)) & (col("day") < lit(end))
 
 
 SURGE_SQL = """SELECT l_suppkey % 10 AS pickup_zone, CAST(l_linenumber AS BIGINT) AS hour_of_day, dayofweek(l_shipdate) + 1 AS day_of_week,
@@ -271,14 +354,11 @@ SURGE_SQL = """SELECT l_suppkey % 10 AS pickup_zone, CAST(l_linenumber AS BIGINT
         ORDER BY per_mile DESC, 1, 2, 3 LIMIT 100""",
 )
 def fhv_surge_hotspots(t: Tables, now: str = "2001-08-15", min_trips: int = 2):
-    """Dearest zone, hour and weekday cells of the latest complete month (200 trips a cell on full data)."""
-    start, end = last_full_month(now)
-    month = trips(t).filter((col("pickup") >= start) & (col("pickup") < end))
-    priced = month.withColumn("per_mile", col("fare") / F.nullif(col("miles"), lit(0.0)))
-    cell = ["pickup_zone", "hour_of_day", "day_of_week"]
-    medians = exact_percentiles(priced.select(*cell, "per_mile"), cell, "per_mile", {"p50": 0.5})
-    cells = medians.filter(col("n") >= min_trips).select(*cell, F.round("p50", 6).alias("per_mile"), col("n").alias("trips"))
-    return cells.orderBy(col("per_mile").desc(), *cell).limit(100)
+    """Dearest zone, hour and weekday cells of the latest complete month (200 trips a cell on full data), from the cube."""
+    cells = from_cube(t, "rides", SURGE, [last_full_month(now)])
+    medians = exact_percentiles(cells, list(SURGE.cell), "value", {"p50": 0.5}, "n").filter(col("n") >= min_trips)
+    found = medians.select(*SURGE.cell, F.round("p50", 6).alias("per_mile"), col("n").alias("trips"))
+    return found.orderBy(col("per_mile").desc(), *SURGE.cell).limit(100)
 
 
 @query(
@@ -287,10 +367,10 @@ def fhv_surge_hotspots(t: Tables, now: str = "2001-08-15", min_trips: int = 2):
        WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY AND ts < TIMESTAMP '2024-01-31' AND hour(ts) = 8 GROUP BY 1 ORDER BY p90 DESC, zone LIMIT 25""",
 )
 def fhv_wait_percentiles(t: Tables, now: str = "2024-01-31", hour: int = 8):
-    """Zones with the longest 90th-percentile wait at one hour, over the trailing 30 days."""
-    window = (col("ts") >= ntz(now) - F.expr("INTERVAL 30 DAYS")) & (col("ts") < ntz(now))
-    waits = t.events.filter(window & (F.hour("ts") == hour)).select(col("user_id").alias("zone"), "value")
-    found = exact_percentiles(waits, ["zone"], "value", {"p50": 0.5, "p90": 0.9})
+    """Zones with the longest 90th-percentile wait at one hour, over the trailing 30 days; counts of values add up over days."""
+    months, days = trailing(now, 30)
+    waits = from_cube(t, "waits", WAIT, months).filter(days & (col("hour") == hour))
+    found = exact_percentiles(waits, ["zone"], "value", {"p50": 0.5, "p90": 0.9}, "n")
     rounded = found.select("zone", F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90"), "n")
     return rounded.orderBy(col("p90").desc(), "zone").limit(25)
 
@@ -303,12 +383,10 @@ def fhv_wait_percentiles(t: Tables, now: str = "2024-01-31", hour: int = 8):
        GROUP BY 1, 2 HAVING COUNT(*) >= 10 ORDER BY match_rate DESC, 1, 2 LIMIT 20""",
 )
 def fhv_shared_match(t: Tables, now: str = "1998-06-01", min_requests: int = 10):
-    """Matched over requested shared rides per zone pair, trailing 90 days (500 requests on full data)."""
-    window = (col("pickup") >= ntz(now) - F.expr("INTERVAL 90 DAYS")) & (col("pickup") < ntz(now))
-    asked = trips(t).filter(window & col("l_returnflag").isin("A", "R"))
-    pairs = asked.groupBy("pickup_zone", "dropoff_zone").agg(
-        rows().alias("requested"), F.count_if(col("l_returnflag") == "A").alias("matched")
-    )
+    """Matched over requested shared rides per zone pair, trailing 90 days (500 requests on full data), from daily sums."""
+    months, days = trailing(now, 90)
+    asked = from_cube(t, "rides", SHARED, months).filter(days)
+    pairs = asked.groupBy("pickup_zone", "dropoff_zone").agg(F.sum("requested").alias("requested"), F.sum("matched").alias("matched"))
     rate = F.round(col("matched") / col("requested"), 6)
     kept = pairs.filter(col("requested") >= min_requests).select("pickup_zone", "dropoff_zone", "requested", rate.alias("match_rate"))
     return kept.orderBy(col("match_rate").desc(), "pickup_zone", "dropoff_zone").limit(20)
@@ -321,10 +399,10 @@ def fhv_shared_match(t: Tables, now: str = "1998-06-01", min_requests: int = 10)
               round(100 * SUM(l_extendedprice * (1 - l_discount)) / SUM(l_extendedprice * (1 + l_tax)), 6) AS pct FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2""",
 )
 def fhv_driver_pay_share(t: Tables):
-    gross, pay = F.sum(col("fare") * (1 + col("l_tax"))), F.sum(col("fare") * (1 - col("l_discount")))
-    months = trips(t).groupBy(F.date_format("pickup", "yyyy-MM").alias("month"), col("l_returnflag").alias("licensee"))
-    return months.agg(
-        F.round(gross, 4).alias("gross"), F.round(pay, 4).alias("driver_pay"), F.round(100 * pay / gross, 6).alias("pct")
+    """Gross fares and driver pay of each licensee and month, kept as sums."""
+    months = from_cube(t, "rides", PAY).select(col("name").alias("month"), "licensee", "gross", "pay")
+    return months.select(
+        "month", "licensee", F.round("gross", 4).alias("gross"), F.round("pay", 4).alias("driver_pay"), F.round(100 * col("pay") / col("gross"), 6).alias("pct")
     ).orderBy("month", "licensee")
 
 
@@ -339,20 +417,13 @@ def fhv_driver_pay_share(t: Tables):
        FROM m ORDER BY abs(100 * (b - a) / a) DESC LIMIT 10""",
 )
 def fhv_duration_shift(t: Tables, midpoint: str = "1998-06-01"):
-    """Borough pairs whose median weekday rush-hour duration moved most between the halves."""
-    def region(df, key, name):
-        return df.join(t.nation, col(key) == col("n_nationkey")).withColumnRenamed("n_regionkey", name).drop("n_nationkey", "n_name")
-
-    rush = t.lineitem.filter(F.dayofweek("l_shipdate").between(2, 6) & col("l_linenumber").isin(1, 2, 3))
-    buyers = region(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", "pickup_borough")
-    sellers = region(t.supplier.select("s_suppkey", "s_nationkey"), "s_nationkey", "dropoff_borough")
-    joined = (
-        rush.join(t.orders, col("l_orderkey") == col("o_orderkey")).join(buyers, col("o_custkey") == col("c_custkey"))
-        .join(sellers, col("l_suppkey") == col("s_suppkey"))
-    )
-    pair = ["pickup_borough", "dropoff_borough"]
-    half = (col("l_shipdate") < ntz(midpoint)).alias("first_half")
-    medians = exact_percentiles(joined.select(*pair, half, "l_extendedprice"), [*pair, "first_half"], "l_extendedprice", {"p50": 0.5})
+    """Borough pairs whose median weekday rush-hour duration moved most between the halves; ``midpoint`` begins a month."""
+    if not midpoint.endswith("-01"):
+        raise ValueError("the cube is kept by month: the midpoint must be the first day of one")
+    pair = list(RUSH.cell)
+    trips_of = from_cube(t, "rides", RUSH).filter(col("pickup_borough").isNotNull() & col("dropoff_borough").isNotNull())
+    halves = trips_of.withColumn("first_half", col("name") < midpoint[:7])
+    medians = exact_percentiles(halves, [*pair, "first_half"], "value", {"p50": 0.5}, "n")
     first = medians.filter("first_half").select(*pair, col("p50").alias("a"), col("n").alias("n_first"))
     second = medians.filter("NOT first_half").select(*pair, col("p50").alias("b"), col("n").alias("n_second"))
     change = 100 * (col("b") - col("a")) / col("a")

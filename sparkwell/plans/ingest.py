@@ -6,7 +6,7 @@ from sparkwell.plans.common import F, Tables, big, col, day, lit, query, rows, w
 from sparkwell.session import shared_path
 from sparkwell.sources import archives, readers
 from sparkwell.sources.ledger import FileLedger, missing_hours
-from sparkwell.sources.sinks import append_missing_partitions, spread_by
+from sparkwell.sources.sinks import append_missing_partitions, replace_partitions, spread_by
 
 
 @query(
@@ -221,23 +221,27 @@ def split_to_daily_partitions(t: Tables):
     return written.groupBy("d").agg(rows().alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+DAY_FILES = "event_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
+
+
 @query(
     "incremental_file_ingest",
     "SELECT CAST(ts AS DATE) AS day, hour(ts) AS hour, round(SUM(value), 2) AS revenue FROM events GROUP BY 1, 2",
 )
 def incremental_file_ingest(t: Tables):
-    """Day files arrive in two rounds; one run dies before its commit and one finds nothing new."""
+    """Day files land in two rounds; one run dies before its commit, and one finds nothing new and opens nothing."""
+    landing = shared_path(t.spark, "landing")
     ledger = FileLedger(t.spark, shared_path(t.spark, "ingest"))
-    files = t.events.select(F.concat(lit("trips_"), day("ts").cast("string")).alias("name"), "event_id", "ts", "value")
-    listing = files.select("name").distinct().withColumn("etag", lit("v1"))
-    first = listing.filter(F.right("name", lit(2)) <= "15")
-    ledger.ingest(first, files)
-    ledger.ingest(listing, files, crash_before_commit=True)
-    ledger.ingest(listing, files)
-    if ledger.ingest(listing, files):
+    days = t.events.select(F.concat(lit("trips_"), day("ts").cast("string")).alias("name"), "event_id", "ts", "value")
+    early = F.day("ts") <= 15
+    spread_by(days.filter(early), "name").write.partitionBy("name").parquet(landing)
+    ledger.ingest_folder(landing, DAY_FILES)
+    spread_by(days.filter(~early), "name").write.mode("append").partitionBy("name").parquet(landing)
+    ledger.ingest_folder(landing, DAY_FILES, crash_before_commit=True)
+    ledger.ingest_folder(landing, DAY_FILES)
+    if ledger.ingest_folder(landing, DAY_FILES):
         raise AssertionError("a run without new files must change nothing")
-    loaded = ledger.read(files.schema)
-    return loaded.groupBy(day("ts").alias("day"), big(F.hour("ts")).alias("hour")).agg(
+    return ledger.read(f"{DAY_FILES}, name STRING").groupBy(day("ts").alias("day"), big(F.hour("ts")).alias("hour")).agg(
         F.round(F.sum("value"), 2).alias("revenue")
     )
 
@@ -248,16 +252,16 @@ def incremental_file_ingest(t: Tables):
               round(SUM(CASE WHEN day(ts) % 3 = 0 THEN value * 2 ELSE value END), 2) AS total FROM events GROUP BY 1""",
 )
 def etag_incremental_ingest(t: Tables):
-    """Republished files have a new etag and replace their old rows."""
+    """Republished files have a new etag and replace their old rows; the others are not opened again."""
+    landing = shared_path(t.spark, "landing")
     ledger = FileLedger(t.spark, shared_path(t.spark, "etag"))
-    name = F.concat(lit("trips_"), day("ts").cast("string")).alias("name")
-    old = t.events.select(name, "event_id", "ts", "value")
-    fixed = F.day("ts") % 3 == 0
-    new = old.withColumn("value", when(fixed, col("value") * 2).otherwise(col("value")))
-    names = t.events.select(name, fixed.alias("fixed")).distinct()
-    ledger.ingest(names.select("name", lit("e1").alias("etag")), old)
-    ledger.ingest(names.select("name", when(col("fixed"), "e2").otherwise("e1").alias("etag")), new)
-    return ledger.read(old.schema).groupBy("name").agg(rows().alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    days = t.events.select(F.concat(lit("trips_"), day("ts").cast("string")).alias("name"), "event_id", "ts", "value")
+    spread_by(days, "name").write.partitionBy("name").parquet(landing)
+    ledger.ingest_folder(landing, DAY_FILES)
+    fixed = days.filter(F.day("ts") % 3 == 0).withColumn("value", col("value") * 2)
+    replace_partitions(fixed, landing, "name")
+    ledger.ingest_folder(landing, DAY_FILES)
+    return ledger.read(f"{DAY_FILES}, name STRING").groupBy("name").agg(rows().alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query(

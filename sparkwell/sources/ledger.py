@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,22 @@ from sparkwell.sources.versioned import VersionedTable
 LEDGER = "name STRING, etag STRING"
 
 
+def landed(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, name, size, modified): the files below a folder; ``name`` is the value of the ``name=`` folder they are in.
+
+    Only the listing is read, no content. Files of one name are one delivery.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.url_decode(F.regexp_extract("path", r"/name=([^/]*)/", 1))  # as writers escape folder names
+    return files.select("path", name.alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def deliveries(files: DataFrame) -> DataFrame:
+    """(name, etag) of listed files: the etag changes when a file of that name comes, goes or changes."""
+    facts = F.concat_ws(":", "path", "size", F.unix_micros("modified"))
+    return files.groupBy("name").agg(F.sha1(F.array_join(F.sort_array(F.collect_list(facts)), "\n")).alias("etag"))
+
+
 class FileLedger:
     """Loads listed files once per (name, etag) into a table partitioned by file name.
 
@@ -36,7 +54,35 @@ class FileLedger:
         if pending.isEmpty():
             return False
         pending = cut_lineage(pending, "pending")
-        fresh = rows.join(pending.select("name"), "name", "left_semi")
+        self._load(pending, rows.join(pending.select("name"), "name", "left_semi"), crash_before_commit)
+        return True
+
+    def ingest_folder(
+        self, folder: str, schema: str, build: Callable[[DataFrame], DataFrame] = lambda rows: rows, drop_missing: bool = False, crash_before_commit: bool = False
+    ) -> list[str]:
+        """Load what is pending of a landing folder of Parquet files below ``name=`` folders; returns the pending names.
+
+        The folder's listing is held against the ledger and only files of pending names are opened, so a run costs
+        what has come since the last one. ``build`` makes the stored rows from those of the files; it keeps ``name``.
+        With ``drop_missing`` names that are no longer in the folder lose their rows.
+        """
+        files = cut_lineage(landed(self.spark, folder), "listing")
+        listing = deliveries(files)
+        gone = self.ledger.read().join(listing, "name", "left_anti") if drop_missing else None
+        pending = cut_lineage(self.pending(listing), "pending")
+        # paths of new files only; the reader needs them on the driver, as it does those of any folder
+        paths = [r["path"] for r in files.join(pending, "name", "left_semi").select("path").toLocalIterator()]
+        if gone is not None and not gone.isEmpty():
+            gone = cut_lineage(gone, "gone")
+            self.ledger.replace(self.ledger.read().join(gone, "name", "left_anti"))
+            drop_partitions(gone, self.data_path, "name")
+        if not paths:
+            return []
+        rows = self.spark.read.schema(f"{schema}, name STRING").option("basePath", folder).parquet(*paths)
+        self._load(pending, build(rows), crash_before_commit)
+        return sorted(r["name"] for r in pending.collect())
+
+    def _load(self, pending: DataFrame, fresh: DataFrame, crash_before_commit: bool) -> None:
         replace_partitions(fresh, self.data_path, "name")
         # a file that comes again without rows leaves none
         drop_partitions(pending.join(fresh.select("name").distinct(), "name", "left_anti"), self.data_path, "name")
@@ -44,7 +90,6 @@ class FileLedger:
             old = self.ledger.read()
             kept = old.join(pending.select("name"), "name", "left_anti")
             self.ledger.replace(kept.unionByName(pending))
-        return True
 
     def read(self, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.data_path)
