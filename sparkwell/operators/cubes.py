@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -43,7 +44,8 @@ class CubeStore:
         self.spark, self.landing, self.schema, self.path = spark, landing, schema, path
 
     def _ledger(self, cube: Cube) -> FileLedger:
-        return FileLedger(self.spark, f"{self.path}/{cube.name}")
+        # a cube that is defined anew starts anew
+        return FileLedger(self.spark, f"{self.path}/{cube.name}-{hashlib.sha1(repr(cube).encode()).hexdigest()[:8]}")
 
     def refresh(self, cube: Cube) -> list[str]:
         """Rebuild the months whose files came or changed, drop those whose files are gone; returns the rebuilt months."""

@@ -214,23 +214,21 @@ def label_propagation(nodes: DataFrame, edges: DataFrame, rounds: int = 5) -> Da
     return labels
 
 
-def copurchase_edges(lines: DataFrame, order: str, item: str, bulk: int = 100) -> DataFrame:
-    """(kind, a, b, weight): how many orders hold both items.
+def copurchase_edges(lines: DataFrame, order: str, item: str, block: int = 100) -> DataFrame:
+    """(a, b, weight), a < b: how many orders hold both items, whatever the size of an order.
 
-    Orders of up to ``bulk`` distinct items give item pairs a < b. A larger order
-    would give a quadratic clique; it is kept whole as a star instead: one "bulk"
-    edge from each of its items (a) to the order (b).
+    The incidence table (order, item) is cut into blocks of about ``block`` items of one order, and blocks of an
+    order meet in pairs, so a task gets two blocks at a time and never a whole large order. Each order that holds a pair adds
+    one to it before the exchange on the pair.
     """
-    member = lines.select(F.col(order).alias("o"), F.col(item).alias("i")).distinct()
-    size = member.groupBy("o").agg(F.count(F.lit(1)).alias("n"))
-    sized = member.join(size, "o")
-    small = sized.filter(F.col("n") <= bulk)
-    left, right = small.select("o", F.col("i").alias("a")), small.select("o", F.col("i").alias("b"))
-    pairs = left.join(right, "o").filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
-    stars = sized.filter(F.col("n") > bulk).select(
-        F.lit("bulk").alias("kind"), F.col("i").alias("a"), F.col("o").alias("b"), F.lit(1).cast("bigint").alias("weight")
-    )
-    return pairs.select(F.lit("pair").alias("kind"), "a", "b", "weight").unionByName(stars)
+    member = cut_lineage(lines.select(F.col(order).alias("o"), F.col(item).alias("i")).filter("o IS NOT NULL AND i IS NOT NULL").distinct(), "incidence")
+    large = member.groupBy("o").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).filter("blocks > 1")
+    sized = member.join(large, "o", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    # small orders are one block; the two exchanges on the order are one
+    sized = cut_lineage(sized.withColumn("k", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int")), "blocks")
+    before = sized.select("o", F.col("i").alias("a"), F.col("k").alias("ka"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("kb"))
+    after = sized.select("o", F.col("i").alias("b"), F.col("k").alias("kb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("ka"))
+    return before.join(after, ["o", "ka", "kb"]).filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def bought_together(lines: DataFrame, order: str, item: str, seeds: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkwell.operators.ordered import running
-from sparkwell.session import plan_bytes
+from sparkwell.session import cut_lineage, plan_bytes
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -35,36 +35,47 @@ def tier_join(df: DataFrame, value: str, tiers: Sequence[tuple[str, float, float
 
 
 def band_counts(df: DataFrame, value: str, width: float, name: str = "in_band") -> DataFrame:
-    """Per row, how many other rows have a value within ``width`` (inclusive).
+    """Per row, how many other rows have a value within ``width`` (inclusive); values and bounds are rounded to 6 places.
 
-    Rows are combined to distinct values, values meet in neighbouring buckets of
-    the band width, and the counts are joined back: no row pairs are built.
+    The count between two bounds is a difference of running counts. Distinct values with their number of
+    rows and the bounds of each value are merged into one sorted scan: a lower bound takes the count of what stands before it, an
+    upper bound that of what stands up to it. No values are paired, whatever their density. Null values have no count.
     """
-    values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    bucket = F.floor(F.col(value) / width)
-    left = values.select(F.col(value).alias("_a"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_b"))
-    right = values.select(F.col(value).alias("_v"), bucket.alias("_b"), "_n")
-    near = left.join(right, "_b").filter(F.abs(F.round(F.col("_a") - F.col("_v"), 6)) <= width)
-    counts = near.groupBy("_a").agg((F.sum("_n") - 1).alias(name))
-    return df.join(counts, F.col(value) == F.col("_a")).drop("_a")
+    at = F.round(F.col(value).cast("double"), 6)
+    values = cut_lineage(df.filter(F.col(value).isNotNull()).groupBy(at.alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "band-values")
+    place = lambda v, kind, own, n: values.select(v.alias("_at"), F.lit(kind).alias("_kind"), own.alias("_own"), n.alias("_n"))
+    nobody, none = F.lit(None).cast("double"), F.lit(0).cast("bigint")
+    # at one place: lower bounds, then the value itself, then upper bounds
+    merged = place(F.round(F.col("_v") - width, 6), 0, F.col("_v"), none)
+    merged = merged.unionByName(place(F.col("_v"), 1, nobody, F.col("_n"))).unionByName(place(F.round(F.col("_v") + width, 6), 2, F.col("_v"), none))
+    scanned = running(merged.withColumn("_all", F.lit(0)), ["_all"], [("_at", "asc"), ("_kind", "asc"), ("_own", "asc")], {"_upto": ("sum", F.col("_n"))})
+    bounds = scanned.filter("_kind <> 1").groupBy("_own").agg(F.sum(F.when(F.col("_kind") == 2, F.col("_upto")).otherwise(-F.col("_upto"))).alias("_within"))
+    counted = df.join(bounds, at == F.col("_own"), "left")
+    return counted.withColumn(name, F.col("_within") - 1).drop("_own", "_within")
 
 
-def salted_join(
-    big: DataFrame, small: DataFrame, key: str, share: float = 0.001, salts: int = 10, how: str = "inner"
-) -> DataFrame:
-    """Equi-join that spreads each key holding more than ``share`` of all rows over ``salts`` tasks.
+#: Tasks a key may be spread over; one that held every row would be read by so many.
+MOST_SALTS = 4096
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, share: float = 0.001, how: str = "inner") -> DataFrame:
+    """Equi-join that spreads each key of more than ``share`` of all rows over tasks in proportion to its counted weight.
 
-    At most ``1 / share`` keys can pass the test, which bounds the broadcast.
+    A key of weight w gets ceil(w / share) salts, so no task reads more than about ``share`` of all rows of one key.
+    At most ``1 / share`` keys can pass, which bounds the broadcast, and their salts together are at most 2 / share, which
+    bounds the copies of the small side. ``how`` is inner or left. Null keys match nothing and are never salted.
     """
-    total = big.agg(F.count(F.lit(1))).scalar()
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > total * share).select(F.col(key).alias("_hot"))
+    if how not in ("inner", "left"):
+        raise ValueError("rows of the small side are copied: only inner and left joins count them once")
+    counts = cut_lineage(big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "salt-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    salts = F.least(F.ceil(F.col("_n") / F.lit(max(1.0, total * share))), F.lit(MOST_SALTS)).cast("int")
+    hot = counts.filter((F.col("_n") > total * share) & F.col(key).isNotNull()).select(F.col(key).alias("_hot"), salts.alias("_salts"))
     mark = F.broadcast(hot)
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(F.lit(0))
-    left = big.join(mark, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))
-    right = small.join(mark, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salt = F.coalesce(F.pmod(F.xxhash64(*big.columns), F.col("_salts")).cast("int"), F.lit(0))
+    left = big.join(mark, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = small.join(mark, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(copies)).drop("_hot", "_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

@@ -4,6 +4,7 @@
 """
 
 import functools
+import hashlib
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
@@ -318,7 +319,8 @@ def cube_store(t: Tables, what: str) -> CubeStore:
     }[what]
     files = [landed(t.spark, t.path(x)).withColumn("name", lit("all")) for x in tables]
     state = deliveries(functools.reduce(lambda x, y: x.unionByName(y), files)).first()["etag"]
-    root = f"{shared_root(t.spark).rstrip('/')}/sparkwell/{what}-{state}"
+    layout = hashlib.sha1(schema.encode()).hexdigest()[:8]
+    root = f"{shared_root(t.spark).rstrip('/')}/sparkwell/{what}-{layout}-{state}"
     published = VersionedTable(t.spark, f"{root}/published")
     if not published.exists():
         replace_partitions(rows_of(t), f"{root}/landing", "name")

@@ -38,10 +38,8 @@ def busiest(t: Tables, places: int, skip: int = 0):
 
 @query(
     "graph_build_copurchase",
-    """WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), s AS (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM m)
-       SELECT 'pair' AS kind, a.l_partkey AS a, b.l_partkey AS b, COUNT(*) AS weight FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey
-         AND a.l_partkey < b.l_partkey WHERE a.n <= 100 GROUP BY 2, 3
-       UNION ALL SELECT 'bulk', l_partkey, l_orderkey, 1 FROM s WHERE n > 100""",
+    """WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+       SELECT a.l_partkey AS a, b.l_partkey AS b, COUNT(*) AS weight FROM m a JOIN m b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY 1, 2""",
 )
 def graph_build_copurchase(t: Tables):
     return graph.copurchase_edges(t.lineitem, "l_orderkey", "l_partkey")

@@ -344,7 +344,7 @@ def join_bloom_prefilter(t: Tables):
 )
 def join_salted(t: Tables):
     lines = t.lineitem.select(col("l_partkey").alias("p_partkey"), "l_extendedprice", "l_orderkey", "l_linenumber")
-    joined = salted_join(lines, t.part.select("p_partkey", "p_brand"), "p_partkey", share=0.0006)
+    joined = salted_join(lines, t.part.select("p_partkey", "p_brand"), "p_partkey")
     return joined.groupBy("p_brand").agg(rows().alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
 
 

@@ -264,17 +264,25 @@ def test_warm_path_is_cheaper(spark):
     assert graph.shortest_path(edges, node(1), node(5)).collect()[0].path == [1, 6, 5]
 
 
-def test_large_orders_become_stars(spark):
-    lines = spark.createDataFrame([(1, i) for i in range(6)] + [(2, 0), (2, 1), (3, 0), (3, 1)], "o BIGINT, i BIGINT")
-    edges = graph.copurchase_edges(lines, "o", "i", bulk=5)
-    assert tuples(edges.filter("kind = 'pair'")) == [("pair", 0, 1, 2)]
-    assert edges.filter("kind = 'bulk'").count() == 6
-    seeds = spark.createDataFrame([(0,)], "seed BIGINT")
-    near = {r.item: r.weight for r in graph.bought_together(lines, "o", "i", seeds).collect()}
-    assert near == {1: 3, 2: 1, 3: 1, 4: 1, 5: 1}
+def test_pair_weights_of_large_orders(spark):
+    """A 101-item order counts, and an order of many blocks gives each pair once."""
+    rows = [(1, i) for i in range(101)] + [(1, 5), (2, 5), (2, 7), (2, 300), (3, 7), (None, 1), (4, None)]
+    lines = spark.createDataFrame(rows, "o bigint, i bigint")
+    baskets = {}
+    for o, i in rows:
+        if o is not None and i is not None:
+            baskets.setdefault(o, set()).add(i)
+    wanted = {}
+    for items in baskets.values():
+        for a in items:
+            for b in items:
+                if a < b:
+                    wanted[a, b] = wanted.get((a, b), 0) + 1
+    for block in (100, 7):
+        got = {(r["a"], r["b"]): r["weight"] for r in graph.copurchase_edges(lines, "o", "i", block).collect()}
+        assert got == wanted and got[5, 7] == 2
 
 
-@pytest.mark.parametrize("seed", [1, 2])
 def test_overlapping_pairs_against_brute_force(spark, seed):
     rng = random.Random(seed)
     member = {(m, g) for m in range(25) for g in range(30) if rng.random() < (0.9 if g < 2 else 0.15)}
