@@ -8,8 +8,11 @@ Loop state is written to the shared folder every round.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwell.operators.joins import checked_broadcast
 from sparkwell.session import cut_lineage
@@ -83,38 +86,105 @@ def paths_between(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_
     return found.select("nodes", "ids", "costs", F.size("ids").cast("bigint").alias("hops"))
 
 
+class _Side:
+    """One end of a two-sided search: the nodes reached so far with their distance, a written table for each distance."""
+
+    def __init__(self, start: DataFrame):
+        self.layers = [cut_lineage(start.select("node"))]
+
+    def grow(self, links: DataFrame) -> DataFrame:
+        """The next layer: neighbours of the last one that are in none; of earlier ones only the last two can be neighbours."""
+        near = links.join(self.layers[-1], F.col("src") == F.col("node"), "left_semi").select(F.col("dst").alias("node")).distinct()
+        for layer in self.layers[-2:]:
+            near = near.join(layer, "node", "left_anti")
+        self.layers.append(cut_lineage(near))
+        return self.layers[-1]
+
+
 def shortest_path(edges: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
-    """(path, hops) with the fewest hops, undirected; among equals the smallest previous node wins."""
+    """(path, hops) with the fewest hops, undirected; among equals the smallest previous node wins, from the target backwards.
+
+    Both ends search at once, the one with the smaller frontier first, so two balls of half the radius are read instead of one of the
+    whole. Where they meet, the nodes on shortest paths are marked towards the target, and the path is walked back, a row a step.
+    """
     links = cut_lineage(both_ways(edges))
-    frontier = cut_lineage(source.select("node", F.array("node").alias("path")))
-    seen = frontier.select("node")
-    goal = cut_lineage(target.select("node"))
-    while not frontier.isEmpty():
-        hit = frontier.join(goal, "node", "left_semi")
-        if not hit.isEmpty():
-            return hit.select("path", (F.size("path") - 1).cast("bigint").alias("hops"))
-        grown = frontier.join(links, F.col("node") == F.col("src")).select(F.col("dst").alias("node"), "path")
-        fresh = grown.join(seen, "node", "left_anti")
-        best = fresh.groupBy("node").agg(F.min_by("path", F.element_at("path", -1)).alias("path"))
-        frontier = cut_lineage(best.select("node", F.array_append("path", F.col("node")).alias("path")))
-        seen = seen.unionByName(frontier.select("node"))
-    return frontier.select("path", F.lit(0).cast("bigint").alias("hops"))
-
-
-def weighted_distances(edges: DataFrame, source: DataFrame) -> DataFrame:
-    """(node, dist): least total weight from the source; only improved nodes push on."""
+    ends = [_Side(source), _Side(target)]
+    first = [side.layers[0].head() for side in ends]
+    path_of = lambda nodes: edges.sparkSession.createDataFrame([(nodes, len(nodes) - 1)], T.StructType([T.StructField("path", T.ArrayType(links.schema["src"].dataType)), T.StructField("hops", T.LongType())]))
+    if None in first:
+        return path_of([]).limit(0)
+    if first[0] == first[1]:
+        return path_of([first[0]["node"]])
+    sizes = [1, 1]
+    while True:
+        side = 0 if sizes[0] <= sizes[1] else 1
+        fresh = ends[side].grow(links)
+        sizes[side] = fresh.count()
+        if not sizes[side]:
+            return path_of([]).limit(0)
+        met = fresh.join(ends[1 - side].layers[-1], "node", "left_semi")
+        if not met.isEmpty():
+            break
+    near, far = ends[0].layers, ends[1].layers
+    # of the target's layers, what lies on shortest paths: neighbours of the meeting nodes, and so on
+    marked = {len(far) - 1: cut_lineage(met)}
+    for depth in range(len(far) - 2, 0, -1):
+        beyond = links.join(marked[depth + 1], F.col("src") == F.col("node"), "left_semi").select(F.col("dst").alias("node")).distinct()
+        marked[depth] = cut_lineage(beyond.join(far[depth], "node", "left_semi"))
+    steps = [marked[depth] for depth in range(1, len(far))] + near[-2::-1]
+    path = [first[1]["node"]]
+    for layer in steps:
+        beside = links.filter(F.col("src") == path[-1]).select(F.col("dst").alias("node"))
+        path.append(beside.join(layer, "node", "left_semi").agg(F.min("node")).head()[0])
+    return path_of(path[::-1])
+
+
+MAX_PARTS = 16
+
+
+def weighted_distances(edges: DataFrame, source: DataFrame, width: float | None = None) -> DataFrame:
+    """(node, dist): least total weight from the source, for weights of at least 0, by delta-stepping.
+
+    Distances are settled in bands of ``width`` (the greatest weight, if not given). Within a band edges lighter than the width are followed until no
+    node of the band improves; heavier ones lead beyond it and are followed once. A round writes the nodes that it
+    improved and no others; the distance of a node is the least that was written.
+    """
     links = cut_lineage(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
-    dist = cut_lineage(source.select("node", F.lit(0).cast("bigint").alias("dist")))
-    changed = dist
-    while not changed.isEmpty():
-        offers = changed.join(links, F.col("node") == F.col("src")).select(
-            F.col("dst").alias("node"), (F.col("dist") + F.col("weight")).alias("dist")
-        )
-        best = offers.groupBy("node").agg(F.min("dist").alias("offer"))
-        merged = cut_lineage(dist.join(best, "node", "full"))
-        changed = merged.filter("offer < coalesce(dist, offer + 1)").select("node", F.col("offer").alias("dist"))
-        dist = merged.select("node", F.least("dist", "offer").alias("dist"))
-    return dist
+    most = links.agg(F.max("weight")).head()[0] or 1
+    width = width or most
+    light, heavy = links.filter(F.col("weight") <= width), links.filter(F.col("weight") > width)
+    kind = links.schema["weight"].dataType
+    written = [cut_lineage(source.select("node", F.lit(0).cast(kind).alias("dist")))]
+
+    def known() -> DataFrame:
+        return reduce(DataFrame.unionByName, written).groupBy("node").agg(F.min("dist").alias("dist"))
+
+    def push(nodes: DataFrame, along: DataFrame) -> DataFrame | None:
+        """Write the nodes that are better reached from ``nodes``."""
+        offers = along.join(nodes, F.col("src") == F.col("node")).groupBy("dst").agg(F.min(F.col("dist") + F.col("weight")).cast(kind).alias("offer"))
+        better = offers.join(known(), F.col("dst") == F.col("node"), "left").filter("dist IS NULL OR offer < dist")
+        better = cut_lineage(better.select(F.col("dst").alias("node"), F.col("offer").alias("dist")))
+        if better.isEmpty():
+            return None
+        written.append(better)
+        if len(written) > MAX_PARTS:
+            written[:] = [cut_lineage(known())]
+        return better
+
+    low = 0
+    while low is not None:
+        high = (low // width + 1) * width
+        in_band = (F.col("dist") >= low) & (F.col("dist") < high)
+        front = known().filter(in_band)
+        while front is not None:
+            better = push(front, light)
+            front = None if better is None else better.filter(in_band)
+            if front is not None and front.isEmpty():
+                break
+        if width < most:
+            push(known().filter(in_band), heavy)
+        low = known().filter(F.col("dist") >= high).agg(F.min("dist")).head()[0]
+    return known()
 
 
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
-"""Sketches kept as small tables or bounded arrays, all combined map-side."""
+"""Sketches kept as small tables, columns of daily state or bounded arrays, all combined map-side."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwell.sources.sinks import replace_partitions
+
 
 def bloom_positions(key: Column, bits: int, hashes: int) -> Column:
     return F.array(*[F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits)) for seed in range(hashes)])
@@ -81,3 +83,42 @@ def count_min_estimates(items: DataFrame, item: str, cells: DataFrame, width: in
     )
     probe = items.select(item, probes.alias("p")).select(item, "p.row", "p.cell")
     return probe.join(cells, ["row", "cell"]).groupBy(item).agg(F.min("cnt").alias("estimate"))
+
+
+#: Registers of the distinct counts as a power of two (standard error 0.08 percent, 2 MB at most; near exact
+#: while few values are seen), and the size of the quantile sketches (rank error below 0.01 percent; exact up to that many values).
+REGISTERS, QUANTILES = 21, 65_535
+
+
+class DailySketches:
+    """Mergeable state for each day and key: distinct values of one column, and the distribution of another.
+
+    ``load`` writes the partitions of the days it is given and leaves the others; a corrected day is loaded again alone.
+    Any span of days is answered by merging their states, without the rows they came from.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: str):
+        self.spark, self.path = spark, path
+        self.schema = f"{keys}, rows BIGINT, seen BINARY, spread BINARY, day DATE"
+        self.keys = [k.split()[0] for k in keys.split(",")]
+
+    def load(self, rows: DataFrame, day: Column, distinct: str, value: str) -> None:
+        state = rows.groupBy(day.alias("day"), *self.keys).agg(
+            F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(distinct, F.lit(REGISTERS)).alias("seen"),
+            F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(QUANTILES)).alias("spread"),
+        )
+        replace_partitions(state, self.path, "day")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def distinct(self, *keys: str) -> DataFrame:
+        """(keys..., distinct_values, days) over all days that are read."""
+        merged = self.read().groupBy(*keys).agg(F.hll_union_agg("seen").alias("seen"), F.countDistinct("day").alias("days"))
+        return merged.select(*keys, F.hll_sketch_estimate("seen").alias("distinct_values"), "days")
+
+    def quantiles(self, keys: list[str], points: dict[str, float]) -> DataFrame:
+        """(keys..., a column for each point): the least value whose rank reaches the point; keys without a value have nulls."""
+        merged = self.read().groupBy(*keys).agg(F.kll_merge_agg_double("spread").alias("spread"))
+        filled = F.kll_sketch_get_n_double("spread") > 0
+        return merged.select(*keys, *[F.when(filled, F.kll_sketch_get_quantile_double("spread", F.lit(p))).alias(n) for n, p in points.items()])

@@ -468,18 +468,20 @@ def half_hour():
     return F.window("ts", "30 minutes")["start"].cast("timestamp_ntz")
 
 
-def readings(t: Tables):
-    """Deliveries with repeats: every fourth id is pushed twice."""
-    sent = t.events.select(
+def readings(t: Tables, span=None):
+    """Deliveries with repeats: every fourth id is pushed twice. A span of whole half hours (start, end) is that of the
+    delivered rows too, so it is read from ``ts`` at the scan."""
+    events = t.events if span is None else t.events.filter((col("ts") >= span[0]) & (col("ts") < span[1]))
+    sent = events.select(
         col("event_id").alias("delivery_id"), col("user_id").alias("meter_id"), half_hour().alias("reading_time"),
         col("value").alias("kwh"), col("ts").alias("received_at"),
     )
     return sent.unionByName(sent.filter("delivery_id % 4 = 0"))
 
 
-def meter_view(t: Tables):
+def meter_view(t: Tables, span=None):
     """One corrected value per meter and half hour: repeats dropped, the latest received wins."""
-    once = readings(t).dropDuplicates(["delivery_id"])
+    once = readings(t, span).dropDuplicates(["delivery_id"])
     return latest_per_key(once, ["meter_id", "reading_time"], ["received_at", "delivery_id"]).select("meter_id", "reading_time", "kwh")
 
 
@@ -500,7 +502,7 @@ def meter_halfhour_total(t: Tables, today: str = "2024-01-29"):
     """The whole book per half hour of yesterday evening."""
     start = ntz(today) - F.expr("INTERVAL 7 HOURS")
     end = ntz(today) - F.expr("INTERVAL 2 HOURS")
-    evening = meter_view(t).filter((col("reading_time") >= start) & (col("reading_time") < end))
+    evening = meter_view(t, (start, end))
     return evening.groupBy("reading_time").agg(F.round(F.sum("kwh"), 2).alias("total"))
 
 
@@ -510,8 +512,7 @@ def meter_halfhour_total(t: Tables, today: str = "2024-01-29"):
          WHERE CAST(reading_time AS DATE) = DATE '2024-01-13' GROUP BY ALL ORDER BY kwh DESC, meter_id LIMIT 10""",
 )
 def meter_top_households(t: Tables, on: str = "2024-01-13"):
-    span = (col("reading_time") >= ntz(on)) & (col("reading_time") < ntz(on) + F.expr("INTERVAL 1 DAY"))
-    totals = meter_view(t).filter(span).groupBy("meter_id").agg(F.round(F.sum("kwh"), 2).alias("kwh"))
+    totals = meter_view(t, (ntz(on), ntz(on) + F.expr("INTERVAL 1 DAY"))).groupBy("meter_id").agg(F.round(F.sum("kwh"), 2).alias("kwh"))
     area = t.customer.select(col("c_custkey").alias("meter_id"), F.concat(lit("N"), col("c_nationkey").cast("string")).alias("area"))
     return totals.join(area, "meter_id").orderBy(col("kwh").desc(), "meter_id").limit(10)
 
@@ -532,8 +533,7 @@ HOME_SQL = "h AS (SELECT c_custkey AS meter_id, c_mktsegment AS segment, CASE WH
 )
 def meter_segment_daily_avg(t: Tables, now: str = "2024-01-31"):
     """Sum per household and day first, then the mean by segment and tariff."""
-    span = (col("reading_time") >= ntz(now) - F.expr("INTERVAL 30 DAYS")) & (col("reading_time") < ntz(now))
-    daily = meter_view(t).filter(span).groupBy("meter_id", day("reading_time").alias("d")).agg(F.sum("kwh").alias("kwh"))
+    daily = meter_view(t, (ntz(now) - F.expr("INTERVAL 30 DAYS"), ntz(now))).groupBy("meter_id", day("reading_time").alias("d")).agg(F.sum("kwh").alias("kwh"))
     return daily.join(households(t), "meter_id").groupBy("segment", "tariff").agg(
         F.round(F.avg("kwh"), 6).alias("daily_kwh"), rows().alias("household_days")
     )

@@ -13,7 +13,6 @@ from sparkwell.plans.common import F, Tables, col, lit, query, rows
 EDGES_SQL = """edges AS MATERIALIZED (SELECT a.o_orderkey AS id, a.o_custkey AS src, b.o_custkey AS dst, a.o_orderstatus AS type, a.o_totalprice AS amount,
     a.o_orderpriority = '1-URGENT' AS critical FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_custkey <> b.o_custkey)"""
 SEEDS_SQL = """seeds AS (SELECT o_custkey AS node, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, o_custkey) AS rn FROM orders GROUP BY 1)"""
-SPARSE = "critical AND amount > 350000"
 
 
 def transfers(t: Tables):
@@ -45,29 +44,17 @@ def graph_build_copurchase(t: Tables):
     return graph.copurchase_edges(t.lineitem, "l_orderkey", "l_partkey")
 
 
-BEST_SQL = """best AS (SELECT seed FROM (SELECT p_partkey AS seed, ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY COUNT(*) DESC, p_partkey) AS rn
-    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_partkey, p_brand) WHERE rn = 1),
-  m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)"""
-
-
-def best_sellers(t: Tables):
-    """The best seller of every brand: one row per brand."""
-    sold = t.lineitem.groupBy("l_partkey").agg(rows().alias("n"))
-    named = sold.join(t.part.select("p_partkey", "p_brand"), col("l_partkey") == col("p_partkey"))
-    best = named.groupBy("p_brand").agg(F.max_by("p_partkey", F.struct("n", -col("p_partkey"))).alias("seed"))
-    return best.select("seed")
-
-
 @query(
     "recommend_products",
-    f"""WITH {BEST_SQL}, w AS (SELECT seed, b.l_partkey AS item, COUNT(*) AS weight FROM best JOIN m a ON a.l_partkey = seed
-          JOIN m b ON a.l_orderkey = b.l_orderkey AND b.l_partkey <> seed GROUP BY 1, 2)
-        SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY seed ORDER BY weight DESC, item) AS place FROM w) WHERE place <= 5""",
+    """WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+         w AS (SELECT a.l_partkey AS seed, b.l_partkey AS item, COUNT(*) AS weight FROM m a JOIN m b ON a.l_orderkey = b.l_orderkey AND b.l_partkey <> a.l_partkey GROUP BY 1, 2)
+       SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY seed ORDER BY weight DESC, item) AS place FROM w) WHERE place <= 5""",
 )
 def recommend_products(t: Tables, limit: int = 5):
-    """Top items bought together with the best seller of each brand."""
-    seeds = cut_lineage(best_sellers(t))
-    near = graph.bought_together(t.lineitem, "l_orderkey", "l_partkey", seeds)
+    """Top items bought together with each item, from the pair weights in both directions."""
+    pairs = cut_lineage(graph.copurchase_edges(t.lineitem, "l_orderkey", "l_partkey"), "pairs")
+    near = pairs.select(col("a").alias("seed"), col("b").alias("item"), "weight")
+    near = near.unionByName(pairs.select(col("b").alias("seed"), col("a").alias("item"), "weight"))
     return top_per_group(near, ["seed"], [("weight", "desc"), ("item", "asc")], limit, "place")
 
 
@@ -132,14 +119,14 @@ def gateways(t: Tables):
 
 @query(
     "graph_blast_radius",
-    f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE {SPARSE}),
+    f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE critical),
          one AS (SELECT DISTINCT c_mktsegment AS app, dst AS node FROM e JOIN customer ON src = c_custkey WHERE c_nationkey = 0),
          r AS (SELECT app, dst AS node FROM one JOIN e ON src = node UNION SELECT app, dst FROM r JOIN e ON src = node)
         SELECT node AS dependency, COUNT(*) AS apps_at_risk, string_agg(app, ',' ORDER BY app) AS apps FROM r GROUP BY 1""",
 )
 def graph_blast_radius(t: Tables):
     """Apps whose gateways reach an account over two or more critical edges."""
-    reach = graph.reach_in_two_or_more(transfers(t).filter(SPARSE), gateways(t))
+    reach = graph.reach_in_two_or_more(transfers(t).filter("critical"), gateways(t))
     return reach.groupBy(col("node").alias("dependency")).agg(
         rows().alias("apps_at_risk"), F.array_join(F.array_sort(F.collect_set("start")), ",").alias("apps")
     )
@@ -147,14 +134,14 @@ def graph_blast_radius(t: Tables):
 
 @query(
     "graph_diamond",
-    f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE {SPARSE} AND type IN ('F', 'O')),
+    f"""WITH RECURSIVE {EDGES_SQL}, e AS (SELECT DISTINCT src, dst FROM edges WHERE critical),
          r AS (SELECT DISTINCT c_mktsegment AS app, dst AS node, 1 AS h FROM e JOIN customer ON src = c_custkey WHERE c_mktsegment <> 'FURNITURE'
                UNION SELECT app, dst, h + 1 FROM r JOIN e ON src = node WHERE h < 3), d AS (SELECT DISTINCT app, node FROM r)
         SELECT a.app AS app_a, b.app AS app_b, a.node AS shared_dep FROM d a JOIN d b ON a.node = b.node AND a.app < b.app""",
 )
 def graph_diamond(t: Tables):
     """App pairs with a common dependency within three critical edges; there are five apps."""
-    edges = transfers(t).filter(SPARSE).filter(col("type").isin("F", "O"))
+    edges = transfers(t).filter("critical")
     starts = t.customer.filter("c_mktsegment <> 'FURNITURE'").select(
         col("c_mktsegment").alias("start"), col("c_custkey").alias("node")
     )
@@ -173,25 +160,26 @@ def paths_sql(edges, hops):
 @query(
     "graph_all_paths_cost",
     f"""WITH RECURSIVE {EDGES_SQL}, {SEEDS_SQL}, src_nodes AS (SELECT node FROM seeds WHERE rn = 1),
-          w AS MATERIALIZED (SELECT MIN(id) AS id, src, dst, MIN(id) % 10 + 1 AS cost FROM edges WHERE type = 'F' GROUP BY src, dst), {paths_sql('w', 5)}
-        SELECT array_to_string(nodes, '>') AS route, CAST(hops AS BIGINT) AS hops, round(c, 3) AS coldness FROM p
-        WHERE here IN (SELECT node FROM seeds WHERE rn BETWEEN 2 AND 51)""",
+          w AS MATERIALIZED (SELECT id, src, dst, id % 10 + 1 AS cost FROM edges), {paths_sql('w', 4)}
+        SELECT array_to_string(nodes, '>') AS route, array_to_string(ids, '>') AS ties, CAST(hops AS BIGINT) AS hops, round(c, 3) AS coldness FROM p
+        WHERE here NOT IN (SELECT node FROM src_nodes)""",
 )
-def graph_all_paths_cost(t: Tables):
-    """Paths of up to five ties from the busiest account to the next fifty; a tie costs 1 / familiarity.
+def graph_all_paths_cost(t: Tables, hops: int = 4):
+    """Paths of up to four ties from the busiest account to every other; a tie costs 1 / familiarity, and parallel ties are paths of their own.
 
-    One tie per pair of accounts. The result has one row per path, so its size is the number of paths.
+    The result has one row per path, so its size is the number of paths.
     """
-    ties = transfers(t).filter("type = 'F'").groupBy("src", "dst").agg(F.min("id").alias("id"))
-    ties = ties.withColumn("cost", 1.0 / (col("id") % 10 + 1))
-    found = graph.paths_between(ties, busiest(t, 1), busiest(t, 50, skip=1), 5)
+    ties = transfers(t).select("id", "src", "dst", (1.0 / (col("id") % 10 + 1)).alias("cost"))
+    source = cut_lineage(busiest(t, 1))
+    others = accounts(t).join(source, "node", "left_anti")
+    found = graph.paths_between(ties, source, others, hops)
     cost = F.aggregate("costs", lit(0.0), lambda a, x: a + x)
-    return found.select(F.array_join("nodes", ">").alias("route"), "hops", F.round(cost, 3).alias("coldness"))
+    return found.select(F.array_join("nodes", ">").alias("route"), F.array_join(col("ids").cast("array<string>"), ">").alias("ties"), "hops", F.round(cost, 3).alias("coldness"))
 
 
 @query(
     "graph_shortest_path",
-    f"""WITH RECURSIVE {EDGES_SQL}, {SEEDS_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges WHERE critical UNION SELECT dst, src FROM edges WHERE critical),
+    f"""WITH RECURSIVE {EDGES_SQL}, {SEEDS_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
           r AS (SELECT node, 0 AS h FROM seeds WHERE rn = 1 UNION SELECT e.dst, h + 1 FROM r JOIN e ON e.src = r.node WHERE h < 8),
           d AS MATERIALIZED (SELECT node, MIN(h) AS h FROM r GROUP BY 1),
           b AS (SELECT node, h, CAST(node AS VARCHAR) AS path FROM d WHERE node = (SELECT node FROM seeds WHERE rn = 2)
@@ -200,8 +188,8 @@ def graph_all_paths_cost(t: Tables):
         SELECT path, CAST((SELECT h FROM d WHERE node = (SELECT node FROM seeds WHERE rn = 2)) AS BIGINT) AS hops FROM b WHERE h = 0""",
 )
 def graph_shortest_path(t: Tables):
-    """Fewest hops between the two busiest accounts over critical edges, direction ignored."""
-    found = graph.shortest_path(transfers(t).filter("critical"), busiest(t, 1), busiest(t, 1, skip=1))
+    """Fewest hops between the two busiest accounts, direction ignored."""
+    found = graph.shortest_path(transfers(t), busiest(t, 1), busiest(t, 1, skip=1))
     return found.select(F.array_join("path", ">").alias("path"), "hops")
 
 
@@ -210,20 +198,20 @@ def distance_sql(rounds):
         f""", d{i} AS MATERIALIZED (SELECT node, MIN(dist) AS dist FROM (SELECT * FROM d{i - 1} UNION ALL
              SELECT w.dst, dist + w.weight FROM d{i - 1} JOIN w ON w.src = node) GROUP BY 1)""" for i in range(1, rounds + 1)
     )
-    return f"""WITH {EDGES_SQL}, {SEEDS_SQL}, w AS MATERIALIZED (SELECT src, dst, MIN(id % 10 + 1) AS weight FROM edges WHERE type = 'F' GROUP BY 1, 2),
+    return f"""WITH {EDGES_SQL}, {SEEDS_SQL}, w AS MATERIALIZED (SELECT src, dst, MIN(id % 10 + 1) AS weight FROM edges GROUP BY 1, 2),
       d0 AS (SELECT node, CAST(0 AS BIGINT) AS dist FROM seeds WHERE rn = 1){steps} SELECT * FROM d{rounds}"""
 
 
 @query("graph_weighted_shortest", distance_sql(30))
 def graph_weighted_shortest(t: Tables):
-    """Least total weight from the busiest account over edges of one type."""
-    edges = transfers(t).filter("type = 'F'").select("src", "dst", (col("id") % 10 + 1).alias("weight"))
+    """Least total weight from the busiest account."""
+    edges = transfers(t).select("src", "dst", (col("id") % 10 + 1).alias("weight"))
     return graph.weighted_distances(edges, busiest(t, 1))
 
 
 @query(
     "graph_attack_paths",
-    """WITH h AS (SELECT DISTINCT l_suppkey AS s, o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_extendedprice > 90000)
+    """WITH h AS (SELECT DISTINCT l_suppkey AS s, o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
        SELECT r_name || ' > ' || n_name || ' > ' || c_name AS attack_path, CAST(2 AS BIGINT) AS steps FROM region JOIN nation ON n_regionkey = r_regionkey
          JOIN customer ON c_nationkey = n_nationkey WHERE r_regionkey = 0 AND c_acctbal > 9000
        UNION ALL SELECT r_name || ' > ' || n_name || ' > ' || s_name || ' > ' || c_name, 3 FROM region JOIN nation ON n_regionkey = r_regionkey
@@ -231,7 +219,7 @@ def graph_weighted_shortest(t: Tables):
 )
 def graph_attack_paths(t: Tables):
     """From zone 0 over nations and suppliers to the sensitive hosts (rich accounts), any edge type."""
-    held = t.lineitem.filter("l_extendedprice > 90000").join(t.orders, col("l_orderkey") == col("o_orderkey"))
+    held = t.lineitem.join(t.orders, col("l_orderkey") == col("o_orderkey"))
 
     def edge(df, src, dst):
         return df.select(src.alias("src"), dst.alias("dst")).distinct()
@@ -262,12 +250,12 @@ def graph_attack_paths(t: Tables):
 
 @query(
     "graph_degree",
-    f"""WITH {EDGES_SQL} SELECT c_custkey AS node, (SELECT COUNT(*) FROM edges WHERE src = c_custkey AND {SPARSE}) AS outgoing,
-          (SELECT COUNT(*) FROM edges WHERE dst = c_custkey AND {SPARSE}) AS incoming,
-          (SELECT COUNT(*) FROM edges WHERE (src = c_custkey OR dst = c_custkey) AND {SPARSE}) AS total FROM customer""",
+    f"""WITH {EDGES_SQL}, e AS (SELECT src AS node, 1 AS o, 0 AS i FROM edges UNION ALL SELECT dst, 0, 1 FROM edges)
+        SELECT c_custkey AS node, CAST(COALESCE(SUM(o), 0) AS BIGINT) AS outgoing, CAST(COALESCE(SUM(i), 0) AS BIGINT) AS incoming, COUNT(o) AS total
+        FROM customer LEFT JOIN e ON node = c_custkey GROUP BY 1""",
 )
 def graph_degree(t: Tables):
-    return graph.degrees(accounts(t), transfers(t).filter(SPARSE))
+    return graph.degrees(accounts(t), transfers(t))
 
 
 def pagerank_sql(rounds):
@@ -286,15 +274,20 @@ def graph_pagerank(t: Tables):
     return graph.pagerank(accounts(t), transfers(t), 10).select("node", F.round("rank", 9).alias("rank"))
 
 
-@query(
-    "graph_wcc",
-    f"""WITH RECURSIVE {EDGES_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges WHERE {SPARSE} UNION SELECT dst, src FROM edges WHERE {SPARSE}),
-          r AS (SELECT c_custkey AS node, c_custkey AS seen FROM customer UNION SELECT r.node, e.dst FROM r JOIN e ON e.src = r.seen),
-          c AS (SELECT node, MIN(seen) AS component FROM r GROUP BY 1)
-        SELECT node, component, COUNT(*) OVER (PARTITION BY component) AS size FROM c""",
-)
+def components_sql(rounds):
+    """Least label of the neighbourhood, as many rounds as no component is wide; a wider one would leave two labels side by side."""
+    steps = "".join(
+        f""", l{i} AS MATERIALIZED (SELECT node, MIN(label) AS label FROM (SELECT * FROM l{i - 1} UNION ALL SELECT e.dst, label FROM l{i - 1} JOIN e ON e.src = node) GROUP BY 1)"""
+        for i in range(1, rounds + 1)
+    )
+    return f"""WITH {EDGES_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
+      l0 AS (SELECT c_custkey AS node, c_custkey AS label FROM customer){steps}
+      SELECT node, label AS component, COUNT(*) OVER (PARTITION BY label) AS size FROM l{rounds}"""
+
+
+@query("graph_wcc", components_sql(20))
 def graph_wcc(t: Tables):
-    labels = graph.components(accounts(t), transfers(t).filter(SPARSE))
+    labels = graph.components(accounts(t), transfers(t))
     sizes = labels.groupBy("component").agg(rows().alias("size"))
     return labels.join(sizes, "component").select("node", "component", "size")
 
@@ -315,13 +308,13 @@ def propagation_sql(rounds):
              LEFT JOIN (SELECT dst, arg_max(label, votes * 1000000000 - label) AS new FROM (SELECT dst, label, COUNT(*) AS votes FROM e JOIN l{i - 1} ON node = src GROUP BY 1, 2)
              GROUP BY 1) ON dst = c_custkey)""" for i in range(1, rounds + 1)
     )
-    return f"""WITH {EDGES_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges WHERE critical UNION SELECT dst, src FROM edges WHERE critical),
+    return f"""WITH {EDGES_SQL}, e AS MATERIALIZED (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
       l0 AS (SELECT c_custkey AS node, c_custkey AS label FROM customer){steps} SELECT * FROM l{rounds}"""
 
 
 @query("graph_label_propagation", propagation_sql(5))
 def graph_label_propagation(t: Tables):
-    return graph.label_propagation(accounts(t), transfers(t).filter("critical"), 5)
+    return graph.label_propagation(accounts(t), transfers(t), 5)
 
 
 @query(

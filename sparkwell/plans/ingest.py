@@ -38,34 +38,41 @@ def read_csv_zone_lookup(t: Tables):
     return readers.read_csv_table(t.spark, path, readers.ZONE_SCHEMA)
 
 
-def customer_lines(t: Tables):
-    """CSV lines of customers; every 7th has a zero id, every 11th no name, every 13th no "@"."""
+CSV_ROWS = 1000
+CUSTOMER_CHECKS_SQL = """CASE WHEN c_custkey % 7 = 0 OR c_custkey % 17 = 0 THEN 'id' END, CASE WHEN c_custkey % 11 = 0 THEN 'name' END, CASE WHEN c_custkey % 13 = 0 THEN 'email' END"""
+
+
+def customer_files(t: Tables):
+    """CSV files with a header and up to 1000 customers; every 7th id is zero, every 17th no number, every 11th has no name, every 13th no "@"."""
     k = col("c_custkey")
     ident = when(k % 7 == 0, lit("0")).when(k % 17 == 0, lit("x1")).otherwise(k.cast("string"))
     name = when(k % 11 == 0, lit(" ")).otherwise(col("c_name"))
     mail = F.concat(lit("c"), k.cast("string"), when(k % 13 == 0, lit(".")).otherwise(lit("@")), lit("example.org"))
-    return t.customer.select(F.concat_ws(",", ident, name, mail).alias("value"))
+    lines = t.customer.select(F.floor(k / CSV_ROWS).alias("slice"), k, ident.alias("id"), name.alias("name"), mail.alias("email"))
+    path = shared_path(t.spark, "customers-csv")
+    # each file is a delivery of its own, so it is written by one task
+    lines.repartition("slice").sortWithinPartitions("slice", "c_custkey").drop("c_custkey").write.partitionBy("slice").option("header", True).option(
+        "ignoreTrailingWhiteSpace", False
+    ).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return path
 
 
 @query(
     "read_csv_validated",
-    """SELECT c_custkey AS id, c_name AS name, 'c' || c_custkey || '@example.org' AS email, 'ok' AS outcome FROM customer
-         WHERE c_custkey % 7 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0
-       UNION ALL SELECT CASE WHEN c_custkey % 7 = 0 THEN 0 WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey END,
-         CASE WHEN c_custkey % 11 = 0 THEN ' ' ELSE c_name END,
-         'c' || c_custkey || CASE WHEN c_custkey % 13 = 0 THEN '.' ELSE '@' END || 'example.org',
-         concat_ws(',', CASE WHEN c_custkey % 7 = 0 OR c_custkey % 17 = 0 THEN 'id' END,
-                   CASE WHEN c_custkey % 11 = 0 THEN 'name' END, CASE WHEN c_custkey % 13 = 0 THEN 'email' END) FROM customer
-         WHERE c_custkey % 7 = 0 OR c_custkey % 17 = 0 OR c_custkey % 11 = 0 OR c_custkey % 13 = 0""",
+    f"""SELECT c_custkey // {CSV_ROWS} AS slice, 1 + ROW_NUMBER() OVER (PARTITION BY c_custkey // {CSV_ROWS} ORDER BY c_custkey) AS line_no,
+              CASE WHEN c_custkey % 7 = 0 THEN 0 WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey END AS id,
+              CASE WHEN c_custkey % 11 = 0 THEN ' ' ELSE c_name END AS name,
+              'c' || c_custkey || CASE WHEN c_custkey % 13 = 0 THEN '.' ELSE '@' END || 'example.org' AS email,
+              COALESCE(NULLIF(concat_ws(',', {CUSTOMER_CHECKS_SQL}), ''), 'ok') AS outcome FROM customer""",
 )
 def read_csv_validated(t: Tables):
-    path = shared_path(t.spark, "customers-csv")
-    customer_lines(t).write.text(path)
-    lines = readers.numbered_lines(t.spark, path)
-    checked = readers.parse_customer_lines(lines)
-    good, bad = readers.split_good_bad(checked)
-    good = good.select("id", "name", "email", lit("ok").alias("outcome"))
-    return good.unionByName(bad.select("id", "name", "email", F.array_join("reasons", ",").alias("outcome")))
+    """Rows of files with a header, each with its line in its file (the header is line 1); bad rows keep theirs with the reasons."""
+    lines = readers.numbered_lines(t.spark, customer_files(t)).filter("line_no > 1")
+    slice_no = big(F.regexp_extract("file", r"/slice=(\d+)/", 1)).alias("slice")
+    good, bad = readers.split_good_bad(readers.parse_customer_lines(lines))
+    columns = [slice_no, "line_no", "id", "name", "email"]
+    good = good.select(*columns, lit("ok").alias("outcome"))
+    return good.unionByName(bad.select(*columns, F.array_join("reasons", ",").alias("outcome")))
 
 
 STATUS_SQL = "CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'completed' ELSE 'lost' END"
@@ -74,18 +81,25 @@ STATUS_SQL = "CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'complete
 @query(
     "read_json_array_validated",
     f"""SELECT o_orderkey AS id, o_custkey AS customer_id, o_totalprice AS amount, {STATUS_SQL} AS status,
-               CASE WHEN o_custkey = 0 OR o_orderkey = 0 OR o_orderstatus = 'P' THEN 'bad' ELSE 'ok' END AS outcome FROM orders""",
+               CASE WHEN o_custkey = 0 OR o_orderkey = 0 OR o_orderstatus = 'P' THEN 'bad' ELSE 'ok' END AS outcome FROM orders WHERE o_orderkey // 1000 % 10 <> 3
+        UNION ALL SELECT NULL, NULL, NULL, NULL, 'unreadable' FROM (SELECT DISTINCT o_orderkey // 1000 AS f FROM orders) WHERE f % 10 = 3""",
 )
 def read_json_array_validated(t: Tables):
-    """Documents with one order each, odd keys as an array and even keys as a bare object."""
+    """Files that hold an array of up to 1000 orders, or one order; in each tenth file the array is cut off."""
+    k = col("o_orderkey")
     status = when(col("o_orderstatus") == "O", "pending").when(col("o_orderstatus") == "F", "completed").otherwise("lost")
-    order = F.struct(
-        col("o_orderkey").alias("id"), col("o_custkey").alias("customer_id"), col("o_totalprice").alias("amount"),
-        status.alias("status"),
-    )
-    text = when(col("o_orderkey") % 2 == 1, F.to_json(F.array(order))).otherwise(F.to_json(order))
-    checked = readers.parse_order_documents(t.orders.select(text.alias("content")))
-    outcome = when(F.size("reasons") == 0, "ok").otherwise("bad")
+    order = F.struct(k.alias("id"), col("o_custkey").alias("customer_id"), col("o_totalprice").alias("amount"), status.alias("status"))
+    slice_no = F.floor(k / 1000)
+    cut = slice_no % 10 == 3
+    alone = (k % 1000 == 0) & ~cut
+    file = F.concat(slice_no.cast("string"), when(alone, "-one").otherwise(""))
+    files = t.orders.groupBy(file.alias("name"), cut.alias("cut"), alone.alias("alone")).agg(F.sort_array(F.collect_list(order)).alias("orders"))
+    array = F.to_json("orders")
+    text = when(col("alone"), F.to_json(col("orders")[0])).when(col("cut"), F.expr("substring(to_json(orders), 1, length(to_json(orders)) - 20)")).otherwise(array)
+    path = shared_path(t.spark, "orders-json")
+    files.select("name", text.alias("value")).write.partitionBy("name").text(path)
+    checked = readers.read_order_files(t.spark, path)
+    outcome = when(col("unreadable"), "unreadable").when(F.size("reasons") == 0, "ok").otherwise("bad")
     return checked.select("id", "customer_id", "amount", "status", outcome.alias("outcome"))
 
 
@@ -161,13 +175,19 @@ def slices(t: Tables):
     return grouped.select("slice", path.alias("path"), F.concat(lit("event_id,event_type,value\n"), "body").alias("text"))
 
 
+def landed(t: Tables, label: str, files):
+    """The files (path, content) as a landing folder holds them."""
+    folder = shared_path(t.spark, label)
+    archives.publish(files, folder)
+    return archives.delivered(t.spark, folder)
+
+
 @query(
     "read_zipped_csv_slices",
     "SELECT 's' || (event_id // 1000) || '.events.csv.zip' AS path, event_id, event_type, value FROM events",
 )
 def read_zipped_csv_slices(t: Tables):
-    zipped = archives.zip_text(slices(t))
-    text = archives.unzip_csv(zipped, ["event_id", "event_type", "value"])
+    text = archives.unzip_csv(landed(t, "zips", archives.zip_text(slices(t))), ["event_id", "event_type", "value"])
     return text.select("path", col("event_id").cast("bigint").alias("event_id"), "event_type",
                        col("value").cast("double").alias("value"))
 
@@ -178,11 +198,12 @@ def read_zipped_csv_slices(t: Tables):
 )
 def verify_file_checksum(t: Tables):
     """Every third download lost its tail; digest and length tell."""
-    sent = archives.zip_text(slices(t))
-    manifest = sent.select("path", F.sha1("content").alias("sha1"), big(F.octet_length("content")).alias("length"))
+    sent = landed(t, "sent", archives.zip_text(slices(t)))
+    manifest = sent.select("path", F.sha1("content").alias("sha1"), "length")
     broken = F.regexp_extract("path", r"s(\d+)", 1).cast("int") % 3 == 1
-    size = F.octet_length("content")
-    got = sent.withColumn("content", when(broken, F.substring(col("content"), lit(1), size - 5)).otherwise(col("content")))
+    # without its last byte, which the writer adds again
+    size = F.octet_length("content") - 1 - when(broken, 5).otherwise(0)
+    got = landed(t, "got", sent.select("path", F.substring(col("content"), lit(1), size).alias("content")))
     return archives.verify_checksums(got, manifest)
 
 
@@ -197,9 +218,8 @@ def detect_truncated_file(t: Tables):
     cut = F.regexp_extract("path", r"s(\d+)", 1).cast("int") % 4 == 2
     keep = F.floor(F.octet_length("content") * 0.7).cast("int")
     got = sent.withColumn("content", when(cut, F.substring(col("content"), lit(1), keep)).otherwise(col("content")))
-    found = archives.gunzip_lines(got)
-    lines = when(col("complete"), big(F.size("lines") - 1))
-    return found.select("path", "complete", lines.alias("rows_if_complete"))
+    files = archives.gunzip_lines(landed(t, "gzips", got)).filter("complete IS NOT NULL")
+    return files.select("path", "complete", when(col("complete"), col("line_no") - 1).alias("rows_if_complete"))
 
 
 @query(

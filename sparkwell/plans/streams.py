@@ -45,11 +45,11 @@ class Stage:
         root = shared_path(t.spark, label)
         self.topic, self.sink, self.checkpoint = f"{root}/topic", f"{root}/sink", f"{root}/checkpoint"
 
-    def views(self):
-        return jobs.parse_pageviews(jobs.topic_stream(self.spark, self.topic))
+    def views(self, files_per_trigger=1000):
+        return jobs.records(jobs.topic_stream(self.spark, self.topic, files_per_trigger), jobs.PAGEVIEW_SCHEMA)
 
     def clicks(self):
-        return jobs.parse_clicks(jobs.topic_stream(self.spark, self.topic))
+        return jobs.records(jobs.topic_stream(self.spark, self.topic), jobs.CLICK_SCHEMA)
 
     def drain(self, stream):
         return jobs.drain_to_files(stream, self.sink, self.checkpoint)
@@ -98,13 +98,13 @@ def kafka_source(t: Tables):
     """The parser of the Kafka job over records of the same columns (the connector jar is not installed)."""
     stage = staged(t, "kafka-source")
     records = jobs.topic_stream(t.spark, stage.topic).filter("topic = 'events'")
-    return run(stage, jobs.parse_pageviews(records))
+    return run(stage, jobs.records(records, jobs.PAGEVIEW_SCHEMA))
 
 
 @query("batch_read_stream_topic", "SELECT event_type AS page, COUNT(*) AS n FROM events GROUP BY 1")
 def batch_read_stream_topic(t: Tables):
     stage = staged(t, "topic-batch")
-    views = jobs.parse_pageviews(jobs.topic_batch(t.spark, stage.topic))
+    views = jobs.records(jobs.topic_batch(t.spark, stage.topic), jobs.PAGEVIEW_SCHEMA)
     return views.groupBy("page").agg(rows().alias("n"))
 
 
@@ -283,20 +283,19 @@ def output_append(t: Tables):
 DAILY_SQL = "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start, event_type AS page, COUNT(*) AS n FROM events GROUP BY 1, 2"
 
 
-def two_part_update(t: Tables, label: str, stream_of, value=None):
-    """Process the log in two rounds and write what changed under each batch id."""
+def upserts(t: Tables, stage, stream, keys, every=16):
+    return jobs.UpsertTable(t.spark, stage.sink, stream.schema, keys, every)
+
+
+def two_part_update(t: Tables, label: str, stream_of, keys, value=None):
+    """Process the log in two rounds of several batches, each upserted under its id; the sink is folded on the way."""
     half = col("event_id") % 2 == 0
     stage = staged(t, label, t.events.filter(half), value)
-    write = jobs.batch_partition_writer(stage.sink)
-    jobs.drain_each_batch(stream_of(stage), write, stage.checkpoint, "update")
+    table = upserts(t, stage, stream_of(stage), keys, every=2)
+    jobs.drain_each_batch(stream_of(stage), table.write, stage.checkpoint, "update")
     publish(t.events.filter(~half), stage.topic, value)
-    jobs.drain_each_batch(stream_of(stage), write, stage.checkpoint, "update")
-    return stage
-
-
-def upserted(t: Tables, stage, stream, keys):
-    schema = stream.schema.add("batch_id", LongType())
-    return plain_times(jobs.current_rows(t.spark, stage.sink, schema, keys))
+    jobs.drain_each_batch(stream_of(stage), table.write, stage.checkpoint, "update")
+    return plain_times(table.read()).drop("batch_id")
 
 
 @query("output_update", DAILY_SQL)
@@ -307,8 +306,7 @@ def output_update(t: Tables):
         marked = stage.views().withWatermark("ts", "40 days").groupBy(F.window("ts", "1 day"), "page")
         return marked.agg(rows().alias("n")).select(col("window.start").alias("day_start"), "page", "n")
 
-    stage = two_part_update(t, "update", stream)
-    return upserted(t, stage, stream(stage), ["day_start", "page"]).drop("batch_id")
+    return two_part_update(t, "update", stream, ["day_start", "page"])
 
 
 @query("output_complete", "SELECT event_type AS page, COUNT(*) AS n FROM events GROUP BY 1")
@@ -316,8 +314,9 @@ def output_complete(t: Tables):
     """The whole result each batch; only for small key sets such as the page types."""
     stage = staged(t, "complete")
     counts = stage.views().groupBy("page").agg(rows().alias("n"))
-    jobs.drain_each_batch(counts, jobs.batch_partition_writer(stage.sink), stage.checkpoint, "complete")
-    return upserted(t, stage, counts, ["page"]).drop("batch_id")
+    table = upserts(t, stage, counts, ["page"])
+    jobs.drain_each_batch(counts, table.write, stage.checkpoint, "complete")
+    return table.read().drop("batch_id")
 
 
 CLICKS_SQL = """SELECT event_type AS product_id, time_bucket(INTERVAL 30 SECOND, ts) AS minute_window, COUNT(*) AS click_count
@@ -329,9 +328,10 @@ def clicks_aggregate(t: Tables):
     """Thirty-second windows per product in update mode; the group without product is not stored."""
     stage = staged(t, "clicks", value=click_json())
     counts = jobs.click_counts(stage.clicks())
-    write = jobs.batch_partition_writer(stage.sink, lambda df: df.filter(col("product_id") != jobs.BAD_PRODUCT))
-    jobs.drain_each_batch(counts, write, stage.checkpoint, "update")
-    return upserted(t, stage, counts, ["product_id", "minute_window"]).drop("batch_id")
+    table = upserts(t, stage, counts, ["product_id", "minute_window"])
+    known = col("product_id") != jobs.BAD_PRODUCT
+    jobs.drain_each_batch(counts, lambda df, batch_id: table.write(df.filter(known), batch_id), stage.checkpoint, "update")
+    return plain_times(table.read()).drop("batch_id")
 
 
 @query("foreach_batch_upsert_sink", CLICKS_SQL.replace("30 SECOND", "1 DAY"))
@@ -341,8 +341,7 @@ def foreach_batch_upsert_sink(t: Tables):
     def stream(stage):
         return jobs.click_counts(stage.clicks(), "1 day", "40 days")
 
-    stage = two_part_update(t, "upsert-sink", stream, click_json())
-    kept = upserted(t, stage, stream(stage), ["product_id", "minute_window"]).drop("batch_id")
+    kept = two_part_update(t, "upsert-sink", stream, ["product_id", "minute_window"], click_json())
     return kept.filter(col("product_id") != jobs.BAD_PRODUCT)
 
 
@@ -567,12 +566,14 @@ def streaming_sql_view(t: Tables):
 
 @query("progress_listener_status", "SELECT COUNT(*) AS input_rows, 'stopped' AS state FROM events")
 def progress_listener_status(t: Tables):
-    """Input rows summed over the status records of all micro-batches, and the final state."""
+    """Input rows summed over the status table that a listener writes, a row for each micro-batch, and how the run ended."""
     stage = staged(t, "listener")
-    done = stage.drain(stage.views())
-    total = sum(int(p.numInputRows) for p in done.recentProgress)
-    state = "failed" if done.exception() else "stopped"
-    return t.spark.createDataFrame([(total, state)], "input_rows BIGINT, state STRING")
+    status = f"{stage.sink}-status"
+    with jobs.StatusLog(t.spark, status):
+        done = jobs.drain_to_files(stage.views(1), stage.sink, stage.checkpoint)
+    of_query = col("id") == str(done.id)
+    ended = jobs.run_ends(t.spark, status).filter(of_query).agg(F.max("ended")).scalar()
+    return jobs.batch_status(t.spark, status).filter(of_query).agg(F.sum("input_rows").alias("input_rows"), F.max(ended).alias("state"))
 
 
 PAY_SQL = """WITH o AS (SELECT o_orderkey, o_orderdate AS ts FROM orders),

@@ -4,6 +4,7 @@ from sparkwell.operators import vectors
 from sparkwell.operators.ordered import running, with_group_stats, with_row_number
 from sparkwell.plans.common import F, Tables, big, col, lit, query, rows
 from sparkwell.session import cut_lineage
+from sparkwell.tables import TABLE_NAMES
 
 COS = "list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
 
@@ -175,34 +176,55 @@ def destructive_sql_scan(t: Tables):
 CATALOG_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]"}
 
 
+CATALOG_COLUMNS = {
+    "region": "r_regionkey INTEGER, r_name VARCHAR", "nation": "n_nationkey INTEGER, n_name VARCHAR, n_regionkey INTEGER",
+    "customer": "c_custkey BIGINT, c_name VARCHAR, c_nationkey INTEGER, c_acctbal DOUBLE, c_mktsegment VARCHAR",
+    "supplier": "s_suppkey BIGINT, s_name VARCHAR, s_nationkey INTEGER, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name VARCHAR, p_brand VARCHAR, p_type VARCHAR, p_size INTEGER, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus VARCHAR, o_totalprice DOUBLE, o_orderdate TIMESTAMP, o_orderpriority VARCHAR",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, "
+    "l_tax DOUBLE, l_returnflag VARCHAR, l_linestatus VARCHAR, l_shipdate TIMESTAMP",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR",
+    "documents": "doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding FLOAT[], label INTEGER", "pages": "page_id BIGINT, url VARCHAR, html VARCHAR",
+    "benchmark": "item_id BIGINT, text VARCHAR", "labels": "doc_id BIGINT, quality INTEGER, toxic INTEGER",
+    "conversations": "conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR",
+}
+
+
 def catalog_sql():
-    columns = {
-        "region": "r_regionkey INTEGER, r_name VARCHAR", "nation": "n_nationkey INTEGER, n_name VARCHAR, n_regionkey INTEGER",
-        "customer": "c_custkey BIGINT, c_name VARCHAR, c_nationkey INTEGER, c_acctbal DOUBLE, c_mktsegment VARCHAR",
-        "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus VARCHAR, o_totalprice DOUBLE, o_orderdate TIMESTAMP, o_orderpriority VARCHAR",
-        "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR",
-        "embeddings": "vec_id BIGINT, embedding FLOAT[], label INTEGER",
-    }
     parts = [
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{ty}' AS data_type, COUNT({c}) AS non_null FROM {t}"
-        for t, cols in columns.items() for c, ty in (x.split(" ") for x in cols.split(", "))
+        f"SELECT '{t}' AS table_name, {i} AS place, '{c}' AS column_name, '{ty}' AS data_type, COUNT({c}) < COUNT(*) AS nullable, COUNT({c}) AS non_null, NULL AS error FROM {t}"
+        for t, cols in CATALOG_COLUMNS.items() for i, (c, ty) in enumerate((x.split(" ") for x in cols.split(", ")), 1)
     ]
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join([*parts, "SELECT 'payment', NULL, NULL, NULL, NULL, NULL, 'no such table: payment'"])
+
+
+CATALOG = "table_name STRING, place INT, column_name STRING, data_type STRING, nullable BOOLEAN, non_null BIGINT, error STRING"
 
 
 @query("schema_catalog", catalog_sql())
-def schema_catalog(t: Tables):
-    """Name, type and filled rows of every column of six tables; one scan per table."""
-    out = None
-    for table in ("region", "nation", "customer", "orders", "events", "embeddings"):
+def schema_catalog(t: Tables, wanted: tuple[str, ...] = (*TABLE_NAMES, "payment")):
+    """Columns of each wanted table in order, their types, filled rows and whether any row lacks them; an unknown table is a row with the error.
+
+    Files declare every column nullable, so this is counted: one scan a table, that of text columns included.
+    """
+    out = t.spark.createDataFrame([], CATALOG)
+    for table in wanted:
+        if table not in TABLE_NAMES:
+            unknown = (table, None, None, None, None, None, f"no such table: {table}")
+            out = out.unionByName(t.spark.createDataFrame([unknown], CATALOG))
+            continue
         df = getattr(t, table)
-        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        counts = df.agg(rows().alias("all_rows"), *[F.count(c).alias(c) for c in df.columns])
         entries = F.array(*[
-            F.struct(lit(table).alias("table_name"), lit(c).alias("column_name"), lit(CATALOG_TYPES[ty]).alias("data_type"), col(c).alias("non_null"))
-            for c, ty in df.dtypes
+            F.struct(
+                lit(table).alias("table_name"), lit(i).alias("place"), lit(c).alias("column_name"), lit(CATALOG_TYPES.get(ty, ty)).alias("data_type"),
+                (col(c) < col("all_rows")).alias("nullable"), col(c).alias("non_null"), lit(None).cast("string").alias("error"),
+            )
+            for i, (c, ty) in enumerate(df.dtypes, 1)
         ])
-        part = counts.select(F.inline(entries))
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(counts.select(F.inline(entries)))
     return out
 
 

@@ -58,23 +58,40 @@ def parse_customer_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return with_reasons(typed, rules)
 
 
+ORDER_FIELDS = "id BIGINT, customer_id BIGINT, amount DOUBLE, status STRING"
+
+
+def _order_rules() -> dict[str, Column]:
+    return {
+        "id": F.col("id") > 0, "customer_id": F.col("customer_id") > 0, "amount": F.col("amount") >= 0,
+        "status": F.col("status").isin(*ORDER_STATUSES),
+    }
+
+
 def parse_order_documents(documents: DataFrame, content: str = "content") -> DataFrame:
     """JSON documents, each an array of orders or one order; checked row by row.
 
     A document that cannot be read is one row of nulls, which fails every rule; an empty array has no rows.
     """
-    fields = "STRUCT<id: BIGINT, customer_id: BIGINT, amount: DOUBLE, status: STRING>"
+    fields = f"STRUCT<{ORDER_FIELDS.replace(' ', ': ').replace(',: ', ', ')}>"
     text = F.trim(F.col(content))
     items = F.when(F.startswith(text, F.lit("[")), F.from_json(text, f"ARRAY<{fields}>")).otherwise(
         F.array(F.from_json(text, fields))
     )
     unread = F.array(F.lit(None).cast(fields))
     rows = documents.select(F.explode(F.coalesce(items, unread)).alias("o")).select("o.*")
-    rules = {
-        "id": F.col("id") > 0, "customer_id": F.col("customer_id") > 0, "amount": F.col("amount") >= 0,
-        "status": F.col("status").isin(*ORDER_STATUSES),
-    }
-    return with_reasons(rows, rules)
+    return with_reasons(rows, _order_rules())
+
+
+def read_order_files(spark: SparkSession, path: str) -> DataFrame:
+    """JSON files, each an array of orders or one order; (id, customer_id, amount, status, unreadable, reasons).
+
+    An array is parsed order by order as the file is read. A file that cannot be read to its end gives one row of nulls with
+    ``unreadable`` set and none of its orders, so that it is loaded whole or not at all.
+    """
+    text = spark.read.schema(f"{ORDER_FIELDS}, _corrupt_record STRING").option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    marked = text.select("id", "customer_id", "amount", "status", F.col("_corrupt_record").isNotNull().alias("unreadable"))
+    return with_reasons(marked, _order_rules())
 
 
 ENVELOPE = "id BIGINT, type STRING, created_at STRING, actor BIGINT, repo BIGINT"

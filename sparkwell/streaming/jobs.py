@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +13,13 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from sparkwell.operators.ordered import latest_per_key
+from sparkwell.sources.versioned import VersionedTable
 
 BAD_PRODUCT = "__BAD__"  # fixed group name for records without a product
 
 TOPIC_SCHEMA = "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 PAGEVIEW_SCHEMA = "user_id STRING, session_id STRING, page STRING, referrer STRING, ts TIMESTAMP"
-CLICK_SCHEMA = "event_id STRING, product_id STRING, user_id STRING, ts STRING"
+CLICK_SCHEMA = "event_id STRING, product_id STRING, user_id STRING, ts TIMESTAMP"
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
@@ -58,22 +62,23 @@ def topic_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_SCHEMA).parquet(path)
 
 
-def parse_pageviews(topic: DataFrame) -> DataFrame:
-    parsed = topic.select(F.from_json(F.col("value").cast("string"), PAGEVIEW_SCHEMA).alias("e"))
-    return parsed.select("e.*").filter("ts IS NOT NULL")
+def records(topic: DataFrame, schema: str) -> DataFrame:
+    """The JSON values of a topic as columns of ``schema``. A value without a time ``ts`` that can be read belongs to no window and is left out."""
+    return topic.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema)))).filter("ts IS NOT NULL")
 
 
-def parse_clicks(topic: DataFrame) -> DataFrame:
-    """Clicks with a parsed event time; rows whose time cannot be read are left out."""
-    parsed = topic.select(F.from_json(F.col("value").cast("string"), CLICK_SCHEMA).alias("e")).select("e.*")
-    return parsed.withColumn("event_time", F.try_to_timestamp("ts")).filter("event_time IS NOT NULL")
+def counts_in_windows(
+    rows: DataFrame, by: Column, size: str, delay: str, slide: str | None = None
+) -> DataFrame:
+    """(window_start, window_end, by, count): rows for each value of ``by`` in each event-time window over ``ts``."""
+    windows = F.window("ts", size, slide or size).alias("w")
+    counts = rows.withWatermark("ts", delay).groupBy(windows, by).count()
+    return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *counts.columns[1:])
 
 
 def windowed_counts(views: DataFrame, size: str = "1 minute", delay: str = "2 minutes", slide: str | None = None) -> DataFrame:
-    """Page counts per event-time window, flat columns."""
-    window = F.window("ts", size, slide) if slide else F.window("ts", size)
-    counts = views.withWatermark("ts", delay).groupBy(window, "page").agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "page", "count")
+    """Views of each page in each window."""
+    return counts_in_windows(views, F.col("page"), size, delay, slide)
 
 
 def sessions(views: DataFrame, gap: str, delay: str) -> DataFrame:
@@ -86,12 +91,9 @@ def sessions(views: DataFrame, gap: str, delay: str) -> DataFrame:
 
 
 def click_counts(clicks: DataFrame, size: str = "30 seconds", delay: str = "30 seconds") -> DataFrame:
-    """Running clicks per window and product; records without a product form their own group."""
-    product = F.coalesce("product_id", F.lit(BAD_PRODUCT)).alias("product_id")
-    counts = clicks.withWatermark("event_time", delay).groupBy(F.window("event_time", size), product)
-    return counts.agg(F.count(F.lit(1)).alias("click_count")).select(
-        "product_id", F.col("window.start").alias("minute_window"), "click_count"
-    )
+    """Clicks on each product in each window; those on no product count under one name."""
+    counts = counts_in_windows(clicks, F.ifnull("product_id", F.lit(BAD_PRODUCT)).alias("product_id"), size, delay)
+    return counts.select("product_id", F.col("window_start").alias("minute_window"), F.col("count").alias("click_count"))
 
 
 def _finish(query: StreamingQuery) -> StreamingQuery:
@@ -126,9 +128,78 @@ def batch_partition_writer(path: str, change: Callable[[DataFrame], DataFrame] |
     return write
 
 
-def current_rows(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
-    """Upsert view over batch partitions: the last batch that wrote a key wins."""
-    return latest_per_key(spark.read.schema(schema).parquet(path), keys, ["batch_id"])
+class UpsertTable:
+    """A table of the latest row for each key, fed by micro-batches.
+
+    A batch is written to a folder of its own. When ``every`` batches wait, they are folded into the delta, or, once the delta has
+    a quarter of the bytes of the base, together with it into a new base. So a reader meets a base, a delta and fewer than
+    ``every`` batches, however many there have been, and most folds rewrite the delta only.
+    Both are versioned, and their note is the last batch they hold. A batch that comes again
+    replaces itself if it waits, and is passed over if it has been folded in; a fold that dies leaves
+    the version before it. Rows carry their batch, so a row that two places hold is the same row.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema, keys: list[str], every: int = 16):
+        self.spark, self.path, self.keys, self.every = spark, path, keys, every
+        self.schema = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("bigint")).schema
+        self.base, self.delta = VersionedTable(spark, f"{path}/base"), VersionedTable(spark, f"{path}/delta")
+
+    def folded(self) -> int:
+        """The last batch that the base or the delta holds; -1 before the first."""
+        return max(int(x.last_note() or -1) for x in (self.base, self.delta))
+
+    def _folder(self):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.path}/batches")
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def waiting(self) -> list[int]:
+        """Batches that are written but not folded in."""
+        folder, fs = self._folder()
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        folded = self.folded()
+        return sorted(n for n in (int(x.removeprefix("batch_id=")) for x in names if x.startswith("batch_id=")) if n > folded)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """The function for foreachBatch."""
+        if batch_id <= self.folded():
+            return
+        write_batch(rows, f"{self.path}/batches", batch_id)
+        if len(self.waiting()) >= self.every:
+            self.fold()
+
+    def _delta(self) -> VersionedTable | None:
+        """The delta, unless the base holds it."""
+        live = int(self.delta.last_note() or -1) > int(self.base.last_note() or -1)
+        return self.delta if live else None
+
+    def _parts(self, base: bool) -> list[DataFrame]:
+        tables = [self.base if base and self.base.exists() else None, self._delta()]
+        parts = [x.read() for x in tables if x]
+        paths = [f"{self.path}/batches/batch_id={n}" for n in self.waiting()]
+        if paths:
+            parts.append(self.spark.read.schema(self.schema).option("basePath", f"{self.path}/batches").parquet(*paths))
+        return parts
+
+    def _latest(self, parts: list[DataFrame]) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.schema)
+        return latest_per_key(rows, self.keys, ["batch_id"])
+
+    def fold(self) -> None:
+        waiting = self.waiting()
+        if not waiting:
+            return
+        delta = self._delta()
+        small = self.base.exists() and (delta is None or 4 * delta.bytes() < self.base.bytes())
+        target = self.delta if small else self.base
+        target.replace(self._latest(self._parts(base=not small)), str(waiting[-1]))
+        target.drop_before_last()
+        folder, fs = self._folder()
+        for n in waiting:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"batch_id={n}"), True)
+
+    def read(self) -> DataFrame:
+        return self._latest(self._parts(base=True))
 
 
 def compacted(log: DataFrame) -> DataFrame:
@@ -136,29 +207,66 @@ def compacted(log: DataFrame) -> DataFrame:
     return latest_per_key(log.select("key", "value", "offset"), ["key"], ["offset"]).filter("value IS NOT NULL")
 
 
-class BatchStatus(StreamingQueryListener):
-    """One status record per micro-batch, and the final state."""
+PROGRESS = """id STRING, runId STRING, batchId BIGINT, timestamp STRING, numInputRows BIGINT,
+    stateOperators ARRAY<STRUCT<numRowsTotal: BIGINT, numRowsDroppedByWatermark: BIGINT>>, ended STRING"""
+
+
+class StatusLog(StreamingQueryListener):
+    """Writes the progress of each batch of the session's queries, as Spark reports it, to one JSON file below ``path``, and how each run ended.
+
+    What a query keeps of its own progress is bounded; the files are not. Used as a context:
+    the listener is active within, and leaving waits until the runs that began within have reported their end.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._open: set[str] = set()
+        self._changed = threading.Condition()
 
-    def __init__(self):
-        self.records: list[dict] = []
-        self.state = "new"
+    def __enter__(self):
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_):
+        with self._changed:
+            self._changed.wait_for(lambda: not self._open, timeout=60)
+        self.spark.streams.removeListener(self)
+
+    def _write(self, name: str, text: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}.json")
+        out = target.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(target, True)
+        out.write(bytearray(text.encode()))
+        out.close()
 
     def onQueryStarted(self, event):  # noqa: N802 (listener interface)
-        self.state = "running"
+        with self._changed:
+            self._open.add(str(event.runId))
 
     def onQueryProgress(self, event):  # noqa: N802
         progress = event.progress
-        dropped = sum(int(s.numRowsDroppedByWatermark or 0) for s in progress.stateOperators or [])
-        kept = sum(int(s.numRowsTotal or 0) for s in progress.stateOperators or [])
-        self.records.append(
-            {
-                "batch_id": int(progress.batchId), "input_rows": int(progress.numInputRows or 0),
-                "dropped": dropped, "state_rows": kept,
-            }
-        )
+        self._write(f"{progress.runId}-{progress.batchId}", json.dumps(json.loads(progress.json)))
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        self.state = "failed" if event.exception else "stopped"
+        end = {"id": str(event.id), "runId": str(event.runId), "ended": "failed" if event.exception else "stopped"}
+        self._write(f"{event.runId}-end", json.dumps(end))
+        with self._changed:
+            self._open.discard(str(event.runId))
+            self._changed.notify_all()
+
+
+def batch_status(spark: SparkSession, path: str) -> DataFrame:
+    """(id, batch_id, input_rows, state_rows, dropped) of each batch in a status log; of a batch that ran again the later report."""
+    seen = spark.read.schema(PROGRESS).json(path).filter("batchId IS NOT NULL")
+    of_state = lambda name: F.aggregate(F.ifnull("stateOperators", F.array()), F.lit(0).cast("bigint"), lambda n, s: n + F.ifnull(s[name], F.lit(0).cast("bigint")))
+    last = seen.groupBy("id", F.col("batchId").alias("batch_id")).agg(F.max_by(F.struct("numInputRows", "stateOperators"), "timestamp").alias("p")).select("id", "batch_id", "p.*")
+    return last.select(
+        "id", "batch_id", F.col("numInputRows").alias("input_rows"), of_state("numRowsTotal").alias("state_rows"), of_state("numRowsDroppedByWatermark").alias("dropped")
+    )
+
+
+def run_ends(spark: SparkSession, path: str) -> DataFrame:
+    """(id, run_id, ended) of each run that has ended."""
+    return spark.read.schema(PROGRESS).json(path).filter("ended IS NOT NULL").select("id", F.col("runId").alias("run_id"), "ended")

@@ -1,8 +1,6 @@
 """Small fixtures with results worked out by hand or by a plain Python fold."""
 
-import gzip
 import random
-import zipfile
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -16,7 +14,7 @@ from sparkwell.operators.revenue import RevenueStore
 from sparkwell.operators.stock import admit_orders
 from sparkwell.plans.vectors_text import is_destructive
 from sparkwell.session import cut_lineage
-from sparkwell.sources import archives, readers
+from sparkwell.sources import readers
 from sparkwell.sources.versioned import VersionedTable
 from sparkwell.streaming import jobs
 
@@ -65,7 +63,7 @@ def at(second):
 @pytest.mark.parametrize("filler,expected", [(False, 5), (True, 4)])
 def test_late_row_is_dropped_only_after_a_further_batch(spark, folder, filler, expected):
     def drain():
-        counts = jobs.windowed_counts(jobs.parse_pageviews(jobs.topic_stream(spark, f"{folder}/topic")))
+        counts = jobs.windowed_counts(jobs.records(jobs.topic_stream(spark, f"{folder}/topic"), jobs.PAGEVIEW_SCHEMA))
         return jobs.drain_to_files(counts, f"{folder}/sink", f"{folder}/checkpoint"), counts.schema
 
     early = [(at(s), "/home") for s in (0, 2, 4, 6)] + [(at(300), "/pusher")]
@@ -84,29 +82,11 @@ def test_late_row_is_dropped_only_after_a_further_batch(spark, folder, filler, e
 
 def test_append_without_watermark_is_refused(spark, folder):
     publish(spark, f"{folder}/topic", [(at(0), "/home")])
-    views = jobs.parse_pageviews(jobs.topic_stream(spark, f"{folder}/topic"))
+    views = jobs.records(jobs.topic_stream(spark, f"{folder}/topic"), jobs.PAGEVIEW_SCHEMA)
     with pytest.raises(AnalysisException):
         jobs.drain_to_files(views.groupBy("page").count(), f"{folder}/sink", f"{folder}/checkpoint")
 
 
-def test_status_listener(spark, folder):
-    publish(spark, f"{folder}/topic", [(at(s), "/home") for s in range(10)])
-    status = jobs.BatchStatus()
-    spark.streams.addListener(status)
-    try:
-        jobs.drain_to_files(jobs.parse_pageviews(jobs.topic_stream(spark, f"{folder}/topic")), f"{folder}/s", f"{folder}/c")
-        for _ in range(50):
-            if status.state == "stopped":
-                break
-            import time
-
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(status)
-    assert status.state == "stopped"
-    assert sum(r["input_rows"] for r in status.records) == 10
-
-
 def test_rate_stream_schema(spark):
     assert jobs.rate_stream(spark, 5).columns == ["timestamp", "value"]
 
@@ -135,20 +115,6 @@ def test_numbered_lines_over_several_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_zip_and_gzip_files(spark, tmp_path):
-    with zipfile.ZipFile(tmp_path / "1.events.csv.zip", "w") as z:
-        z.writestr("1.events.csv", 'event_id,name\n1,"a, b"\n2,c\n')
-    rows = archives.unzip_csv(archives.read_binary(spark, str(tmp_path), "*.zip"), ["event_id", "name"])
-    assert tuples(rows.drop("path")) == [("1", "a, b"), ("2", "c")]
-    whole = gzip.compress("".join(f"{random.random()}\n" for _ in range(500)).encode())
-    (tmp_path / "2024-01-01-5.json.gz").write_bytes(whole)
-    (tmp_path / "2024-01-01-6.json.gz").write_bytes(whole[: int(len(whole) * 0.7)])
-    found = archives.gunzip_lines(archives.read_binary(spark, str(tmp_path), "*.gz"))
-    state = {r.path[-9]: (r.complete, len(r.lines)) for r in found.collect()}
-    assert state["5"] == (True, 500)
-    assert not state["6"][0] and 0 < state["6"][1] < 500
-
-
 def test_versioned_table_rejects_a_taken_version(spark, folder):
     table = VersionedTable(spark, folder)
     table.replace(spark.range(3))
@@ -369,15 +335,6 @@ def test_revenue_is_merged_after_a_crash_and_by_other_stores(spark, folder, monk
     assert store.avg_revenue(5) == 20.0
 
 
-def test_gzip_members_and_damage(spark):
-    two = gzip.compress(b"a\nb\n") + gzip.compress(b"c\nd")
-    broken = gzip.compress(b"a\nb\n")[:-8] + bytes([1]) * 8
-    df = spark.createDataFrame([("two", two), ("broken", broken), ("padded", two + bytes(9))], "path STRING, content BINARY")
-    found = {r.path: (r.complete, r.lines) for r in archives.gunzip_lines(df).collect()}
-    assert found["two"] == found["padded"] == (True, ["a", "b", "c", "d"])
-    assert found["broken"] == (False, ["a", "b"])
-
-
 def test_unreadable_documents_are_kept(spark):
     docs = ['[{"id": 1, "customer_id": 1, "amount": 1.0, "status": "pending"}]', '[{"id": 1,', "[]", "{", None]
     found = readers.parse_order_documents(spark.createDataFrame([(d,) for d in docs], "content STRING")).collect()
