@@ -134,13 +134,25 @@ def _tiles(shape: Shape):
 
 
 def index(vectors: DataFrame, shape: Shape) -> DataFrame:
-    """The stored tiles, numbered by slab and by place in the slab."""
+    """The stored tiles, numbered by slab and by place in the slab; slabs of less than a tile share tiles with their neighbours."""
     slabs = max(1, -(-shape.n // SLAB_ROWS))
     widest = F.coalesce(F.get("v", F.lit(shape.order[0] if shape.order else 0)), F.lit(0))
     dealt = vectors.withColumn("widest", widest).repartitionByRange(slabs, "widest", "row").drop("widest")
     found = stored(dealt.mapInArrow(_tiles(shape), "slab int, part int, " + TILE_SCHEMA.removeprefix("tile int, ")), "rtree-slabs")
-    most = found.agg(F.max("part")).head()[0]
-    return found.withColumn("tile", F.col("slab") * (0 if most is None else most + 1) + F.col("part")).drop("slab", "part")
+    # a row for each slab
+    sizes = found.groupBy("slab").agg(F.sum("n").alias("size"), F.max("part").alias("most"))
+    sizes = sizes.withColumn("small", F.col("size") < TILE_ROWS)
+    before = Window.partitionBy("small").orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.coalesce(F.sum(F.when(F.col("small"), F.col("size")).otherwise(F.col("most") + 1)).over(before), F.lit(0))
+    placed = stored(sizes.select("slab", "small", F.when(F.col("small"), F.floor(begun / TILE_ROWS)).otherwise(begun).cast("int").alias("first")), "rtree-sizes")
+    shared = placed.filter("small").agg(F.coalesce(F.max("first") + 1, F.lit(0))).head()[0]
+    numbered = found.join(placed, "slab").withColumn("tile", F.when(F.col("small"), F.col("first")).otherwise(F.col("first") + F.col("part") + shared))
+    columns = [c.split()[0] for c in TILE_SCHEMA.split(", ")]
+    alone = numbered.filter(~F.col("small")).select(columns)
+    joined = lambda name: F.expr(f"aggregate(parts, X'', (a, p) -> concat(a, p.{name}))").alias(name)
+    parts = F.sort_array(F.collect_list(F.struct("slab", "ids", "rows", "labels", "vectors"))).alias("parts")  # less than two tiles of rows
+    together = numbered.filter("small").groupBy("tile", "dim").agg(F.sum("n").cast("int").alias("n"), parts)
+    return alone.unionByName(together.select("tile", "dim", "n", *map(joined, ("ids", "rows", "labels", "vectors"))))
 
 
 class Tile:

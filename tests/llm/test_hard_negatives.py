@@ -55,6 +55,18 @@ def test_clusters_copies_and_ties(spark, small, seed):
     assert found(spark, rows, 10) == plain(rows, 10)
 
 
+def test_small_slabs_share_tiles(spark, small, monkeypatch):
+    """More slabs than tiles: a cluster may deal out many partitions, and no tile is smaller for it."""
+    monkeypatch.setattr(hn, "SLAB_ROWS", 5)
+    rnd = random.Random(7)
+    rows = [(i, [round(rnd.uniform(-1, 1), 1) for _ in range(3)], rnd.randrange(3)) for i in range(150)]
+    df = spark.createDataFrame([(*r, 1.0, "x", 2) for r in rows], SCHEMA)
+    vectors = hn.stored(hn.quantised(df), "test-vectors")
+    tiles = hn.index(vectors, hn.shape_of(vectors)).select("tile", "n").collect()
+    assert sum(t.n for t in tiles) == 150 and sorted(t.tile for t in tiles) == list(range(len(tiles))) and len(tiles) <= 12
+    assert found(spark, rows, 10) == plain(rows, 10)
+
+
 def test_negative_scores_nulls_and_lengths(spark, small):
     rnd = random.Random(4)
     rows = [(i, [rnd.uniform(-1, 1) for _ in range(3)], rnd.randrange(2)) for i in range(60)]
