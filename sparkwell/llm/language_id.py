@@ -27,7 +27,9 @@ CELLS = 1 << 16
 #: Partitions that count trigrams; each returns one table for each language.
 COUNTERS = 8
 SMOOTHING = 0.05
-ROUNDS, SET_ROUNDS, MAX_SET = 12, 5, 4
+ROUNDS, SET_ROUNDS = 12, 5
+#: Sets of up to so many languages are all tried; larger ones as long as the last language paid.
+TRIED_SETS = 4
 #: Log-likelihood that a further language must add, for each unit of log(words).
 PENALTY = 1.5
 UNKNOWN = "und"
@@ -129,12 +131,17 @@ def infer(docs: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray, np.n
     share, _ = _estimate(np.full((len(docs), k), 1 / k), like, letters, ROUNDS)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, value = np.zeros_like(share), np.full(len(docs), -np.inf)
-    for size in range(1, min(MAX_SET, k) + 1):
+    going = np.ones(len(docs), bool)
+    for size in range(1, k + 1):
+        if not going.any():
+            break
         held = np.where(rank < size, np.maximum(share, 1e-6), 0)
         found, total = _estimate(held / held.sum(axis=1, keepdims=True), like, letters, SET_ROUNDS if size > 1 else 0)
         total = total - PENALTY * (size - 1) * np.log(np.maximum(letters.count, 2))
-        better = total > value + 1e-9
+        better = going & (total > value + 1e-9)
         best[better], value[better] = found[better], total[better]
+        if size >= TRIED_SETS:
+            going = better
     sums = np.zeros((len(docs), k))
     busy = np.flatnonzero(letters.count)
     sums[busy] = np.add.reduceat(np.log(like), letters.first[:-1][busy], axis=0)

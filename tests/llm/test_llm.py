@@ -154,6 +154,17 @@ def test_languages(spark, sf_dir, odd, none):
     assert not language_id.learn(none, F.lit(True)).languages
 
 
+def test_mixture_of_more_languages_than_are_always_tried(spark):
+    """Seven languages with letters of their own: sets grow as long as a language pays."""
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx", "yz\u00e4\u00f6"]
+    text = lambda own, n, seed: " ".join("".join(random.Random(f"{seed}-{i}").choices(own, k=5)) for i in range(n))
+    rows = [(10 * k + i, text(own, 80, f"{k}{i}"), f"l{k}") for k, own in enumerate(letters) for i in range(6)]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    mixed = [" ".join(text(own, 60, f"m{k}") for k, own in enumerate(letters[:n])).encode() for n in (1, 3, 6, 7)]
+    share, _, _ = language_id.infer(mixed, model)
+    assert [int((s > 0.5 / 7).sum()) for s in share] == [1, 3, 6, 7]
+
+
 def test_mixture_of_two_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language_id.learn(docs, F.lit(True))
