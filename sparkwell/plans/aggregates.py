@@ -1,7 +1,9 @@
 """Grouped and global aggregates."""
 
+from sparkwell.operators.revenue import RevenueStore
 from sparkwell.operators.rollups import hourly_revenue, merge_partials, partial_sums
 from sparkwell.plans.common import F, Tables, big, col, day, lit, net, query, rows, when
+from sparkwell.session import shared_path
 
 
 @query(
@@ -219,6 +221,39 @@ def avg_revenue(t: Tables):
     return hourly.groupBy("hour").agg(F.round(F.avg("revenue"), 6).alias("avg_revenue"))
 
 
+def revenue_store(t: Tables):
+    """The store after three runs of its load: two rounds of day files, and one that finds nothing new."""
+    root = shared_path(t.spark, "revenue")
+    trips = t.events.select(
+        col("ts").cast("timestamp").alias("tpep_pickup_datetime"), col("user_id").cast("int").alias("PULocationID"), col("value").alias("total_amount")
+    )
+    store = RevenueStore(t.spark, f"{root}/store")
+    for part in (F.day("tpep_pickup_datetime") <= 15, F.day("tpep_pickup_datetime") > 15):
+        trips.filter(part).write.mode("append").parquet(f"{root}/landing")
+        store.run_etl(f"{root}/landing")
+    if store.run_etl(f"{root}/landing"):
+        raise AssertionError("a run without new files must change nothing")
+    return store
+
+
+@query("run_etl", "SELECT CAST(ts AS DATE) AS day, hour(ts) AS hour, round(SUM(value), 2) AS revenue, COUNT(value) AS trips FROM events GROUP BY 1, 2")
+def run_etl(t: Tables):
+    """What the incremental load keeps: a row for each date and hour."""
+    return revenue_store(t).hourly.read().select("day", "hour", F.round("total", 2).alias("revenue"), col("n").alias("trips"))
+
+
+@query(
+    "stored_revenue",
+    """SELECT CAST(h AS BIGINT) AS hour, COALESCE(round(SUM(CASE WHEN day = DATE '2024-01-15' THEN revenue END), 2), 0.0) AS total_revenue, COALESCE(round(AVG(revenue), 6), 0.0) AS avg_revenue
+       FROM range(24) s(h) LEFT JOIN (SELECT CAST(ts AS DATE) AS day, hour(ts) AS hour, SUM(value) AS revenue FROM events GROUP BY 1, 2) ON hour = h GROUP BY 1""",
+)
+def stored_revenue(t: Tables, on: str = "2024-01-15"):
+    """Both stored answers for each hour of the day: the revenue of one date, and the mean over all dates."""
+    store = revenue_store(t)
+    answers = [(h, store.total_revenue(on, h), round(store.avg_revenue(h), 6)) for h in range(24)]
+    return t.spark.createDataFrame(answers, "hour BIGINT, total_revenue DOUBLE, avg_revenue DOUBLE")
+
+
 @query(
     "revenue_day_hour_zone",
     """SELECT CAST(ts AS DATE) AS day, hour(ts) AS hour, user_id AS zone, round(SUM(value), 2) AS revenue,

@@ -15,8 +15,8 @@ def snapshots(t: Tables):
 ITEMS_SQL = """(SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice, ROW_NUMBER() OVER (PARTITION BY l_orderkey
    ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos FROM lineitem)"""
 
-DOCS_SQL = f"""(SELECT o_orderkey AS order_id, (pos - 1) // 1000 AS page, c_custkey, c_name, c_mktsegment AS segment, o_orderstatus AS status, o_orderdate,
-   COUNT(*) AS n_items, SUM(l_extendedprice) AS amount, MAX(l_quantity) AS top_qty, list(l_partkey) AS parts FROM {ITEMS_SQL}
+DOCS_SQL = """(SELECT o_orderkey AS order_id, c_custkey, c_name, c_mktsegment AS segment, o_orderstatus AS status, o_orderdate,
+   COUNT(*) AS n_items, SUM(l_extendedprice) AS amount, MAX(l_quantity) AS top_qty, list(l_partkey) AS parts FROM lineitem
    JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
