@@ -216,14 +216,24 @@ def pagerank(nodes: DataFrame, edges: DataFrame, rounds: int = 10, damping: floa
     return ranks
 
 
+#: Parts in which the links of one node are dealt out.
+SALTS = 64
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Link neighbours to the smallest node of a neighbourhood: the larger ones (large star) or the smaller ones."""
+    """Link neighbours to the smallest node of a neighbourhood: the larger ones (large star) or the smaller ones.
+
+    The links of a node are dealt out by (node, salt), so that the centre of a star is no single task; a node
+    has a row for each salt it has links in, and these are combined a second time.
+    """
     sides = links if large else links.filter("v <= u")
-    least = sides.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("low", "u"))
-    pairs = sides.join(least, "u")
+    sides = sides.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = sides.groupBy("u", "salt").agg(F.min("v").alias("low"))
+    whole = parts.groupBy("u").agg(F.collect_list("salt").alias("salts"), F.least(F.min("low"), "u").alias("low"))
+    pairs = sides.join(whole.select("u", "low", F.explode("salts").alias("salt")), ["u", "salt"])
     if large:
         return pairs.filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v")
-    own = least.select("u", F.col("low").alias("v"))
+    own = whole.select("u", F.col("low").alias("v"))
     return pairs.select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(own).filter("u <> v").distinct()
 
 
