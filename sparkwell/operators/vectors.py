@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,12 @@ def _matrix(queries: Queries) -> tuple[np.ndarray, np.ndarray]:
     return ids, m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def _best(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``k`` smallest values of each row, with all that equal the last."""
+    cut = np.partition(dist, k - 1, axis=1)[:, k - 1 : k] if dist.shape[1] > k else np.inf
+    return np.nonzero(dist <= cut)
+
+
 def nearest(base: DataFrame, key: str, vector: str, queries: Queries, k: int) -> DataFrame:
     """(query_id, key, distance, place): the k smallest cosine distances per query.
 
@@ -58,11 +65,8 @@ def nearest(base: DataFrame, key: str, vector: str, queries: Queries, k: int) ->
             norm = np.linalg.norm(x, axis=1)
             keys, x, norm = pdf[key].to_numpy()[norm > 0], x[norm > 0], norm[norm > 0]
             dist = np.round(1.0 - (x @ m.T) / norm[:, None], 9)
-            for j, q in enumerate(ids):
-                d = dist[:, j]
-                cut = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-                near = d <= cut
-                yield pd.DataFrame({"query_id": q, key: keys[near], "distance": d[near]})
+            q, row = _best(dist.T, k)
+            yield pd.DataFrame({"query_id": ids[q], key: keys[row], "distance": dist[row, q]})
 
     scored = base.select(key, vector).mapInPandas(score, f"query_id BIGINT, {key} BIGINT, distance DOUBLE")
     return top_per_group(scored, ["query_id"], [("distance", "asc"), (key, "asc")], k, "place")
@@ -77,14 +81,18 @@ class Cells:
 
     def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
         """(rows, n) cells by similarity, nearest first."""
-        return np.argsort(-(x @ self.centres.T), axis=1, kind="stable")[:, :n]
+        near = x @ self.centres.T
+        return np.argmax(near, axis=1)[:, None] if n == 1 else np.argsort(-near, axis=1, kind="stable")[:, :n]
 
 
 #: Rows that centres and probes are fitted on; their neighbours among each other tell how many probes a recall takes.
 FIT_ROWS, FIT_QUERIES, FIT_ROUNDS = 4096, 256, 8
-ROWS_PER_CELL = 64
-#: Rows of one part of a cell: a cell of copies is many parts.
-PART_ROWS = 50_000
+#: Rows of the sample for each cell at the least, and cells that are tried at the most.
+ROWS_PER_CELL, MOST_CELLS = 16, 1024
+#: Rows of one part of a cell: a cell of copies is many parts; and queries of one part, and of one matrix product.
+PART_ROWS, PART_QUERIES, BLOCK_QUERIES = 50_000, 20_000, 128
+#: Rows that could be compared in the time it takes to send a query to one more cell.
+PROBE_ROWS = 64
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -93,14 +101,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x[norm > 0] / norm[norm > 0, None]
 
 
-def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95) -> Cells:
-    """Centres by k-means over at most FIT_ROWS rows, picked by hash of the key, and the least probes that reach ``recall`` on them.
-
-    The fit decides where rows lie and how much is searched; every row is indexed.
-    """
-    picked = base.filter(F.col(vector).isNotNull()).select(key, vector).orderBy(F.xxhash64(key), key).limit(FIT_ROWS).collect()
-    x = _unit(np.array([r[1] for r in picked], dtype="float64").reshape(len(picked), -1)) if picked else np.zeros((0, 1))
-    n = max(1, len(x) // ROWS_PER_CELL)
+def _centres(x: np.ndarray, n: int) -> np.ndarray:
+    """``n`` centres by k-means."""
     centres = x[:n].copy()
     for _ in range(FIT_ROUNDS):
         cell = np.argmax(x @ centres.T, axis=1) if len(x) else np.zeros(0, int)
@@ -108,17 +110,37 @@ def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.
         np.add.at(sums, cell, x)
         norm = np.linalg.norm(sums, axis=1)
         centres[norm > 0] = sums[norm > 0] / norm[norm > 0, None]
+    return centres
+
+
+def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95) -> Cells:
+    """Centres by k-means over at most FIT_ROWS rows, picked by hash of the key, and the least probes that reach ``recall`` on them.
+
+    The number of cells is doubled up to about the square root of the counted rows; that which leaves a query
+    the fewest rows to meet is taken. The fit decides where rows lie and how much is searched; every row is indexed.
+    """
+    given = base.filter(F.col(vector).isNotNull())
+    count = given.count()
+    wanted = int(min(FIT_ROWS, max(count, 1)))
+    picked = given.select(key, vector).orderBy(F.xxhash64(key), key).limit(wanted).collect()
+    x = _unit(np.array([r[1] for r in picked], dtype="float64").reshape(len(picked), -1)) if picked else np.zeros((0, 1))
     if not len(x):
-        return Cells(centres, 1)
-    cells = Cells(centres, n)
+        return Cells(x[:1], 1)
     asked = x[:FIT_QUERIES]
     near = np.argsort(-(asked @ x.T), axis=1, kind="stable")[:, 1 : k + 1]
-    order = cells.nearest(asked, n)
-    home = cells.nearest(x, 1)[:, 0]
-    # the place, in a query's order of cells, of the cell of each of its neighbours
-    place = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], home[near]]
-    reached = [(place < probes).mean() if place.size else 1.0 for probes in range(1, n + 1)]
-    return Cells(centres, 1 + int(np.argmax(np.array(reached) >= recall)))
+    most = max(1, min(MOST_CELLS, len(x) // ROWS_PER_CELL, max(len(x) // 64, round(count**0.5))))
+    best, least = None, np.inf
+    for n in sorted({max(1, most >> i) for i in range(4)}):
+        cells = Cells(_centres(x, n), n)
+        order, home = cells.nearest(asked, n), cells.nearest(x, 1)[:, 0]
+        # the place, in a query's order of cells, of the cell of each of its neighbours
+        place = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], home[near]]
+        reached = np.array([(place < probes).mean() if place.size else 1.0 for probes in range(1, n + 1)])
+        probes = 1 + int(np.argmax(reached >= recall))
+        cost = probes * (count / n + PROBE_ROWS) + n
+        if cost < least:
+            best, least = Cells(cells.centres, probes), cost
+    return best
 
 
 def _with_cells(rows: DataFrame, key: str, vector: str, cells: Cells, n: int) -> DataFrame:
@@ -149,12 +171,50 @@ class CellIndex:
         self.rows = rows.join(F.broadcast(self.parts), "cell").select("cell", part, F.col(key), "v")
 
     def search(self, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-        """(query_id, key, distance, place): the k nearest rows of the probed cells, for each row of a table of queries."""
+        """(query_id, key, distance, place): the k nearest rows of the probed cells, for each row of a table of queries.
+
+        The queries of a cell meet a part of its rows as matrix products, and each hands on the k best of the part (ties included).
+        Cells of very many queries are dealt over tasks by query too.
+        """
         asked = _with_cells(queries, key, vector, self.cells, self.cells.probes).select(F.col(key).alias("query_id"), F.col("v").alias("q"), F.explode("cells").alias("cell"))
-        probes = asked.join(F.broadcast(self.parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        met = probes.join(self.rows, ["cell", "part"])
-        distance = F.round(1 - dot(F.col("q"), F.col("v")), 9).alias("distance")
-        return top_per_group(met.select("query_id", self.key, distance), ["query_id"], [("distance", "asc"), (self.key, "asc")], k, "place")
+        asked = cut_lineage(asked, "probes")
+        blocks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("blocks"))
+        dealt = F.broadcast(cut_lineage(self.parts.join(blocks, "cell"), "cell-blocks"))  # one row for each centre
+        block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+        probes = asked.join(dealt, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block, "query_id", "q")
+        rows = self.rows.join(dealt.select("cell", "blocks"), "cell").select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), self.key, "v")
+        name = self.key
+        schema = f"query_id BIGINT, {name} BIGINT, distance DOUBLE"
+
+        def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+            out = [pa.table({"query_id": pa.array([], pa.int64()), name: pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})]
+            if left.num_rows and right.num_rows:
+                ids, m = left["query_id"].to_numpy(), _stack(left["q"])
+                keys, x = right[name].to_numpy(), _stack(right["v"])
+                for at in range(0, len(ids), BLOCK_QUERIES):
+                    dist = np.round(1.0 - m[at : at + BLOCK_QUERIES] @ x.T, 9)
+                    q, row = _first(dist, keys, k)
+                    out.append(pa.table({"query_id": ids[at + q], name: keys[row], "distance": dist[q, row]}))
+            return pa.concat_tables(out)
+
+        by = ["cell", "part", "block"]
+        met = probes.groupBy(*by).cogroup(rows.groupBy(*by)).applyInArrow(meet, schema)
+        return top_per_group(met, ["query_id"], [("distance", "asc"), (name, "asc")], k, "place")
+
+
+def _stack(vectors: pa.ChunkedArray) -> np.ndarray:
+    """(rows, dims) of a column of vectors of one length."""
+    flat = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1)
+
+
+def _first(dist: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``k`` smallest values of each row, of equal ones those of least key."""
+    q, at = _best(dist, k)
+    order = np.lexsort((keys[at], dist[q, at], q))
+    q, at = q[order], at[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    return q[place < k], at[place < k]
 
 
 def recall_of(found: DataFrame, base: DataFrame, queries: DataFrame, key: str, vector: str, k: int, asked: int = 200) -> DataFrame:
