@@ -285,6 +285,10 @@ def month_of(time: str):
     return F.date_format(time, "yyyy-MM").alias("name")
 
 
+#: Counted rows (a key and a borough) up to which the sellers travel to the lines.
+BROADCAST_SELLERS = 1_000_000
+
+
 def ride_months(t: Tables):
     """Trips with the boroughs of both ends, and the month that publishes them."""
     def region(df, key, name):
@@ -292,9 +296,12 @@ def ride_months(t: Tables):
 
     buyers = region(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", "pickup_borough")
     sellers = region(t.supplier.select("s_suppkey", "s_nationkey"), "s_nationkey", "dropoff_borough")
-    # a trip without an order, customer or supplier has no borough and still counts elsewhere
-    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), col("l_orderkey") == col("o_orderkey"), "left")
-    lines = lines.join(buyers, col("o_custkey") == col("c_custkey"), "left").join(sellers, col("l_suppkey") == col("s_suppkey"), "left")
+    # a trip without an order, customer or supplier has no borough and still counts elsewhere; the orders meet their buyers first, so
+    # that the wide lines are shuffled once for both
+    orders = t.orders.select("o_orderkey", "o_custkey").join(buyers, col("o_custkey") == col("c_custkey"), "left").select("o_orderkey", "pickup_borough")
+    sellers = F.broadcast(sellers) if t.supplier.count() <= BROADCAST_SELLERS else sellers
+    lines = t.lineitem.join(sellers, col("l_suppkey") == col("s_suppkey"), "left")
+    lines = lines.join(orders, col("l_orderkey") == col("o_orderkey"), "left")
     return lines.select(
         (col("l_suppkey") % 10).alias("pickup_zone"), (col("l_partkey") % 10).alias("dropoff_zone"), col("pickup_borough").cast("int"),
         col("dropoff_borough").cast("int"), big(col("l_linenumber")).alias("hour_of_day"), big(F.dayofweek("l_shipdate")).alias("day_of_week"),
