@@ -294,6 +294,10 @@ def label_propagation(nodes: DataFrame, edges: DataFrame, rounds: int = 5) -> Da
     return labels
 
 
+#: Rows of the incidence table that one task pairs up.
+MEMBERS_PER_TASK = 500_000
+
+
 def copurchase_edges(lines: DataFrame, order: str, item: str, block: int = 100) -> DataFrame:
     """(a, b, weight), a < b: how many orders hold both items, whatever the size of an order.
 
@@ -308,6 +312,9 @@ def copurchase_edges(lines: DataFrame, order: str, item: str, block: int = 100)
     sized = cut_lineage(sized.withColumn("k", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int")), "blocks")
     before = sized.select("o", F.col("i").alias("a"), F.col("k").alias("ka"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("kb"))
     after = sized.select("o", F.col("i").alias("b"), F.col("k").alias("kb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("ka"))
+    # by counted rows, not by the number of cores: what a task pairs up does not grow with the input
+    tasks = max(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sized.count() // MEMBERS_PER_TASK))
+    before, after = (side.repartition(tasks, "o", "ka", "kb") for side in (before, after))
     return before.join(after, ["o", "ka", "kb"]).filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight"))
 
 
