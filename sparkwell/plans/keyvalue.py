@@ -5,7 +5,7 @@ from sparkwell.operators import sketches
 from sparkwell.operators.ordered import latest_per_key, top_per_group, with_group_stats, with_row_number
 from sparkwell.operators.stock import admit_orders
 from sparkwell.plans.common import F, Tables, big, col, day, lit, query, rows, when
-from sparkwell.session import shared_path
+from sparkwell.session import cut_lineage, shared_path
 
 
 @query(
@@ -56,6 +56,7 @@ def order_admission(t: Tables):
         col("o_orderkey").alias("order_id"), col("o_orderdate").alias("arrival"), col("l_partkey").alias("product_id"),
         big(col("l_quantity")).alias("quantity"),
     )
+    lines = cut_lineage(lines, "admission-lines")
     stock = t.part.select(col("p_partkey").alias("product_id"), big(col("p_size") * 30).alias("stock"))
     price = t.part.select(col("p_partkey").alias("product_id"), "p_retailprice")
     totals = lines.join(price, "product_id").groupBy("order_id").agg(F.round(F.sum(col("quantity") * col("p_retailprice")), 2).alias("total"))
