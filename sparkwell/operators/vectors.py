@@ -87,8 +87,8 @@ class Cells:
 
 #: Rows that centres and probes are fitted on; their neighbours among each other tell how many probes a recall takes.
 FIT_ROWS, FIT_QUERIES, FIT_ROUNDS = 4096, 256, 8
-#: Rows of the sample for each cell at the least, and cells that are tried at the most.
-ROWS_PER_CELL, MOST_CELLS = 16, 1024
+#: Rows of the sample for each cell; where the table is larger than the sample: at the least, and cells that are tried at the most.
+ROWS_PER_CELL, FIT_PER_CELL, MOST_CELLS = 64, 16, 1024
 #: Rows of one part of a cell: a cell of copies is many parts; and queries of one part, and of one matrix product.
 PART_ROWS, PART_QUERIES, BLOCK_QUERIES = 50_000, 20_000, 128
 #: Rows that could be compared in the time it takes to send a query to one more cell.
@@ -116,7 +116,7 @@ def _centres(x: np.ndarray, n: int) -> np.ndarray:
 def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95) -> Cells:
     """Centres by k-means over at most FIT_ROWS rows, picked by hash of the key, and the least probes that reach ``recall`` on them.
 
-    The number of cells is doubled up to about the square root of the counted rows; that which leaves a query
+    Of a table of more rows than that, the number of cells is doubled up to the square root of the counted rows; that which leaves a query
     the fewest rows to meet is taken. The fit decides where rows lie and how much is searched; every row is indexed.
     """
     given = base.filter(F.col(vector).isNotNull())
@@ -128,9 +128,11 @@ def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.
         return Cells(x[:1], 1)
     asked = x[:FIT_QUERIES]
     near = np.argsort(-(asked @ x.T), axis=1, kind="stable")[:, 1 : k + 1]
-    most = max(1, min(MOST_CELLS, len(x) // ROWS_PER_CELL, max(len(x) // 64, round(count**0.5))))
+    sizes = [max(1, len(x) // ROWS_PER_CELL)]
+    while count > FIT_ROWS and 2 * sizes[-1] <= min(MOST_CELLS, len(x) // FIT_PER_CELL, round(count**0.5)):
+        sizes.append(2 * sizes[-1])
     best, least = None, np.inf
-    for n in sorted({max(1, most >> i) for i in range(4)}):
+    for n in sizes:
         cells = Cells(_centres(x, n), n)
         order, home = cells.nearest(asked, n), cells.nearest(x, 1)[:, 0]
         # the place, in a query's order of cells, of the cell of each of its neighbours

@@ -14,7 +14,7 @@ from sparkwell.tables import Tables
 def test_more_rows_get_more_cells(spark):
     rnd = np.random.default_rng(4)
     centres = rnd.normal(size=(200, 16))
-    rows = [(i, (centres[i % 200] + rnd.normal(size=16) * 0.1).tolist()) for i in range(12_000)]
+    rows = [(i, (centres[i % 200] + rnd.normal(size=16) * 0.1).tolist()) for i in range(20_000)]
     base = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     cells = vectors.fit_cells(base, "vec_id", "embedding", 5)
     assert len(cells.centres) > vectors.FIT_ROWS // 64 and cells.probes <= len(cells.centres) / 4
