@@ -17,6 +17,9 @@ from sparkwell.llm.packing import pack
 from sparkwell.llm.secret_scan import redact
 from sparkwell.llm.tokens import tokenizer_path
 
+#: Chunks of text whose ids a worker keeps: it also holds what the stages before have left there, so fewer than in a query of its own.
+CACHED_CHUNKS = 1 << 16
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found go."""
@@ -40,7 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 2048, sources mixed as they stand in the input."""
-    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"), cached=CACHED_CHUNKS)
 
 
 STAGES = [

@@ -49,7 +49,7 @@ def directory(entries: DataFrame, capacity: int = CAPACITY, cell_bits: int = CEL
     """
     spark = entries.sparkSession
     found = None
-    full = spark.createDataFrame([(0, 0)], "depth int, prefix bigint")
+    full = spark.range(1, numPartitions=1).select(F.lit(0).alias("depth"), F.col("id").alias("prefix"))
     base = 0
     while base < 64:
         deep = min(base + cell_bits, 64)

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkwell.llm.common import small_side, stored
+from sparkwell.llm.common import local_table, small_side, stored
 from sparkwell.llm.text import slices
-from sparkwell.llm.tokens import END_ID, encoder, groups
+from sparkwell.llm.tokens import CACHED_CHUNKS, END_ID, encoder, groups
 
 LENGTH = 2048
 QUANTUM = 256
@@ -40,21 +40,21 @@ ROWS = "part int, source string, doc_id bigint, before bigint, n bigint, ids bin
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def _tokenise(path: str):
+def _tokenise(path: str, cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, served = TaskContext.get().partitionId(), {}
         end = END_ID.to_bytes(4, "little")
         for batch in slices(batches):
             ids, texts, sources = (c.to_pylist() for c in batch.columns)
             for begin, stop in groups(texts):
-                found = [x + end for x in encoder(path).encode(texts[begin:stop])]
+                found = [x + end for x in encoder(path, cached).encode(texts[begin:stop])]
                 before = []
                 for source, x in zip(sources[begin:stop], found):
                     before.append(served.get(source, 0))
                     served[source] = before[-1] + len(x) // 4
                 n = [len(x) // 4 for x in found]
                 # 16 bits an id where the vocabulary allows it; the reader sees the width by the length
-                small = encoder(path).tokenizer.get_vocab_size() <= 1 << 16
+                small = encoder(path, cached).tokenizer.get_vocab_size() <= 1 << 16
                 short = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in found] if small else found
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(n), pa.int32()), pa.array(sources[begin:stop], pa.string()), pa.array(ids[begin:stop], pa.int64()),
@@ -164,30 +164,31 @@ def _pieces(schedule: Schedule):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, targets: dict[str | None, float] | None = None, quantum: int = QUANTUM) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, targets: dict[str | None, float] | None = None, quantum: int = QUANTUM, cached: int = CACHED_CHUNKS) -> DataFrame:
     """Pieces of all texts of ``docs`` (doc_id, text, source) in sequences of at most 2048 ids.
 
     ``targets`` are weights of sources; without them sources are mixed as they stand in the
     input, and without a weight a source has its share of the input. Every source named has a queue
     of its own; a name that is not in the input is refused. When a queue is empty the others
     go on in their proportions. Null text is empty and has the end id only; a null source is a
-    source of its own; repeated rows are packed each. An empty table gives no piece.
+    source of its own; repeated rows are packed each. An empty table gives no piece. ``cached`` chunks
+    of text and at most as many older ones stay in a worker's memory; fewer take more time.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.col("source").cast("string"))
-    ids = stored(rows.mapInArrow(_tokenise(tokenizer), ROWS), "ids", "zstd")
+    ids = stored(rows.mapInArrow(_tokenise(tokenizer, cached), ROWS), "ids", "zstd")
     held = stored(ids.groupBy("part", "source").agg(F.sum("n").alias("n")), "held")
     by_source = held.groupBy("source").agg(F.sum("n").alias("n"))
     largest = by_source.orderBy(F.desc("n"), "source").limit(OWN_QUEUES).select("source").collect()
     names = {r["source"]: i for i, r in enumerate(largest)}  # at most OWN_QUEUES names, and the targets
     named = [s for s in targets or {} if s not in names]
     if named:
-        wanted = F.broadcast(spark.createDataFrame([(s,) for s in named], "name string"))
+        wanted = F.broadcast(local_table(spark, name=pa.array(named, pa.string())))
         found = {r["name"] for r in by_source.join(wanted, F.col("source").eqNullSafe(F.col("name"))).select("name").collect()}
         if unknown := [s for s in named if s not in found]:
             raise ValueError(f"targets of sources that are not in the input: {unknown}")
         names |= {s: OWN_QUEUES + SHARED + i for i, s in enumerate(named)}
-    own = spark.createDataFrame([(s, i) for s, i in names.items()], "name string, own int")
+    own = local_table(spark, name=pa.array(names, pa.string()), own=pa.array(names.values(), pa.int32()))
     shared = F.lit(OWN_QUEUES) + (F.crc32(F.coalesce("source", F.lit(""))) % SHARED).cast("int")
     held = held.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("name")), "left").select("part", "source", "n", F.coalesce("own", shared).alias("queue"))
     start = F.sum("n").over(Window.partitionBy("queue").orderBy("part", "source")) - F.col("n")

@@ -9,6 +9,7 @@ Python work per word. Blocks bound the memory: a block closes once it holds
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,6 +25,8 @@ _CODES[65:91] = _CODES[97:123]  # lower-cases A-Z
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
+#: Only glibc has it; other C libraries return freed memory by themselves.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -103,7 +106,14 @@ def slices(batches, rows: int = 256):
         for begin in range(0, batch.num_rows, rows):
             yield batch.take(pa.array(np.arange(begin, min(begin + rows, batch.num_rows))))
         del batch
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: of Arrow's pool, and of the C heap that numpy and the tokenizers use."""
     pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def as_bytes(column) -> list[bytes]:

@@ -101,9 +101,10 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str, cached: int = CACHED_CHUNKS) -> Encoder:
-    """One encoder for each vocabulary and Python worker, so that tasks share its cache."""
+    """One encoder for each vocabulary and Python worker, so that tasks share its cache; the last caller's bound holds."""
     if path not in _encoders:
         _encoders[path] = Encoder(path, cached)
+    _encoders[path].cached = cached
     return _encoders[path]
 
 
