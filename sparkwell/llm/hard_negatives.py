@@ -79,6 +79,7 @@ class Shape:
     n: int
     order: list[int]  # coordinates by variance, largest first
     exact: bool  # whether inner products are exact in doubles
+    kind: str  # the shortest integers that hold every component
 
     @property
     def dim(self) -> int:
@@ -93,7 +94,14 @@ def shape_of(vectors: DataFrame) -> Shape:
     if sum(r["most"] ** 2 for r in found) >= 2**55:
         raise ArithmeticError("inner products of these vectors and their hundredfold may not fit a long")
     variance = {r["c"]: r["s2"] / n - (r["s"] / n) ** 2 for r in found}
-    return Shape(n, sorted(variance, key=lambda c: (-variance[c], c)), sum(r["most"] ** 2 for r in found) < 2**52)
+    most = max((r["most"] for r in found), default=0)
+    kind = "i2" if most < 2**15 else "i4"  # larger ones were refused
+    return Shape(n, sorted(variance, key=lambda c: (-variance[c], c)), sum(r["most"] ** 2 for r in found) < 2**52, kind)
+
+
+def _components(raw: bytes, rows: int, dim: int) -> np.ndarray:
+    """(rows, dim) of stored vectors; their length tells how long an integer is."""
+    return np.frombuffer(raw, f"i{len(raw) // (rows * dim)}").reshape(rows, dim) if raw else np.zeros((rows, dim), np.int64)
 
 
 def _packed(v: np.ndarray, ids: np.ndarray, order: list[int]) -> np.ndarray:
@@ -126,7 +134,7 @@ def _tiles(shape: Shape):
             at = order[begin : begin + TILE_ROWS]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([first], pa.int32()), pa.array([i], pa.int32()), pa.array([shape.dim], pa.int32()), pa.array([len(at)], pa.int32())]
-                + [pa.array([x[at].tobytes()], pa.binary()) for x in (ids, keys, labels, v)],
+                + [pa.array([x[at].tobytes()], pa.binary()) for x in (ids, keys, labels, v.astype(shape.kind))],
                 names=["slab", "part", "dim", "n", "ids", "rows", "labels", "vectors"],
             )
 
@@ -146,7 +154,7 @@ def index(vectors: DataFrame, shape: Shape) -> DataFrame:
     begun = F.coalesce(F.sum(F.when(F.col("small"), F.col("size")).otherwise(F.col("most") + 1)).over(before), F.lit(0))
     placed = stored(sizes.select("slab", "small", F.when(F.col("small"), F.floor(begun / TILE_ROWS)).otherwise(begun).cast("int").alias("first")), "rtree-sizes")
     shared = placed.filter("small").agg(F.coalesce(F.max("first") + 1, F.lit(0))).head()[0]
-    numbered = found.join(placed, "slab").withColumn("tile", F.when(F.col("small"), F.col("first")).otherwise(F.col("first") + F.col("part") + shared))
+    numbered = found.join(F.broadcast(placed), "slab").withColumn("tile", F.when(F.col("small"), F.col("first")).otherwise(F.col("first") + F.col("part") + shared))
     columns = [c.split()[0] for c in TILE_SCHEMA.split(", ")]
     alone = numbered.filter(~F.col("small")).select(columns)
     joined = lambda name: F.expr(f"aggregate(parts, X'', (a, p) -> concat(a, p.{name}))").alias(name)
@@ -161,8 +169,8 @@ class Tile:
     def __init__(self, row: dict, exact: bool):
         one = lambda name: np.frombuffer(row[name], np.int64)
         self.ids, self.rows, self.labels = one("ids"), one("rows"), one("labels")
-        v = one("vectors").reshape(row["n"], row["dim"])
-        self.v = v.astype(np.float64) if exact else v
+        v = _components(row["vectors"], row["n"], row["dim"])
+        self.v = v.astype(np.float64 if exact else np.int64)
         leaf = np.arange(0, len(self.v), LEAF)
         self.leaves = self._boxes(self.v, self.v, self.ids, leaf)
         self.nodes = self._boxes(*self.leaves, np.arange(0, len(leaf), FAN))
@@ -253,11 +261,11 @@ def _search_units(exact: bool, same: bool):
                 mine = {label: tile.labels == label for label in {a["label"] for a in row["anchors"]}}
                 hits = []
                 for a in row["anchors"]:
-                    q = np.frombuffer(a["v"], np.int64)
+                    q = _components(a["v"], 1, row["dim"])[0]
                     allowed = mine[a["label"]] & (tile.rows != a["row"]) if same else ~mine[a["label"]]
                     # a window starts with what must be reached, known from the own tile
                     windows = [Wanted(w["wanted"], w["least"], w["most"], w["k"], []) for w in a["windows"]]
-                    search(tile, q.astype(np.float64) if exact else q, windows, allowed)
+                    search(tile, q.astype(np.float64 if exact else np.int64), windows, allowed)
                     hits += [(a["row"], w.wanted, s, -i, -r) for w in windows for s, i, r in w.found]
                 columns = list(zip(*hits)) if hits else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["anchor", "wanted", "score", "vec_id", "row"])
@@ -270,7 +278,7 @@ def _anchor_rows(every: int):
         for batch in batches:
             for unit in range(batch.num_rows):
                 ids, rows, labels = (np.frombuffer(batch.column(x)[unit].as_py(), np.int64) for x in ("ids", "rows", "labels"))
-                v = np.frombuffer(batch.column("vectors")[unit].as_py(), np.int64).reshape(len(ids), -1)
+                v = _components(batch.column("vectors")[unit].as_py(), len(ids), batch.column("dim")[unit].as_py())
                 at = np.flatnonzero((ids % every == 0) & (ids != _NEVER))
                 tiles = np.full(len(at), batch.column("tile")[unit].as_py(), np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -281,6 +289,12 @@ def _anchor_rows(every: int):
     return run
 
 
+def _shuffled(one: DataFrame, other: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that never gathers a side in the driver. The planner would, by the size of files of packed vectors or of a list before it is
+    dealt out to every tile, and what it sends grows with anchors times tiles."""
+    return one.join(other.hint("merge"), on, how)
+
+
 def _best(hits: DataFrame, k: int) -> DataFrame:
     """The k best rows for each wanted list, numbered from 1."""
     place = Window.partitionBy("anchor", "wanted").orderBy(F.desc("score"), "vec_id", "row")
@@ -293,7 +307,7 @@ def _find(tiles: DataFrame, anchors: DataFrame, windows: DataFrame, k: int, same
     def hits(wanted: DataFrame, other: bool) -> DataFrame:
         window = F.struct("wanted", "least", "most", F.lit(k).alias("k"))
         each = wanted.groupBy("row").agg(F.collect_list(window).alias("windows"))  # at most POSITIVES
-        ready = anchors.join(each, "row")
+        ready = _shuffled(anchors, each, "row")
         # the anchors of neighbouring tiles together; at most BLOCK_TILES * TILE_ROWS of them
         group = F.floor(F.col("home") / BLOCK_TILES) if other else F.col("home")
         blocks = ready.withColumn("block", group).groupBy("block", "home").agg(F.collect_list(F.struct("row", "label", "v", "windows")).alias("anchors"))
@@ -302,13 +316,13 @@ def _find(tiles: DataFrame, anchors: DataFrame, windows: DataFrame, k: int, same
             blocks = blocks.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(last))))
         else:
             blocks = blocks.withColumnRenamed("home", "tile")
-        units = blocks.join(tiles, "tile").select("dim", "n", "ids", "rows", "labels", "vectors", "anchors")
+        units = _shuffled(blocks, tiles, "tile").select("dim", "n", "ids", "rows", "labels", "vectors", "anchors")
         return units.mapInArrow(_search_units(exact, same), HIT_SCHEMA)
 
     near = stored(_best(hits(windows, False), k), f"rtree-home-{same}")
     # with k found at home, nothing below the kth of them can be among the k best
     kth = near.filter(F.col("rank") == k).select(F.col("anchor").alias("row"), "wanted", F.col("score").alias("kth"))
-    raised = windows.join(kth, ["row", "wanted"], "left").withColumn("least", F.greatest("least", "kth")).drop("kth")
+    raised = _shuffled(windows, kth, ["row", "wanted"], "left").withColumn("least", F.greatest("least", "kth")).drop("kth")
     return stored(_best(hits(raised, True), k), f"rtree-all-{same}")
 
 
@@ -325,7 +339,7 @@ def mine(rows: DataFrame, every: int = 50) -> DataFrame:
     exact = shape.exact
     tiles = stored(index(vectors, shape), "rtree-tiles")
     last = tiles.agg(F.max("tile")).head()[0] or 0
-    anchors = stored(tiles.select("tile", "ids", "rows", "labels", "vectors").mapInArrow(_anchor_rows(every), "home int, row bigint, vec_id bigint, label bigint, v binary"), "rtree-anchors")
+    anchors = stored(tiles.select("tile", "dim", "ids", "rows", "labels", "vectors").mapInArrow(_anchor_rows(every), "home int, row bigint, vec_id bigint, label bigint, v binary"), "rtree-anchors")
     everything = anchors.select("row", F.lit(0).cast("bigint").alias("wanted"), F.lit(-_NEVER).alias("least"), F.lit(_NEVER).alias("most"))
     positives = _find(tiles, anchors, everything, POSITIVES, True, exact, last)
     # the window of a positive depends on its score alone
@@ -333,8 +347,8 @@ def mine(rows: DataFrame, every: int = 50) -> DataFrame:
     windows = windows.withColumns({"least": _ceil_of("wanted", LEAST_PERCENT), "most": _floor_of("wanted", MOST_PERCENT)}).filter("least <= most")
     negatives = _find(tiles, anchors, windows, NEGATIVES, False, exact, last)
     lists = positives.select("anchor", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
-    found = lists.join(negatives.withColumnRenamed("wanted", "positive_score"), ["anchor", "positive_score"])
-    found = found.join(anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id")), "anchor")
+    found = _shuffled(lists, negatives.withColumnRenamed("wanted", "positive_score"), ["anchor", "positive_score"])
+    found = _shuffled(found, anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id")), "anchor")
     nothing = lambda c: F.when(F.col(c) != _NEVER, F.col(c)).alias(c)
     return found.withColumn("negative_id", F.col("vec_id")).select(
         "anchor_id", nothing("positive_id"), "rank", nothing("negative_id"), "positive_score", F.col("score").alias("negative_score")

@@ -76,6 +76,24 @@ def test_negative_scores_nulls_and_lengths(spark, small):
     assert got == plain(rows, 5) and got
 
 
+def test_no_join_gathers_anchors_or_tiles_in_the_driver(spark, small, monkeypatch):
+    """Files of packed vectors look small to the planner, and so does a list of anchors before it is dealt out to every tile."""
+    plans = {}
+
+    def noted(df, label, keep=hn.stored):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, label)
+
+    monkeypatch.setattr(hn, "stored", noted)
+    df = spark.createDataFrame([(i, [math.cos(i), math.sin(i)], i % 3, 1.0, "x", 2) for i in range(120)], SCHEMA)
+    out = hn.mine(df, 10)
+    plans["result"] = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count()
+    plans.pop("rtree-tiles")  # takes a number for each slab
+    assert sum("Join" in p for p in plans.values()) >= 5
+    assert [label for label, p in plans.items() if "Broadcast" in p] == []
+
+
 def test_repeated_rows(spark, small):
     rows = [(0, [1.0, 0.0], 1)] * 2 + [(i, [1.0 - i / 100, 0.1], i % 2) for i in range(1, 40)]
     assert found(spark, rows) == plain(rows)
