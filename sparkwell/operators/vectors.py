@@ -81,14 +81,20 @@ class Cells:
 
     def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
         """(rows, n) cells by similarity, nearest first."""
+        if len(self.centres) == 1:
+            return np.zeros((len(x), 1), int)
         near = x @ self.centres.T
         return np.argmax(near, axis=1)[:, None] if n == 1 else np.argsort(-near, axis=1, kind="stable")[:, :n]
 
 
-#: Rows that centres and probes are fitted on; their neighbours among each other tell how many probes a recall takes.
-FIT_ROWS, FIT_QUERIES, FIT_ROUNDS = 4096, 256, 8
-#: Rows of the sample for each cell; where the table is larger than the sample: at the least, and cells that are tried at the most.
-ROWS_PER_CELL, FIT_PER_CELL, MOST_CELLS = 64, 16, 1024
+#: One cell of all rows, of whatever length: its index answers exactly.
+ONE_CELL = Cells(np.zeros((1, 1)), 1)
+#: Rows of a table whose centres the driver fits, and rounds of k-means.
+FIT_ROWS, FIT_ROUNDS = 4096, 8
+#: Rows of such a table for each cell; and cells that are tried at the most on larger ones.
+ROWS_PER_CELL, MOST_CELLS = 64, 1024
+#: Sums of unit vectors are in steps of one by this many, so that they are exact in doubles and don't depend on how rows are dealt out.
+SUM_STEPS = 1 << 24
 #: Rows of one part of a cell: a cell of copies is many parts; and queries of one part, and of one matrix product.
 PART_ROWS, PART_QUERIES, BLOCK_QUERIES = 50_000, 20_000, 128
 #: Rows that could be compared in the time it takes to send a query to one more cell.
@@ -113,35 +119,113 @@ def _centres(x: np.ndarray, n: int) -> np.ndarray:
     return centres
 
 
-def fit_cells(base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95) -> Cells:
-    """Centres by k-means over at most FIT_ROWS rows, picked by hash of the key, and the least probes that reach ``recall`` on them.
+def _units(batches: Iterator[pd.DataFrame], vector: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches and their unit vectors, without the rows that have no direction."""
+    for pdf in batches:
+        if not pdf.empty:
+            x = np.stack(pdf[vector].to_numpy()).astype("float64")
+            norm = np.linalg.norm(x, axis=1)
+            if (norm > 0).any():
+                yield pdf[norm > 0], x[norm > 0] / norm[norm > 0, None]
+
+
+def _centres_of_all(given: DataFrame, vector: str, x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """Centres by k-means over every row of a table, for each number of cells, from the first of ``x``; a round is one pass for all of them."""
+    fits = [x[:n].copy() for n in sizes]
+    begin, dims = np.cumsum([0, *sizes]), x.shape[1]
 
-    Of a table of more rows than that, the number of cells is doubled up to the square root of the counted rows; that which leaves a query
-    the fewest rows to meet is taken. The fit decides where rows lie and how much is searched; every row is indexed.
+    for _ in range(FIT_ROUNDS):
+
+        def partial(batches: Iterator[pd.DataFrame], fits=fits) -> Iterator[pd.DataFrame]:
+            sums = np.zeros((begin[-1], dims))
+            met = np.zeros(begin[-1], bool)
+            for _, unit in _units(batches, vector):
+                steps = np.rint(unit * SUM_STEPS)
+                for at, centres in zip(begin, fits):
+                    cell = at + np.argmax(unit @ centres.T, axis=1)
+                    order = np.argsort(cell, kind="stable")
+                    some, first = np.unique(cell[order], return_index=True)
+                    sums[some] += np.add.reduceat(steps[order], first)
+                    met[some] = True
+            if met.any():
+                yield pd.DataFrame({"cell": np.flatnonzero(met).astype("int32"), "s": list(sums[met])})
+
+        def whole(part: pa.Table) -> pa.Table:
+            return pa.table({"cell": part["cell"][:1], "s": pa.array([_stack(part["s"]).sum(0)], pa.list_(pa.float64()))})
+
+        parts = given.select(vector).mapInPandas(partial, "cell INT, s ARRAY<DOUBLE>")
+        found = parts.groupBy("cell").applyInArrow(whole, "cell INT, s ARRAY<DOUBLE>").collect()  # one row for each centre
+        fits = [centres.copy() for centres in fits]
+        for cell, total in found:
+            i = int(np.searchsorted(begin, cell, "right")) - 1
+            norm = np.linalg.norm(total)
+            if norm > 0:
+                fits[i][cell - begin[i]] = np.array(total) / norm
+    return fits
+
+
+def _places(pairs: DataFrame, given: DataFrame, asked: DataFrame, key: str, vector: str, fits: list[np.ndarray]) -> list[np.ndarray]:
+    """For each fit, how many of the pairs (query_id, key) have the row's cell at each place of the query's order of cells."""
+
+    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, unit in _units(batches, vector):
+            yield pd.DataFrame({key: pdf[key], "homes": list(np.stack([np.argmax(unit @ c.T, axis=1) for c in fits], axis=1).astype("int32"))})
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = [np.zeros(len(c), int) for c in fits]
+        for pdf, unit in _units(batches, "q"):
+            home = np.stack(pdf["homes"].to_numpy())
+            for at in range(0, len(unit), BLOCK_QUERIES):
+                some = slice(at, at + BLOCK_QUERIES)
+                for i, c in enumerate(fits):
+                    near, own = unit[some] @ c.T, home[some, i, None]
+                    similar = np.take_along_axis(near, own, axis=1)
+                    place = ((near > similar) | ((near == similar) & (np.arange(len(c)) < own))).sum(axis=1)
+                    counts[i] += np.bincount(place, minlength=len(c))
+        for i, n in enumerate(counts):
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"fit": np.full(len(at), i, "int32"), "place": at.astype("int32"), "n": n[at]})
+
+    rows = given.select(key, vector).mapInPandas(homes, f"{key} BIGINT, homes ARRAY<INT>")
+    queries = asked.filter(F.col(vector).isNotNull()).select(F.col(key).alias("query_id"), F.col(vector).alias("q"))
+    met = pairs.select("query_id", key).join(rows.hint("merge"), key).join(queries.hint("merge"), "query_id").select("q", "homes")
+    found = met.mapInPandas(placed, "fit INT, place INT, n BIGINT").groupBy("fit", "place").agg(F.sum("n").alias("n")).collect()  # at most one row for each centre
+    out = [np.zeros(len(c), int) for c in fits]
+    for r in found:
+        out[r["fit"]][r["place"]] = r["n"]
+    return out
+
+
+def fit_cells(
+    base: DataFrame, key: str, vector: str, k: int, recall: float = 0.95, queries: DataFrame | None = None, exact: DataFrame | None = None
+) -> Cells:
+    """Centres by k-means over every row, and the least probes that reach ``recall`` over all ``queries`` (every row asks if none are given).
+
+    ``exact`` has the k + 1 nearest of every query, as ``exact_nearest`` gives them; the first is the query itself.
+    Of a table of more than FIT_ROWS rows, the number of cells is doubled up to the square root of the counted rows; that which leaves a query
+    the fewest rows to meet is taken. k-means begins at rows picked by hash of the key.
     """
     given = base.filter(F.col(vector).isNotNull())
     count = given.count()
-    wanted = int(min(FIT_ROWS, max(count, 1)))
-    picked = given.select(key, vector).orderBy(F.xxhash64(key), key).limit(wanted).collect()
+    directed = given.filter(F.exists(vector, lambda v: v != 0) & ~F.exists(vector, lambda v: v.isNull() | F.isnan(v)))
+    picked = directed.select(key, vector).orderBy(F.xxhash64(key), key).limit(FIT_ROWS).collect()
     x = _unit(np.array([r[1] for r in picked], dtype="float64").reshape(len(picked), -1)) if picked else np.zeros((0, 1))
     if not len(x):
-        return Cells(x[:1], 1)
-    asked = x[:FIT_QUERIES]
-    near = np.argsort(-(asked @ x.T), axis=1, kind="stable")[:, 1 : k + 1]
+        return ONE_CELL
     sizes = [max(1, len(x) // ROWS_PER_CELL)]
-    while count > FIT_ROWS and 2 * sizes[-1] <= min(MOST_CELLS, len(x) // FIT_PER_CELL, round(count**0.5)):
+    while count > FIT_ROWS and 2 * sizes[-1] <= min(MOST_CELLS, len(x), round(count**0.5)):
         sizes.append(2 * sizes[-1])
+    fits = _centres_of_all(given, vector, x, sizes) if count > FIT_ROWS else [_centres(x, sizes[0])]  # else ``x`` is the whole table
+    asked = given if queries is None else queries
+    near = exact_nearest(base, asked, key, vector, k + 1) if exact is None else exact
     best, least = None, np.inf
-    for n in sizes:
-        cells = Cells(_centres(x, n), n)
-        order, home = cells.nearest(asked, n), cells.nearest(x, 1)[:, 0]
-        # the place, in a query's order of cells, of the cell of each of its neighbours
-        place = np.argsort(order, axis=1)[np.arange(len(asked))[:, None], home[near]]
-        reached = np.array([(place < probes).mean() if place.size else 1.0 for probes in range(1, n + 1)])
+    for centres, places in zip(fits, _places(near.filter("place > 1"), given, asked, key, vector, fits)):
+        n, met = len(centres), places.sum()
+        reached = np.cumsum(places) / met if met else np.ones(n)
         probes = 1 + int(np.argmax(reached >= recall))
         cost = probes * (count / n + PROBE_ROWS) + n
         if cost < least:
-            best, least = Cells(cells.centres, probes), cost
+            best, least = Cells(centres, probes), cost
     return best
 
 
@@ -149,13 +233,8 @@ def _with_cells(rows: DataFrame, key: str, vector: str, cells: Cells, n: int) ->
     """(key, v, cells): unit vectors and their ``n`` nearest cells; rows without a direction are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vector].to_numpy()).astype("float64")
-            norm = np.linalg.norm(x, axis=1)
-            x, keys = x[norm > 0] / norm[norm > 0, None], pdf[key].to_numpy()[norm > 0]
-            yield pd.DataFrame({key: keys, "v": list(x), "cells": list(cells.nearest(x, n))})
+        for pdf, unit in _units(batches, vector):
+            yield pd.DataFrame({key: pdf[key], "v": list(unit), "cells": list(cells.nearest(unit, n))})
 
     return rows.filter(F.col(vector).isNotNull()).select(key, vector).mapInPandas(run, f"{key} BIGINT, v ARRAY<DOUBLE>, cells ARRAY<INT>")
 
@@ -191,12 +270,12 @@ class CellIndex:
         def meet(left: pa.Table, right: pa.Table) -> pa.Table:
             out = [pa.table({"query_id": pa.array([], pa.int64()), name: pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})]
             if left.num_rows and right.num_rows:
-                ids, m = left["query_id"].to_numpy(), _stack(left["q"])
-                keys, x = right[name].to_numpy(), _stack(right["v"])
-                for at in range(0, len(ids), BLOCK_QUERIES):
+                m, x = _stack(left["q"]), _stack(right["v"])
+                keys = right[name].fill_null(np.iinfo("int64").min).to_numpy()  # before all others, as in top_per_group
+                for at in range(0, len(m), BLOCK_QUERIES):
                     dist = np.round(1.0 - m[at : at + BLOCK_QUERIES] @ x.T, 9)
                     q, row = _first(dist, keys, k)
-                    out.append(pa.table({"query_id": ids[at + q], name: keys[row], "distance": dist[q, row]}))
+                    out.append(pa.table({"query_id": left["query_id"].take(at + q), name: right[name].take(row), "distance": dist[q, row]}))
             return pa.concat_tables(out)
 
         by = ["cell", "part", "block"]
@@ -219,12 +298,16 @@ def _first(dist: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return q[place < k], at[place < k]
 
 
-def recall_of(found: DataFrame, base: DataFrame, queries: DataFrame, key: str, vector: str, k: int, asked: int = 200) -> DataFrame:
-    """One row (recall, asked): the share of the exact k nearest that ``found`` has, over at most ``asked`` queries picked by hash."""
-    picked = queries.filter(F.col(vector).isNotNull()).orderBy(F.xxhash64(key), key).limit(asked)
-    exact = nearest(base.filter(F.col(vector).isNotNull()), key, vector, query_list(picked, key, vector), k).select("query_id", key)
+def exact_nearest(base: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """(query_id, key, distance, place): the k nearest of all rows, for each row of a table of queries."""
+    return CellIndex(base, key, vector, ONE_CELL).search(queries, key, vector, k)
+
+
+def recall_of(found: DataFrame, base: DataFrame, queries: DataFrame, key: str, vector: str, k: int, exact: DataFrame | None = None) -> DataFrame:
+    """One row (recall, asked): the share of the exact k nearest that ``found`` has, over every query. ``exact`` may have more than k for each."""
+    known = exact_nearest(base, queries, key, vector, k) if exact is None else exact.filter(F.col("place") <= k)
     hit = found.select("query_id", key, F.lit(1).alias("hit"))
-    met = exact.join(hit, ["query_id", key], "left")
+    met = known.select("query_id", key).join(hit.hint("merge"), ["query_id", key], "left")
     return met.agg((F.count("hit") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("recall"), F.countDistinct("query_id").alias("asked"))
 
 

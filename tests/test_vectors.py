@@ -88,3 +88,40 @@ def test_many_queries_odd_rows_and_no_rows(spark):
     none = base.filter("vec_id < 0")
     cells = vectors.fit_cells(none, "vec_id", "embedding", 5)
     assert vectors.CellIndex(none, "vec_id", "embedding", cells).search(none, "vec_id", "embedding", 5).collect() == []
+
+
+def test_recall_is_that_of_every_query(clustered):
+    """More queries than could be picked: those whose answers are missing count too."""
+    rows, base = clustered
+    queries = base.filter("vec_id < 500")
+    nearest = vectors.exact_nearest(base, queries, "vec_id", "embedding", 2)
+    some = nearest.filter("query_id % 5 = 0")
+    got = vectors.recall_of(some, base, queries, "vec_id", "embedding", 2).first()
+    assert got["asked"] == 500 and got["recall"] == pytest.approx(0.2)
+    assert answers(nearest) == exact(rows, range(500), 2)
+
+
+def test_centres_and_probes_are_of_every_row_and_query(clustered, spark, monkeypatch):
+    rows, base = clustered
+    monkeypatch.setattr(vectors, "FIT_ROWS", 256)
+    nowhere = spark.createDataFrame([(9001, [0.0] * 16), (9002, None)], SCHEMA)  # partitions without a vector to fit
+    base = base.repartition(5).unionByName(nowhere)
+    queries = base.filter("vec_id % 3 = 0")
+    cells = vectors.fit_cells(base, "vec_id", "embedding", 5, queries=queries)
+    n = len(cells.centres)
+    order = [r[0] for r in base.selectExpr("vec_id", "xxhash64(vec_id) AS h").orderBy("h").collect() if r[0] < 4000]
+    x = np.array([v for _, v in rows], dtype="float32").astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert np.allclose(cells.centres, vectors._centres(x[order], n), atol=1e-6)  # k-means over the whole table, from the same rows
+    near = x[::3] @ x.T
+    near[np.arange(len(near)), np.arange(0, len(x), 3)] = np.inf
+    near = np.argsort(-near, axis=1, kind="stable")[:, 1:6]
+    home, place = cells.nearest(x, 1)[:, 0], np.argsort(cells.nearest(x[::3], n), axis=1)
+    reached = [(place[np.arange(len(near))[:, None], home[near]] < p).mean() for p in (cells.probes - 1, cells.probes)]
+    assert reached[0] < 0.95 <= reached[1]
+
+
+def test_a_row_without_a_key_is_a_neighbour_too(spark):
+    base = spark.createDataFrame([(0, [1.0, 0.0]), (None, [1.0, 0.1]), (2, [0.0, 1.0])], SCHEMA)
+    found = vectors.exact_nearest(base, base.filter("vec_id = 0"), "vec_id", "embedding", 2).orderBy("place").collect()
+    assert [r["vec_id"] for r in found] == [0, None]
